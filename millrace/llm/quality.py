@@ -48,7 +48,8 @@ def indicators(text: str | None) -> np.ndarray:
                 with np.errstate(over="ignore"):
                     h = h * np.uint64(0x100000001B3) + code[i : i + size]
             seen[(mixed(h) >> np.uint64(64 - BITS)).astype(np.int64)] = True
-        same = np.array([a == b for a, b in zip(words := part.split(), words[1:])], dtype=np.uint8)
+        words = part.split()
+        same = np.array([a == b for a, b in zip(words, words[1:])], dtype=np.uint8)
         if len(same) >= RUN:  # n-grams over "this word repeats the one before"
             runs = np.convolve(same, np.ones(RUN, np.uint8), "valid")
             seen[(mixed(np.unique(runs).astype(np.uint64) + np.uint64(1 << 40)) >> np.uint64(64 - BITS)).astype(np.int64)] = True
