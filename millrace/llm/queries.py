@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import langid, quality
+from millrace.llm import langid, packing, quality
 from millrace.llm.common import id_crc
 
 
@@ -13,6 +14,12 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    pieces = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
+    return packing.pack(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     held_out = id_crc(F.col("doc_id")) % 3 == 1
@@ -29,7 +36,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_language_id, op10_quality)}
+    return {f.__name__: f for f in (op2_packing, op4_language_id, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
