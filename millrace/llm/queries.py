@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import langid, packing, quality
+from millrace.llm import langid, packing, quality, warc
 from millrace.llm.common import id_crc
 
 
@@ -27,6 +27,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1).cast("long")
+    index = warc.archive_index(_read(spark, sf_dir, "pages"))
+    return index.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.when(F.col("refers_to").isNotNull(), number("refers_to")).alias("refers_to"), "url_key", F.col("range").alias("index_range"), F.col("position").alias("index_position"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")
     held_out = id_crc(F.col("doc_id")) % 4 == 2
@@ -36,7 +42,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_packing, op4_language_id, op10_quality)}
+    return {f.__name__: f for f in (op2_packing, op4_language_id, op9_warc, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
