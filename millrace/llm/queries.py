@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import langid, packing, quality, warc
+from millrace.llm import htmltext, langid, packing, quality, warc
 from millrace.llm.common import id_crc
 
 
@@ -27,6 +27,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _read(spark, sf_dir, "pages")
+    found = htmltext.extract(pages.select("page_id", "url", "html"), htmltext.fit(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1).cast("long")
     index = warc.archive_index(_read(spark, sf_dir, "pages"))
@@ -42,7 +48,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_packing, op4_language_id, op9_warc, op10_quality)}
+    return {f.__name__: f for f in (op2_packing, op4_language_id, op8_main_text, op9_warc, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
