@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import htmltext, langid, packing, quality, warc
+from millrace.llm import htmltext, langid, packing, quality, simhash, warc
 from millrace.llm.common import id_crc
 
 
@@ -20,6 +20,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     held_out = id_crc(F.col("doc_id")) % 3 == 1
@@ -48,7 +53,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_packing, op4_language_id, op8_main_text, op9_warc, op10_quality)}
+    return {f.__name__: f for f in (op2_packing, op3_simhash, op4_language_id, op8_main_text, op9_warc, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
