@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, htmltext, langid, packing, quality, simhash, warc
+from millrace.llm import decontaminate, htmltext, langid, packing, quality, repeats, simhash, warc
 from millrace.llm.common import id_crc
 
 
@@ -32,6 +32,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeats(_read(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
@@ -57,7 +61,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_packing, op3_simhash, op4_language_id, op7_decontamination, op8_main_text, op9_warc, op10_quality)}
+    return {f.__name__: f for f in (op2_packing, op3_simhash, op4_language_id, op5_repeats, op7_decontamination, op8_main_text, op9_warc, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
