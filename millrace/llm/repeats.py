@@ -47,10 +47,11 @@ def cuts(h: np.ndarray) -> np.ndarray:
     if n == 0:
         return np.empty(0, np.int64)
     pair = mixed(h + mixed(np.r_[np.uint64(0), h[:-1]], 1), 2)
-    padded = np.concatenate([np.full(RADIUS, np.iinfo(np.uint64).max, np.uint64), pair, np.full(RADIUS, np.iinfo(np.uint64).max, np.uint64)])
-    around = np.lib.stride_tricks.sliding_window_view(padded, 2 * RADIUS + 1)
-    least = around.min(axis=1)
-    at = np.flatnonzero((pair == least) & ((around == least[:, None]).sum(axis=1) == 1))
+    left, right = (np.full(n, np.iinfo(np.uint64).max, np.uint64) for _ in range(2))
+    for k in range(1, min(RADIUS, n - 1) + 1):
+        np.minimum(left[k:], pair[:-k], out=left[k:])
+        np.minimum(right[:-k], pair[k:], out=right[:-k])
+    at = np.flatnonzero((pair < left) & (pair < right))
     at = np.unique(np.r_[0, at])
     gaps = np.diff(np.r_[at, n])
     if (gaps > LONGEST).any():
@@ -126,22 +127,21 @@ def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def paragraph_table(rows: DataFrame) -> DataFrame:
-    """doc_id, row, number, words, sig and bands (null for short ones) of every paragraph."""
+    """doc_id, row, number, words, sig and band0, band1... (0 for paragraphs under LEAST_BANDED words) of every paragraph."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            parts = []
-            for doc, row, t in zip(batch["doc_id"], batch["row"], batch["text"]):
-                at, size, sig, banded, bands = paragraphs(t)
-                if len(at):
-                    keys: list = [None] * len(at)
-                    for k, b in zip(banded, bands.view(np.int64)):
-                        keys[k] = b
-                    parts.append(pd.DataFrame({"doc_id": pd.array([doc] * len(at), dtype="Int64"), "row": row, "number": np.arange(len(at)), "words": size, "sig": sig.view(np.int64), "bands": keys}))
-            if parts:
-                yield pd.concat(parts, ignore_index=True)
+            found = [paragraphs(t) for t in batch["text"]]
+            n = np.array([len(f[0]) for f in found])
+            if not n.sum():
+                continue
+            bands = np.zeros((n.sum(), BANDS), np.uint64)
+            bands[np.concatenate([f[3] + k for f, k in zip(found, np.r_[0, np.cumsum(n)[:-1]])])] = np.concatenate([f[4] for f in found])
+            out = {"doc_id": batch["doc_id"].astype("Int64").repeat(n).array, "row": batch["row"].to_numpy().repeat(n), "number": np.concatenate([np.arange(k) for k in n])}
+            out |= {"words": np.concatenate([f[1] for f in found]), "sig": np.concatenate([f[2] for f in found]).view(np.int64)}
+            yield pd.DataFrame(out | {f"band{b}": bands[:, b].view(np.int64) for b in range(BANDS)})
 
-    return rows.mapInPandas(cut, "doc_id long, row long, number int, words int, sig long, bands array<long>")
+    return rows.mapInPandas(cut, "doc_id long, row long, number int, words int, sig long, " + ", ".join(f"band{b} long" for b in range(BANDS)))
 
 
 def _maybe_sent(df: DataFrame, rows: int) -> DataFrame:
@@ -171,29 +171,26 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def similar_links(rows: DataFrame, table: DataFrame) -> DataFrame:
     """Links (a, b) between different paragraph texts (signatures) of Jaccard SIMILAR or more that share a band."""
-    spark = rows.sparkSession
-    keyed = table.where("bands is not null").select("sig", F.explode("bands").alias("key"))
+    keyed = table.where(F.col("words") >= LEAST_BANDED).select("sig", F.explode(F.array(*[f"band{b}" for b in range(BANDS)])).alias("key"))
     shared = written(keyed.groupBy("key").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("lo < hi").select("key"), "bands")
     members = written(keyed.join(_maybe_sent(shared, shared.count()), "key").distinct(), "members")
-    wanted = members.select("sig").distinct()
+    wanted = written(members.select("sig").distinct(), "wanted")
     n_wanted = wanted.count()
-    ids = spark.sparkContext.broadcast(np.sort(wanted.toArrow().column("sig").to_numpy()) if n_wanted <= SENT_OUT else None)
+    # one text for each wanted paragraph gives its shingles; other texts are not cut again
+    places = written(table.select("sig", "row").join(_maybe_sent(wanted, n_wanted), "sig").groupBy("sig").agg(F.min("row").alias("row")).select("row").distinct(), "places")
+    givers = rows.join(_maybe_sent(places, places.count()), "row", "left_semi").select("text")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        only = ids.value
         for batch in batches:
             found: dict[int, np.ndarray] = {}
             for t in batch["text"]:
-                if only is not None:
-                    sig = paragraphs(t)[2].view(np.int64)
-                    if not len(only) or not (only[np.minimum(np.searchsorted(only, sig), len(only) - 1)] == sig).any():
-                        continue
-                for s, g in shingle_sets(t):
-                    if only is None or only[min(np.searchsorted(only, s), len(only) - 1)] == s:
-                        found[s] = g
+                found.update(shingle_sets(t))
+                if len(found) > 20_000:
+                    yield pd.DataFrame({"sig": np.array(list(found), np.int64), "shingles": list(found.values())})
+                    found = {}
             yield pd.DataFrame({"sig": np.array(list(found), np.int64), "shingles": list(found.values())})
 
-    bodies = rows.select("text").mapInPandas(sets, "sig long, shingles array<long>").join(wanted, "sig", "left_semi").dropDuplicates(["sig"])
+    bodies = written(givers.mapInPandas(sets, "sig long, shingles array<long>").join(_maybe_sent(wanted, n_wanted), "sig", "left_semi").dropDuplicates(["sig"]), "bodies")
     counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     full = written(members.join(counts, "key").join(bodies, "sig"), "candidates")
     group = F.collect_list(F.struct("sig", "shingles")).alias("members")
@@ -237,7 +234,7 @@ def shared_paragraphs(docs: DataFrame, *, key: str = "doc_id", text: str = "text
     linked = named.join(links.select("node"), named["sig"] == F.col("node"), "left_semi")
     least = linked.groupBy("component").agg(F.min("lo").alias("first"), F.max("hi").alias("last")).where("first < last").drop("last")
     shared = written(single.unionByName(linked.join(least, "component").select("sig", "component", "first")), "shared")
-    found = table.drop("bands").join(_maybe_sent(shared, shared.count()), "sig")
+    found = table.select("doc_id", "row", "number", "words", "sig").join(_maybe_sent(shared, shared.count()), "sig")
     by_doc = Window.partitionBy("doc_id", "row").orderBy("number")
     runs = found.withColumn("island", F.col("number") - F.dense_rank().over(by_doc))
     whole = Window.partitionBy("doc_id", "row", "island")
