@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, htmltext, langid, packing, quality, repeats, simhash, warc
+from millrace.llm import decontaminate, htmltext, langid, packing, quality, repeats, simhash, topk, warc
 from millrace.llm.common import id_crc
 
 
@@ -14,6 +14,28 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_read(spark, sf_dir, "embeddings"))
+
+
+OP1_SQL = """
+WITH whole AS (
+    SELECT vec_id AS id, min(list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE)))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    GROUP BY vec_id
+), scored AS (
+    SELECT q.id AS query_id, r.id AS vec_id, CAST(list_dot_product(q.v, r.v) AS BIGINT) AS score
+    FROM whole q JOIN whole r ON q.id <> r.id AND len(q.v) = len(r.v)
+    WHERE q.id % 50 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     pieces = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
@@ -61,8 +83,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_packing, op3_simhash, op4_language_id, op5_repeats, op7_decontamination, op8_main_text, op9_warc, op10_quality)}
+    return {f.__name__: f for f in (op1_top_k, op2_packing, op3_simhash, op4_language_id, op5_repeats, op7_decontamination, op8_main_text, op9_warc, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_top_k": OP1_SQL}
