@@ -78,12 +78,18 @@ VIEWS = {
         FROM {orders} WHERE o_orderkey % 3 <> 0""",
     "load_chunk": """
         SELECT user_id AS run_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS chunk_no, event_id AS chunk_id,
-               CASE event_type WHEN 'click' THEN 'completed' WHEN 'view' THEN 'completed' WHEN 'purchase' THEN 'writing'
-                    WHEN 'signup' THEN 'pending' WHEN 'error' THEN 'failed' ELSE 'retry' END AS status,
-               concat('w', event_id % 4) AS worker_id, event_id % 4 AS attempt_count, CAST(floor(value * 100) AS BIGINT) AS rows_read,
+               CASE WHEN event_id % 7 = 0 THEN 'retry' WHEN event_id % 8 = 0 THEN 'pending' WHEN event_type = 'view' THEN 'running'
+                    WHEN event_type = 'purchase' THEN 'ready_to_commit' WHEN event_type = 'signup' THEN 'writing'
+                    WHEN event_type = 'error' AND event_id % 3 = 0 THEN 'failed' ELSE 'completed' END AS status,
+               concat('w', event_id % 4) AS worker_id, event_id % 6 AS attempt_count, CAST(floor(value * 100) AS BIGINT) AS rows_read,
                CAST(floor(value * 100) AS BIGINT) - event_id % 3 AS rows_inserted, event_id % 3 AS rows_conflicted, ts AS started_at,
-               CAST(floor(value) AS BIGINT) AS seconds, value
+               CASE WHEN event_id % 10 = 0 THEN NULL ELSE ts END AS heartbeat_at, ts AS updated_at, value AS seconds,
+               CASE WHEN event_type = 'error' THEN 'io' END AS error_type
         FROM {events}""",
+    "load_run": """
+        SELECT run_id, concat('pipeline ', run_id % 5) AS pipeline_name, min(started_at) AS started_at, max(started_at) AS finished_at,
+               CAST(sum(rows_read) * 2 AS BIGINT) AS declared_rows
+        FROM {load_chunk} GROUP BY run_id""",
     "chunk_range": """
         SELECT run_id, chunk_no, chunk_id, rows_read, rows_inserted, status,
                chunk_no * 100 - CASE WHEN chunk_no % 11 = 0 THEN 10 ELSE 0 END AS range_start,
