@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import saved
+
 
 
 def _checks(rows: list[DataFrame]) -> DataFrame:
@@ -145,7 +147,8 @@ def closure(edges: DataFrame, roots: DataFrame, max_depth: int) -> DataFrame:
     found = front = roots.select("root", F.col("root").alias("node"), F.lit(0).alias("depth"))
     for depth in range(1, max_depth + 1):
         step = front.join(edges, F.col("node") == F.col("src")).select("root", F.col("dst").alias("node")).distinct()
-        front = step.join(found.select("root", "node"), ["root", "node"], "left_anti").withColumn("depth", F.lit(depth)).checkpoint()
+        front = step.join(found.select("root", "node"), ["root", "node"], "left_anti").withColumn("depth", F.lit(depth))
+        front = saved(front)
         if front.isEmpty():
             break
         found = found.unionByName(front)

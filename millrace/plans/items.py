@@ -1 +1,178 @@
-"""Queries to come."""
+"""Queries of the work items."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from millrace.operators import items as k
+from millrace.plans.registry import query
+from millrace.sources.adapters import view
+
+AS_OF = "1998-06-15 00:00:00"
+_ISSUES = """SELECT o_orderkey AS issue_id, concat('ISS-', o_orderkey) AS issue_key,
+    CASE o_orderkey % 6 WHEN 0 THEN 'In Progress' WHEN 1 THEN 'Testing' WHEN 2 THEN 'To Do' WHEN 3 THEN 'Done' WHEN 4 THEN 'Open' ELSE 'Review' END AS status,
+    o_orderkey % 6 = 3 AS done, CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'Critical' WHEN '2' THEN 'High' ELSE 'Normal' END AS priority,
+    o_custkey AS assignee, o_orderdate AS created, {updated} AS updated,
+    CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE CAST({due} AS DATE) END AS due FROM orders"""
+_SQL_ISSUES = _ISSUES.replace("{updated}", "o_orderdate + to_days(CAST(o_orderkey % 40 AS INTEGER))").replace("{due}", "o_orderdate + to_days(CAST(o_orderkey % 60 AS INTEGER))")
+_SQL_EVENTS = "SELECT concat('ISS-', l_orderkey) AS issue_key, CASE l_linenumber % 3 WHEN 0 THEN 'comment_added' WHEN 1 THEN 'status_changed' ELSE 'label_changed' END AS event_type, l_partkey AS author, l_shipdate AS created FROM lineitem"
+_MEMBERS = "SELECT c_custkey AS member FROM customer WHERE c_custkey % 3 = 0"
+
+
+def _issues(spark, d):
+    o = view(spark, d, "orders")
+    plus = lambda n: f"timestampadd(DAY, CAST(o_orderkey % {n} AS INT), o_orderdate)"
+    text = _ISSUES.replace("{updated}", plus(40)).replace("{due}", plus(60)).replace("FROM orders", "FROM {orders}")
+    return spark.sql(text, orders=o)
+
+
+def _events(spark, d):
+    return spark.sql(_SQL_EVENTS.replace("FROM lineitem", "FROM {lineitem}"), lineitem=view(spark, d, "lineitem"))
+
+
+def _members(spark, d):
+    return view(spark, d, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("member"))
+
+
+_IDLE = f"CAST(floor((epoch(TIMESTAMP '{AS_OF}') - epoch(updated)) / 86400) AS BIGINT)"
+
+
+@query("k03_focus_reason", f"""
+SELECT issue_key, concat_ws('; ', CASE WHEN lower(priority) IN ('critical', 'high') THEN 'high priority: ' || priority END,
+   CASE WHEN due < DATE '1998-06-15' THEN 'overdue' WHEN due - DATE '1998-06-15' <= 3 THEN 'due within 3 days' WHEN due IS NULL THEN 'no due date' END,
+   CASE WHEN {_IDLE} >= 14 THEN 'idle: ' || {_IDLE} || ' days' END) AS reason FROM ({_SQL_ISSUES})""")
+def k03(spark, d):
+    return k.focus_reason(_issues(spark, d), AS_OF, ["Critical", "High"])
+
+
+_DAYS = f"floor((epoch(TIMESTAMP '{AS_OF}') - epoch(created)) / 86400) < 7"
+_TASKS = f"""
+SELECT issue_key, status, priority, assignee,
+  CASE WHEN active THEN 10 ELSE 0 END + CASE WHEN working THEN 8 ELSE 0 END + CASE WHEN ours THEN 7 ELSE 0 END + CASE WHEN n_status > 0 THEN 6 ELSE 0 END + CASE WHEN n_comments > 0 THEN 5 ELSE 0 END
+  + CASE WHEN critical THEN 5 ELSE 0 END + CASE WHEN due_soon THEN 4 ELSE 0 END + CASE WHEN new THEN 4 ELSE 0 END + CASE WHEN touched THEN 3 ELSE 0 END + CASE WHEN review THEN 3 ELSE 0 END
+  + CASE WHEN todo AND active THEN 2 ELSE 0 END - CASE WHEN stale THEN 5 ELSE 0 END AS score,
+  concat_ws('|', CASE WHEN active THEN 'recent activity of the group' END, CASE WHEN working THEN 'work status' END, CASE WHEN ours THEN 'assigned to the group' END, CASE WHEN n_status > 0 THEN 'status changed' END,
+    CASE WHEN n_comments > 0 THEN 'comment of the group' END, CASE WHEN critical THEN 'critical priority' END, CASE WHEN high AND NOT critical THEN 'high priority' END, CASE WHEN due_soon THEN 'due today or tomorrow' END,
+    CASE WHEN new THEN 'created in the period' END, CASE WHEN touched THEN 'updated in the period' END, CASE WHEN review THEN 'in review or test' END, CASE WHEN todo AND active THEN 'not begun but discussed' END,
+    CASE WHEN stale THEN 'idle for long' END, CASE WHEN overdue THEN 'overdue' END) AS reasons,
+  concat_ws('|', CASE WHEN working AND NOT done AND ours AND (active OR touched) THEN 'active_now' END, CASE WHEN touched AND active THEN 'changed_recently' END,
+    CASE WHEN NOT done AND (overdue OR high OR due_soon OR stale OR (ours AND idle >= 14) OR (todo AND active)) THEN 'needs_attention' END, CASE WHEN stale THEN 'stale' END, CASE WHEN overdue THEN 'overdue' END,
+    CASE WHEN NOT done AND (ours OR n_events > 0) AND NOT active AND NOT touched THEN 'backlog' END) AS categories,
+  idle AS days_idle, CASE WHEN overdue THEN CAST(DATE '1998-06-15' - due AS INTEGER) END AS days_overdue, coalesce(last_event, updated) AS last_activity
+FROM (SELECT i.*, coalesce(n_recent, 0) > 0 AS active, coalesce(n_status, 0) AS n_status, coalesce(n_comments, 0) AS n_comments, coalesce(n_events, 0) AS n_events, last_event,
+        lower(status) IN ('in progress', 'development', 'review', 'testing') AS working, lower(status) IN ('review', 'testing') AS review, lower(status) IN ('to do', 'todo', 'open') AS todo,
+        priority = 'Critical' AS critical, priority IN ('Critical', 'High') AS high, coalesce(due BETWEEN DATE '1998-06-15' AND DATE '1998-06-16', false) AS due_soon,
+        coalesce(due < DATE '1998-06-15' AND NOT done, false) AS overdue, {_DAYS} AS new, {_IDLE} < 7 AS touched, {_IDLE} AS idle, m.member IS NOT NULL AS ours,
+        NOT done AND m.member IS NOT NULL AND {_IDLE} >= 14 AS stale
+      FROM ({_SQL_ISSUES}) i LEFT JOIN ({_MEMBERS}) m ON m.member = i.assignee
+      LEFT JOIN (SELECT issue_key, count_if({_DAYS}) AS n_recent, count_if({_DAYS} AND event_type = 'status_changed') AS n_status, count_if({_DAYS} AND event_type = 'comment_added') AS n_comments, count(*) AS n_events, max(created) AS last_event
+                 FROM ({_SQL_EVENTS}) WHERE author IN ({_MEMBERS}) GROUP BY issue_key) e ON e.issue_key = i.issue_key)
+WHERE NOT done AND (ours OR working OR touched OR active OR high OR due_soon OR overdue OR stale) OR (touched AND active) OR (NOT done AND n_events > 0 AND NOT active AND NOT touched)"""
+
+
+def _tasks(spark, d):
+    return k.classify(_issues(spark, d), _events(spark, d), _members(spark, d), AS_OF)
+
+
+@query("k10_classify", _TASKS)
+def k10(spark, d):
+    return _tasks(spark, d).withColumns({c: F.array_join(c, "|") for c in ("reasons", "categories")})
+
+
+@query("k14_kpi_rows", "SELECT 'all_tasks' AS indicator, count(*) AS value FROM (" + _TASKS + ")" + "".join(f" UNION ALL SELECT '{c}', count_if(contains('|' || categories || '|', '|{c}|')) FROM ({_TASKS})" for c in ("active_now", "changed_recently", "needs_attention", "stale", "overdue", "backlog")))
+def k14(spark, d):
+    return k.kpi_rows(_tasks(spark, d))
+
+
+@query("k19_needs_attention", f"SELECT issue_key, score, categories FROM ({_TASKS}) WHERE contains('|' || categories || '|', '|needs_attention|')")
+def k19(spark, d):
+    return k.sheet(_tasks(spark, d), "needs_attention").select("issue_key", "score", F.array_join("categories", "|").alias("categories"))
+
+
+@query("k12_releases", "SELECT l_shipmonth AS version, count(*) AS issues, min(issue_key) AS first_issue, max(issue_key) AS last_issue FROM (SELECT strftime(l_shipdate, '%Y-%m') AS l_shipmonth, concat('ISS-', l_orderkey) AS issue_key FROM lineitem) GROUP BY 1")
+def k12(spark, d):
+    rows = view(spark, d, "lineitem").select(F.date_format("l_shipdate", "yyyy-MM").alias("version"), F.concat(F.lit("ISS-"), "l_orderkey").alias("issue_key"))
+    return k.releases(rows, "version")
+
+
+@query("k23_project_members", """
+SELECT identity, min(name) AS name, array_to_string(list_sort(list_distinct(list(role))), ', ') AS roles, array_to_string(list_sort(list_distinct(list(team))), ', ') AS teams
+FROM (SELECT CAST(o_custkey AS VARCHAR) AS identity, 'Customer ' || o_custkey AS name, o_orderpriority AS role, o_orderstatus AS team FROM orders) GROUP BY identity""")
+def k23(spark, d):
+    rows = view(spark, d, "orders").select(F.col("o_custkey").cast("string").alias("identity"), F.concat(F.lit("Customer "), "o_custkey").alias("name"), F.col("o_orderpriority").alias("role"), F.col("o_orderstatus").alias("team"))
+    return k.project_members(rows)
+
+
+@query("k24_load_members", "SELECT CAST(c_custkey AS VARCHAR) AS member, c_name AS name, CAST(c_custkey AS VARCHAR) || '|' || lower(c_name) AS ids FROM customer WHERE c_custkey % 4 <> 0 AND NOT contains(lower(c_name), '13')  AND NOT contains(CAST(c_custkey AS VARCHAR), '13')")
+def k24(spark, d):
+    rows = view(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("member"), F.col("c_name").alias("name"), (F.col("c_custkey") % 4 != 0).alias("active"))
+    return k.load_members(rows, ["13"])
+
+
+_WORDS = ["licensed", "the", "de la", "public license", "http"]
+_LOWERED = "[" + ", ".join(f"CASE WHEN contains(lower(text), '{w}') THEN '{w}' END" for w in _WORDS) + "]"
+
+
+@query("k27_find_matches", f"""
+SELECT issue_key, place, array_to_string(hits, ', ') AS matched, round(len(hits) / 5, 6) AS ratio,
+  CASE WHEN place = 'summary' AND len(hits) / 5 >= 0.3 OR place = 'description' AND len(hits) / 5 >= 0.5 THEN 'high' WHEN len(hits) / 5 >= 0.7 THEN 'high' WHEN len(hits) / 5 >= 0.3 THEN 'medium' ELSE 'low' END AS confidence
+FROM (SELECT issue_key, place, list_filter({_LOWERED}, lambda x: x IS NOT NULL) AS hits
+      FROM (SELECT concat('DOC-', doc_id) AS issue_key, 'summary' AS place, split_part(text, chr(10), 1) AS text FROM documents UNION ALL SELECT concat('DOC-', doc_id), 'description', text FROM documents))
+WHERE len(hits) > 0""")
+def k27(spark, d):
+    return _matches(spark, d).drop("fragment")
+
+
+def _matches(spark, d):
+    docs = view(spark, d, "documents").select(F.concat(F.lit("DOC-"), "doc_id").alias("issue_key"), "text")
+    return k.find_matches(docs, _WORDS, {"summary": F.split_part("text", F.lit("\n"), F.lit(1)), "description": F.col("text")})
+
+
+@query("k28_fragments", """
+SELECT doc_id, CASE WHEN pos = 0 THEN left(text, 120) ELSE
+  CASE WHEN pos - 60 > 1 THEN '...' ELSE '' END || trim(replace(substr(text, greatest(1, pos - 60), least(length(text), pos + 7 + 60) - greatest(1, pos - 60) + 1), chr(10), ' ')) || CASE WHEN pos + 67 < length(text) THEN '...' ELSE '' END END AS fragment
+FROM (SELECT doc_id, text, instr(lower(text), 'licensed') AS pos FROM documents)""")
+def k28(spark, d):
+    return view(spark, d, "documents").select("doc_id", k.fragment(F.col("text"), F.lit("licensed")).alias("fragment"))
+
+
+@query("k32_dedupe_matches", f"""
+SELECT issue_key, array_to_string(list_sort(list_distinct(list(place))), ', ') AS places, arg_max(confidence, r) AS confidence, count(*) AS matches FROM (
+SELECT issue_key, place, CASE WHEN place = 'summary' AND len(hits) / 5 >= 0.3 OR place = 'description' AND len(hits) / 5 >= 0.5 OR len(hits) / 5 >= 0.7 THEN 'high' WHEN len(hits) / 5 >= 0.3 THEN 'medium' ELSE 'low' END AS confidence,
+       CASE WHEN place = 'summary' AND len(hits) / 5 >= 0.3 OR place = 'description' AND len(hits) / 5 >= 0.5 OR len(hits) / 5 >= 0.7 THEN 3 WHEN len(hits) / 5 >= 0.3 THEN 2 ELSE 1 END AS r
+FROM (SELECT issue_key, place, list_filter({_LOWERED}, lambda x: x IS NOT NULL) AS hits
+      FROM (SELECT concat('DOC-', doc_id) AS issue_key, 'summary' AS place, split_part(text, chr(10), 1) AS text FROM documents UNION ALL SELECT concat('DOC-', doc_id), 'description', text FROM documents))
+WHERE len(hits) > 0) GROUP BY issue_key""")
+def k32(spark, d):
+    return k.dedupe_matches(_matches(spark, d))
+
+
+@query("j14_traverse_links", """
+WITH e AS (SELECT DISTINCT l_orderkey AS src, l_partkey AS dst FROM lineitem WHERE l_orderkey <> l_partkey),
+r AS (SELECT o_orderkey AS root FROM orders WHERE o_orderstatus = 'P' AND o_totalprice > 400000),
+d1 AS (SELECT root, dst AS node, min(src) AS via FROM r JOIN e ON src = root WHERE dst <> root GROUP BY root, dst),
+d2 AS (SELECT root, dst AS node, min(src) AS via FROM d1 JOIN e ON src = node WHERE dst <> root AND (root, dst) NOT IN (SELECT (root, node) FROM d1) GROUP BY root, dst)
+SELECT root, root AS node, 0 AS depth, CAST(NULL AS BIGINT) AS via FROM r UNION ALL SELECT root, node, 1, via FROM d1 UNION ALL SELECT root, node, 2, via FROM d2""")
+def j14(spark, d):
+    edges = view(spark, d, "lineitem").where("l_orderkey <> l_partkey").select(F.col("l_orderkey").alias("src"), F.col("l_partkey").alias("dst")).distinct()
+    roots = view(spark, d, "orders").where("o_orderstatus = 'P' and o_totalprice > 400000").select(F.col("o_orderkey").alias("root"))
+    return k.traverse_links(edges, roots, 2)
+
+
+@query("k22_event_rows", _SQL_EVENTS)
+def k22(spark, d):
+    return _events(spark, d)
+
+
+@query("j12_group_events", f"SELECT issue_key, count(*) AS n FROM ({_SQL_EVENTS}) WHERE author IN ({_MEMBERS}) GROUP BY issue_key")
+def j12(spark, d):
+    own = _events(spark, d).join(_members(spark, d).withColumnRenamed("member", "author"), "author", "left_semi")
+    return own.groupBy("issue_key").agg(F.count("*").alias("n"))
+
+
+@query("k33_confidence_counts", """
+SELECT 'low' AS confidence, count(*) AS n FROM documents WHERE contains(lower(text), 'idiot') HAVING count(*) > 0""")
+def k33(spark, d):
+    docs = view(spark, d, "documents").select(F.concat(F.lit("DOC-"), "doc_id").alias("issue_key"), "text")
+    found = k.find_matches(docs, ["idiot", "zzzz1", "zzzz2", "zzzz3"], {"comment": F.col("text")})
+    return found.groupBy("confidence").agg(F.count("*").alias("n"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,3 +27,11 @@ def local_session(cpus: int | None = None, partitions: int | None = None) -> Spa
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """A checkpoint of df in the session's shared folder (spark.checkpoint.dir); one machine without it gets its own."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-shared-"))
+    return df.checkpoint()
