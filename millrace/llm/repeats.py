@@ -10,13 +10,14 @@ long enough, and all but the first document lose it.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import mixed, written
+from millrace.llm.common import mixed, slices, written
 from millrace.llm.components import connected_components
 
 RADIUS = 6  # words on either side that decide about a cut
@@ -27,36 +28,64 @@ BANDS, ROWS = 4, 2  # 1 - (1 - 0.8**2)**4 = 0.983 of the pairs at the threshold
 LEAST_BANDED = 9  # words: two different paragraphs of fewer have no Jaccard of 0.8 (four shingles at most, one differs)
 LEAST_RUN = 14  # words of whole paragraphs; with what a cut needs on both sides, 26 shared words at least
 TOGETHER = 128  # paragraphs of a bucket that are compared in one go
+PIECE = 1 << 19  # characters cut at a time
 SENT_OUT = 4_000_000  # rows of 8 or 16 bytes that may be broadcast; beyond, joins shuffle
 
 
 # --- paragraphs -----------------------------------------------------------------------------------------------------
 
 
-def word_hashes(text: str | None) -> tuple[list[bytes], np.ndarray]:
-    import xxhash
+@dataclass
+class Cut:
+    """The paragraphs of several texts, text after text: where they start, their words, and the text that each is of."""
 
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    digest = xxhash.xxh64_intdigest
-    return words, np.array([digest(w) for w in words], dtype=np.uint64)
+    hashes: np.ndarray  # of all words
+    starts: np.ndarray
+    size: np.ndarray
+    owner: np.ndarray
+
+    @property
+    def number(self) -> np.ndarray:
+        """Of each paragraph, within its text."""
+        first = np.flatnonzero(np.r_[True, self.owner[1:] != self.owner[:-1]])
+        return np.arange(len(self.owner)) - np.repeat(first, np.diff(np.r_[first, len(self.owner)]))
+
+    @property
+    def signature(self) -> np.ndarray:
+        place = np.arange(len(self.hashes), dtype=np.uint64) - np.repeat(self.starts, self.size).astype(np.uint64)
+        return mixed(np.add.reduceat(mixed(self.hashes + mixed(place, 4), 5), self.starts) + self.size.astype(np.uint64)).view(np.int64)
 
 
-def cuts(h: np.ndarray) -> np.ndarray:
-    """Where paragraphs start (0 first), by word hashes."""
-    n = len(h)
-    if n == 0:
-        return np.empty(0, np.int64)
-    pair = mixed(h + mixed(np.r_[np.uint64(0), h[:-1]], 1), 2)
-    left, right = (np.full(n, np.iinfo(np.uint64).max, np.uint64) for _ in range(2))
-    for k in range(1, min(RADIUS, n - 1) + 1):
+def cut(texts: list[str | None]) -> Cut:
+    """Cut texts into paragraphs. Words are runs without ASCII blanks, A-Z in lower case."""
+    import xxhash
+
+    digest = xxhash.xxh64_intdigest
+    words = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
+    many = np.array([len(w) for w in words], dtype=np.int64)
+    h = np.fromiter((digest(w) for own in words for w in own), dtype=np.uint64, count=int(many.sum()))
+    n, none = len(h), np.empty(0, np.int64)
+    if not n:
+        return Cut(h, none, none, none)
+    text = np.repeat(np.arange(len(texts)), many)
+    begin = (np.cumsum(many) - many)[many > 0]
+    before = np.r_[np.uint64(0), h[:-1]]
+    before[begin] = 0
+    at = np.arange(n) + RADIUS * text  # room between texts: no word decides about another text's cuts
+    pair = np.full(n + RADIUS * len(texts), np.iinfo(np.uint64).max, np.uint64)
+    pair[at] = mixed(h + mixed(before, 1), 2)
+    left, right = (np.full(len(pair), np.iinfo(np.uint64).max, np.uint64) for _ in range(2))
+    for k in range(1, min(RADIUS, len(pair) - 1) + 1):
         np.minimum(left[k:], pair[:-k], out=left[k:])
         np.minimum(right[:-k], pair[k:], out=right[:-k])
-    at = np.flatnonzero((pair < left) & (pair < right))
-    at = np.unique(np.r_[0, at])
-    gaps = np.diff(np.r_[at, n])
-    if (gaps > LONGEST).any():
-        at = np.concatenate([np.arange(a, a + g, LONGEST) for a, g in zip(at, gaps)])
-    return at
+    first = ((pair < left) & (pair < right))[at]
+    first[begin] = True
+    starts = np.flatnonzero(first)
+    size = np.diff(np.r_[starts, n])
+    if (size > LONGEST).any():
+        starts = np.concatenate([np.arange(a, a + g, LONGEST) for a, g in zip(starts, size)])
+        size = np.diff(np.r_[starts, n])
+    return Cut(h, starts, size, text[starts])
 
 
 def _shingles(h: np.ndarray) -> np.ndarray:
@@ -68,38 +97,37 @@ def _shingles(h: np.ndarray) -> np.ndarray:
     return mixed(out, 3)
 
 
-def paragraphs(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, lengths, signatures, banded, bands): bands has a row per paragraph number in banded."""
-    _, h = word_hashes(text)
-    at = cuts(h)
-    if not len(at):
-        return at, at, np.empty(0, np.uint64), at, np.empty((0, BANDS), np.uint64)
-    size = np.diff(np.r_[at, len(h)])
-    place = np.arange(len(h), dtype=np.uint64) - np.repeat(at, size).astype(np.uint64)
-    sig = mixed(np.add.reduceat(mixed(h + mixed(place, 4), 5), at) + size.astype(np.uint64))
-    banded = np.flatnonzero(size >= LEAST_BANDED)
-    if not len(banded):
-        return at, size, sig, banded, np.empty((0, BANDS), np.uint64)
-    grams, first = _shingles(h), at[banded]
-    many = size[banded] - SHINGLE + 1
-    flat = np.repeat(first - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())
-    own, starts = grams[flat], np.r_[0, np.cumsum(many)[:-1]]
-    bands = np.empty((len(banded), BANDS), np.uint64)
-    for b in range(BANDS):
-        key = np.full(len(banded), b, np.uint64)
-        for r in range(ROWS):
-            key = mixed(key * np.uint64(31) + np.minimum.reduceat(mixed(own, 100 + b * ROWS + r), starts))
-        bands[:, b] = key
-    return at, size, sig, banded, bands
-
-
-def shingle_sets(text: str | None) -> Iterator[tuple[int, np.ndarray]]:
-    """(signature, distinct shingle hashes) of every banded paragraph."""
-    _, h = word_hashes(text)
-    at, size, sig, banded, _ = paragraphs(text)
-    grams = _shingles(h)
-    for k in banded:
-        yield int(sig[k : k + 1].view(np.int64)[0]), np.unique(grams[at[k] : at[k] + size[k] - SHINGLE + 1]).view(np.int64)
+def _flat(starts: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs start..start+many-1 one after the other, and where each begins."""
+    begin = np.cumsum(many) - many
+    return np.repeat(starts - begin, many) + np.arange(many.sum()), begin
+
+
+def bands_of(c: Cut) -> np.ndarray:
+    """A row of band keys per paragraph; zeros for those under LEAST_BANDED words."""
+    bands = np.zeros((len(c.starts), BANDS), np.uint64)
+    banded = np.flatnonzero(c.size >= LEAST_BANDED)
+    if len(banded):
+        at, begin = _flat(c.starts[banded], c.size[banded] - SHINGLE + 1)
+        own = _shingles(c.hashes)[at]
+        for b in range(BANDS):
+            key = np.full(len(banded), b, np.uint64)
+            for r in range(ROWS):
+                key = mixed(key * np.uint64(31) + np.minimum.reduceat(mixed(own, 100 + b * ROWS + r), begin))
+            bands[banded, b] = key
+    return bands.view(np.int64)
+
+
+def shingle_sets(texts: list[str | None], wanted: np.ndarray | None) -> dict[int, np.ndarray]:
+    """Distinct shingle hashes by signature of the paragraphs that are wanted (sorted signatures; None: all with bands)."""
+    c = cut(texts)
+    if not len(c.starts):
+        return {}
+    sig, grams = c.signature, _shingles(c.hashes).view(np.int64)
+    pick = c.size >= LEAST_BANDED
+    if wanted is not None:
+        pick &= len(wanted) > 0 and wanted[np.minimum(np.searchsorted(wanted, sig), len(wanted) - 1)] == sig
+    return {int(sig[k]): np.unique(grams[c.starts[k] : c.starts[k] + c.size[k] - SHINGLE + 1]) for k in np.flatnonzero(pick)}
 
 
 def without(text: str | None, numbers: set[int]) -> str:
@@ -108,7 +136,7 @@ def without(text: str | None, numbers: set[int]) -> str:
 
     data = (text or "").encode("utf-8", "surrogatepass")
     spans = [m.span() for m in re.finditer(rb"[^ \t\n\r\x0b\x0c]+", data)]
-    at = cuts(word_hashes(text)[1])
+    at = cut([text]).starts
     ends = np.r_[at[1:], len(spans)]
     kept, last = [], 0
     for k in sorted(numbers):
@@ -129,19 +157,17 @@ def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
 def paragraph_table(rows: DataFrame) -> DataFrame:
     """doc_id, row, number, words, sig and band0, band1... (0 for paragraphs under LEAST_BANDED words) of every paragraph."""
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [paragraphs(t) for t in batch["text"]]
-            n = np.array([len(f[0]) for f in found])
-            if not n.sum():
-                continue
-            bands = np.zeros((n.sum(), BANDS), np.uint64)
-            bands[np.concatenate([f[3] + k for f, k in zip(found, np.r_[0, np.cumsum(n)[:-1]])])] = np.concatenate([f[4] for f in found])
-            out = {"doc_id": batch["doc_id"].astype("Int64").repeat(n).array, "row": batch["row"].to_numpy().repeat(n), "number": np.concatenate([np.arange(k) for k in n])}
-            out |= {"words": np.concatenate([f[1] for f in found]), "sig": np.concatenate([f[2] for f in found]).view(np.int64)}
-            yield pd.DataFrame(out | {f"band{b}": bands[:, b].view(np.int64) for b in range(BANDS)})
+            for a, b in slices(batch["text"].str.len().fillna(0).astype(int).tolist(), PIECE):
+                c = cut(batch["text"].iloc[a:b].tolist())
+                if not len(c.starts):
+                    continue
+                bands = bands_of(c)
+                out = {"doc_id": batch["doc_id"].iloc[a:b].astype("Int64").array[c.owner], "row": batch["row"].to_numpy()[a:b][c.owner], "number": c.number, "words": c.size, "sig": c.signature}
+                yield pd.DataFrame(out | {f"band{k}": bands[:, k] for k in range(BANDS)})
 
-    return rows.mapInPandas(cut, "doc_id long, row long, number int, words int, sig long, " + ", ".join(f"band{b} long" for b in range(BANDS)))
+    return rows.mapInPandas(cut_all, "doc_id long, row long, number int, words int, sig long, " + ", ".join(f"band{b} long" for b in range(BANDS)))
 
 
 def _maybe_sent(df: DataFrame, rows: int) -> DataFrame:
@@ -149,24 +175,37 @@ def _maybe_sent(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= SENT_OUT // 4 else df
 
 
+def _linked(members: list[tuple[int, frozenset]]) -> Iterator[tuple[int, int]]:
+    """One link per member to the first of its component among paragraphs of Jaccard SIMILAR or more."""
+    left = sorted(members, key=lambda m: m[0])
+    while len(left) > 1:
+        root, front, rest = left[0][0], left[:1], left[1:]
+        while front and rest:
+            one, apart = front.pop()[1], []
+            for m in rest:
+                both = len(one & m[1])
+                if both >= SIMILAR * (len(one) + len(m[1]) - both):
+                    front.append(m)
+                    yield root, m[0]
+                else:
+                    apart.append(m)
+            rest = apart
+        left = rest
+
+
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One link per member to the first of its component within each group of (sig, shingles)."""
+    """Links within each group, over rows (group, sig, shingles) sorted by group; one group is held at a time."""
+    group, members = None, {}
     for batch in batches:
-        a, b = [], []
-        for members in batch["members"]:
-            left = sorted({int(m["sig"]): frozenset(np.asarray(m["shingles"]).tolist()) for m in members}.items())
-            while len(left) > 1:
-                root, front, rest = left[0][0], left[:1], left[1:]
-                while front and rest:
-                    one = front.pop()[1]
-                    near = [len(one & s) >= SIMILAR * len(one | s) for _, s in rest]
-                    joined = [m for m, ok in zip(rest, near) if ok]
-                    rest = [m for m, ok in zip(rest, near) if not ok]
-                    front += joined
-                    a += [root] * len(joined)
-                    b += [m[0] for m in joined]
-                left = rest
-        yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+        found: list[tuple[int, int]] = []
+        for g, sig, shingles in zip(batch["group"].tolist(), batch["sig"].tolist(), batch["shingles"]):
+            if g != group:
+                found += _linked(list(members.items()))
+                group, members = g, {}
+            if sig not in members:
+                members[sig] = frozenset(shingles.tolist())
+        yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+    yield pd.DataFrame(list(_linked(list(members.items()))), columns=["a", "b"], dtype="int64")
 
 
 def similar_links(rows: DataFrame, table: DataFrame) -> DataFrame:
@@ -180,21 +219,19 @@ def similar_links(rows: DataFrame, table: DataFrame) -> DataFrame:
     places = written(table.select("sig", "row").join(_maybe_sent(wanted, n_wanted), "sig").groupBy("sig").agg(F.min("row").alias("row")).select("row").distinct(), "places")
     givers = rows.join(_maybe_sent(places, places.count()), "row", "left_semi").select("text")
 
+    ids = rows.sparkSession.sparkContext.broadcast(np.sort(wanted.toArrow().column("sig").to_numpy()) if n_wanted <= SENT_OUT else None)
+
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found: dict[int, np.ndarray] = {}
-            for t in batch["text"]:
-                found.update(shingle_sets(t))
-                if len(found) > 20_000:
-                    yield pd.DataFrame({"sig": np.array(list(found), np.int64), "shingles": list(found.values())})
-                    found = {}
-            yield pd.DataFrame({"sig": np.array(list(found), np.int64), "shingles": list(found.values())})
-
-    bodies = written(givers.mapInPandas(sets, "sig long, shingles array<long>").join(_maybe_sent(wanted, n_wanted), "sig", "left_semi").dropDuplicates(["sig"]), "bodies")
+            for a, b in slices(batch["text"].str.len().fillna(0).astype(int).tolist(), PIECE):
+                found = shingle_sets(batch["text"].iloc[a:b].tolist(), ids.value)
+                yield pd.DataFrame({"sig": np.array(list(found), np.int64), "shingles": list(found.values())})
+
+    got = givers.mapInPandas(sets, "sig long, shingles array<long>")
+    bodies = written((got if n_wanted <= SENT_OUT else got.join(wanted, "sig", "left_semi")).dropDuplicates(["sig"]), "bodies")
     counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     full = written(members.join(counts, "key").join(bodies, "sig"), "candidates")
-    group = F.collect_list(F.struct("sig", "shingles")).alias("members")
-    direct = full.where(F.col("n") <= TOGETHER).groupBy("key").agg(group)
+    direct = full.where(F.col("n") <= TOGETHER).select(F.col("key").alias("group"), "sig", "shingles")
 
     # Larger buckets: two sets of Jaccard s or more share one of their rarest shingles, floor((1-s)|set|)+1 of them.
     grams = full.where(F.col("n") > TOGETHER).select("key", "sig", F.explode("shingles").alias("gram"))
@@ -208,9 +245,9 @@ def similar_links(rows: DataFrame, table: DataFrame) -> DataFrame:
     dealt = prefix.join(sizes, ["key", "gram"]).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
     paired = dealt.select("key", "gram", "sig", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     paired = paired.select("key", "gram", "sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    hot = paired.join(bodies, "sig").groupBy("key", "gram", "i", "j").agg(group)
-    found = direct.select("members").unionAll(hot.select("members")) if full.where(F.col("n") > TOGETHER).limit(1).count() else direct.select("members")
-    return found.mapInPandas(_verify, "a long, b long").distinct()
+    hot = paired.distinct().join(bodies, "sig").select(F.xxhash64("key", "gram", "i", "j").alias("group"), "sig", "shingles")
+    found = direct.unionAll(hot) if full.where(F.col("n") > TOGETHER).limit(1).count() else direct
+    return found.repartition("group").sortWithinPartitions("group").mapInPandas(_verify, "a long, b long").distinct()
 
 
 # --- repeats --------------------------------------------------------------------------------------------------------
@@ -264,12 +301,12 @@ def without_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     row = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
     @F.pandas_udf("string")
-    def cut(texts: pd.Series, numbers: pd.Series) -> pd.Series:
+    def shorten(texts: pd.Series, numbers: pd.Series) -> pd.Series:
         return pd.Series([t if n is None else without(t, set(map(int, n))) for t, n in zip(texts, numbers)], dtype=object)
 
     joined = docs.withColumn("_row", row).join(_maybe_sent(gone.withColumnsRenamed({"doc_id": "_doc", "row": "_row2"}), 20 * gone.count()), F.col(key).cast("long").eqNullSafe(F.col("_doc")) & (F.col("_row") == F.col("_row2")), "left")
     changed = F.col("_gone").isNotNull()
-    fresh = joined.where(changed).withColumn(text, cut(F.col(text), F.col("_gone")))
+    fresh = joined.where(changed).withColumn(text, shorten(F.col(text), F.col("_gone")))
     if chars in docs.columns:
         fresh = fresh.withColumn(chars, F.length(text).cast(docs.schema[chars].dataType))
     fresh = fresh.where(F.length(F.trim(F.translate(text, "\t\n\r\x0b\x0c", "     "))) > 0)
