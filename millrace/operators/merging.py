@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 def dedupe_first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """The first row of each key by order. Rows with a null key part conflict with nothing and all stay."""
     null = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.where(~null).withColumn("_n", first).where("_n = 1").drop("_n").unionByName(df.where(null))
+    return _first(df.where(~null), keys, order).unionByName(df.where(null))
+
+
+def _first(df: DataFrame, keys: list[str], order: list) -> DataFrame:
+    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")
 
 
 def merge_wins(dfs: list[DataFrame], keys: list[str], last: bool = True) -> DataFrame:
@@ -37,12 +40,14 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], *, action: str
 
     action "nothing" keeps the target's row; "update" takes the batch's row if a column of compare differs (all others by
     default, null-safe; [] means always). Of batch rows with one key, the first by order counts (columns descending by
-    default). Null keys never conflict: such rows are inserted. One shuffle by key on each side.
+    default). Null keys never conflict: such rows are inserted. One shuffle by key on each side: the batch is deduplicated
+    and joined in the same partitioning.
     """
     others = [c for c in target.columns if c not in keys]
     known = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-    rows = dedupe_first(batch.select(*target.columns), keys, order or [F.desc(c) for c in others])
-    t, b = target.where(known).withColumn("_t", F.lit(1)).alias("t"), rows.where(known).withColumn("_b", F.lit(1)).alias("b")
+    rows = batch.select(*target.columns)
+    first = _first(rows.where(known), keys, order or [F.desc(c) for c in others])
+    t, b = target.where(known).withColumn("_t", F.lit(1)).alias("t"), first.withColumn("_b", F.lit(1)).alias("b")
     both = t.join(b, reduce(Column.__and__, [F.col(f"t.{k}") == F.col(f"b.{k}") for k in keys]), "full_outer")
     tested = others if compare is None else compare
     differs = ~_row("t", tested).eqNullSafe(_row("b", tested)) if tested else F.lit(True)

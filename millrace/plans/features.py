@@ -109,12 +109,15 @@ def x09(spark, d):
 
 
 _WASTE = "SELECT item_id, sum(total_picked) AS picked, sum(total_waste) AS waste, count(*) AS pickings, sum(total_waste) / (sum(total_picked) + sum(total_waste) + 1e-10) AS waste_rate FROM {picking} GROUP BY item_id HAVING count(*) >= 5"
-_ROUND_ITEM = [r6("picked").alias("picked"), r6("waste").alias("waste"), "pickings", r6("waste_rate").alias("waste_rate")]
+
+
+def _rounded(items):
+    return items.select("item_id", r6("picked").alias("picked"), r6("waste").alias("waste"), "pickings", r6("waste_rate").alias("waste_rate"))
 
 
 @query("x10_item_waste", f"SELECT item_id, round(picked, 6) AS picked, round(waste, 6) AS waste, pickings, round(waste_rate, 6) AS waste_rate FROM ({_WASTE}) ORDER BY round(waste_rate, 6) DESC, item_id LIMIT 20")
 def x10(spark, d):
-    return x.top_k(x.item_waste(view(spark, d, "picking")).select("item_id", *_ROUND_ITEM), [F.desc("waste_rate"), "item_id"], 20)
+    return x.top_k(_rounded(x.item_waste(view(spark, d, "picking"))), [F.desc("waste_rate"), "item_id"], 20)
 
 
 _EFF = "SELECT picking_route_id, round(sum(total_picked), 6) AS picked, round(sum(total_waste), 6) AS waste, round(sum(total_picked) / (sum(total_picked) + sum(total_waste) + 1e-10), 6) AS efficiency FROM {picking} GROUP BY picking_route_id"
@@ -140,7 +143,7 @@ def x13(spark, d):
 
 @query("x14_low_pick_high_waste", f"SELECT item_id, round(picked, 6) AS picked, round(waste, 6) AS waste, pickings, round(waste_rate, 6) AS waste_rate FROM ({_WASTE}) WHERE picked < (SELECT quantile_cont(picked, 0.25) FROM ({_WASTE})) AND waste_rate > 0.05")
 def x14(spark, d):
-    return x.low_pick_high_waste(x.item_waste(view(spark, d, "picking")), 0.05).select("item_id", *_ROUND_ITEM)
+    return _rounded(x.low_pick_high_waste(x.item_waste(view(spark, d, "picking")), 0.05))
 
 
 @query("x15_type_distribution", "SELECT CASE event_type WHEN 'click' THEN 'Scan' WHEN 'view' THEN 'Look-up' WHEN 'purchase' THEN 'Pick' WHEN 'signup' THEN 'Shift start' ELSE 'Other' END AS label, count(*) AS n FROM events GROUP BY 1")
