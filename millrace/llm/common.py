@@ -49,6 +49,19 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+NO_ID = -(2**63)  # stands for a null id on the way through pandas, which would turn a column with nulls into floats
+
+
+def solid(key: Column | str) -> Column:
+    """The id as long, NO_ID for null."""
+    return F.coalesce((F.col(key) if isinstance(key, str) else key).cast("long"), F.lit(NO_ID).cast("long"))
+
+
+def or_null(key: str) -> Column:
+    """The id again, null for NO_ID."""
+    return F.nullif(F.col(key), F.lit(NO_ID).cast("long"))
+
+
 def bucket_of(col: Column, n: int) -> Column:
     """A bucket from 0 to n-1 by a hash of col."""
     return F.pmod(F.xxhash64(col), F.lit(n)).cast("int")

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import bucket_of
+from millrace.llm.common import bucket_of, or_null, solid
 
 WINDOW = 128  # words of a passage; passages start every half window
 SHINGLE = 5
@@ -198,7 +198,7 @@ def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text
     and sent out at a time, so neither driver nor tasks hold more; every passage meets every index. Null and blank texts hold nothing; repeated rows and equal items are each reported.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(solid(key).alias("doc_id"), F.col(text).alias("text"))
     out = None
     for indexes in _passes(items, item_key, item_text, threshold):
         shipped = spark.sparkContext.broadcast(indexes)
@@ -208,7 +208,7 @@ def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text
             for batch in batches:
                 yield pd.DataFrame([(doc, *hit) for doc, t in zip(batch["doc_id"], batch["text"]) for hit in _found(shipped.value, t)], columns=names)
 
-        found = rows.mapInPandas(search, SCHEMA)
+        found = rows.mapInPandas(search, SCHEMA).withColumn("doc_id", or_null("doc_id"))
         out = found if out is None else out.unionAll(found)
     return out
 

@@ -49,16 +49,12 @@ def grams(texts: list[str], orders: tuple[int, ...]) -> tuple[np.ndarray, np.nda
 
     Texts are lower-cased; each run of other characters counts as one space; an n-gram holds two letters at least.
     """
-    joined = "\n \n".join(texts).lower() if len(texts) > 1 else f" {texts[0]} ".lower()
-    code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    if len(texts) > 1:
-        ends = np.cumsum([len(t.lower()) + 3 for t in texts])
-        owner = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))[: len(code)]
-    else:
-        owner = np.zeros(len(code), dtype=np.int64)
+    parts = [f" {t} ".lower() for t in texts]
+    code = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
     letter = _letters()[code]
     keep = letter.copy()
-    keep[1:] |= letter[:-1]  # the first of a run of other characters stays, as a space
+    keep[1:] |= letter[:-1] | (owner[1:] != owner[:-1])  # the first of a run of other characters stays, as a space
     keep[0] = True
     code, owner, letter = np.where(letter, code, 32)[keep].astype(np.uint64), owner[keep], letter[keep].astype(np.int8)
     hashes, owners = [], []
@@ -154,7 +150,7 @@ def score_texts(model: LanguageFilters, texts: list[str | None]) -> tuple[list[s
     if not size:
         return [UNKNOWN] * len(texts), np.zeros(len(texts))
     false = model.false_rate
-    share = np.clip((hits / np.maximum(total, 1)[:, None] - false) / (1 - false), 0, 1)
+    share = np.clip((hits / np.maximum(total, 1)[:, None] - false) / np.maximum(1 - false, 1e-9), 0, 1)
     best = share.argmax(axis=1)
     lettered = np.array([any(map(str.isalpha, t or "")) for t in texts], dtype=bool)
     score = np.where(lettered, share.max(axis=1) / np.maximum(share.sum(axis=1), 1e-9), 0.0)

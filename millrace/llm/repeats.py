@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import mixed, slices, written
+from millrace.llm.common import mixed, or_null, slices, solid, written
 from millrace.llm.components import connected_components
 
 RADIUS = 6  # words on either side that decide about a cut
@@ -151,7 +151,7 @@ def without(text: str | None, numbers: set[int]) -> str:
 
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("row"), F.col(text).alias("text"))
+    return docs.select(solid(key).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("row"), F.col(text).alias("text"))
 
 
 def paragraph_table(rows: DataFrame) -> DataFrame:
@@ -164,7 +164,7 @@ def paragraph_table(rows: DataFrame) -> DataFrame:
                 if not len(c.starts):
                     continue
                 bands = bands_of(c)
-                out = {"doc_id": batch["doc_id"].iloc[a:b].astype("Int64").array[c.owner], "row": batch["row"].to_numpy()[a:b][c.owner], "number": c.number, "words": c.size, "sig": c.signature}
+                out = {"doc_id": batch["doc_id"].to_numpy()[a:b][c.owner], "row": batch["row"].to_numpy()[a:b][c.owner], "number": c.number, "words": c.size, "sig": c.signature}
                 yield pd.DataFrame(out | {f"band{k}": bands[:, k] for k in range(BANDS)})
 
     return rows.mapInPandas(cut_all, "doc_id long, row long, number int, words int, sig long, " + ", ".join(f"band{b} long" for b in range(BANDS)))
@@ -258,7 +258,8 @@ def shared_paragraphs(docs: DataFrame, *, key: str = "doc_id", text: str = "text
 
     component is the least signature of its similar texts, (first_doc, first_row) the document that keeps it, run the
     number of the first paragraph of its run. `row` is a hash of the text: rows equal in id and text count as one
-    document, so repeated rows are no repeats of one another. Null and blank texts have no paragraphs.
+    document, so repeated rows are no repeats of one another. Null and blank texts have no paragraphs. A null id is
+    NO_ID here, the least of all.
     """
     rows = _rows(docs, key, text)
     table = written(paragraph_table(rows), "paragraphs")
@@ -285,8 +286,8 @@ def repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> Data
     """One row per document and run of shared paragraphs: doc_id, run, run_words, paragraphs, removed (how many of them
     are kept elsewhere), first_doc (the least document that keeps one), component (the least of its components)."""
     found = shared_paragraphs(docs, key=key, text=text)
-    other = ~(F.col("first_doc").eqNullSafe(F.col("doc_id")) & (F.col("first_row") == F.col("row")))
-    return found.groupBy("doc_id", "row", "run").agg(F.max("run_words").alias("run_words"), F.count(F.lit(1)).alias("paragraphs"), F.count_if(other).alias("removed"), F.min("first_doc").alias("first_doc"), F.min("component").alias("component")).drop("row")
+    other = (F.col("first_doc") != F.col("doc_id")) | (F.col("first_row") != F.col("row"))
+    return found.groupBy("doc_id", "row", "run").agg(F.max("run_words").alias("run_words"), F.count(F.lit(1)).alias("paragraphs"), F.count_if(other).alias("removed"), F.min("first_doc").alias("first_doc"), F.min("component").alias("component")).drop("row").withColumns({"doc_id": or_null("doc_id"), "first_doc": or_null("first_doc")})
 
 
 def without_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", chars: str | None = "n_chars") -> DataFrame:
@@ -296,7 +297,7 @@ def without_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     column, is counted anew where the text changed.
     """
     found = shared_paragraphs(docs, key=key, text=text)
-    other = ~(F.col("first_doc").eqNullSafe(F.col("doc_id")) & (F.col("first_row") == F.col("row")))
+    other = (F.col("first_doc") != F.col("doc_id")) | (F.col("first_row") != F.col("row"))
     gone = written(found.where(other).groupBy("doc_id", "row").agg(F.collect_set("number").alias("_gone")), "gone")
     row = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
@@ -304,7 +305,7 @@ def without_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     def shorten(texts: pd.Series, numbers: pd.Series) -> pd.Series:
         return pd.Series([t if n is None else without(t, set(map(int, n))) for t, n in zip(texts, numbers)], dtype=object)
 
-    joined = docs.withColumn("_row", row).join(_maybe_sent(gone.withColumnsRenamed({"doc_id": "_doc", "row": "_row2"}), 20 * gone.count()), F.col(key).cast("long").eqNullSafe(F.col("_doc")) & (F.col("_row") == F.col("_row2")), "left")
+    joined = docs.withColumn("_row", row).join(_maybe_sent(gone.withColumnsRenamed({"doc_id": "_doc", "row": "_row2"}), 20 * gone.count()), (solid(key) == F.col("_doc")) & (F.col("_row") == F.col("_row2")), "left")
     changed = F.col("_gone").isNotNull()
     fresh = joined.where(changed).withColumn(text, shorten(F.col(text), F.col("_gone")))
     if chars in docs.columns:

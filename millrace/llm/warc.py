@@ -63,12 +63,12 @@ def write_archives(rows: DataFrame, path: str, *, captured: str = "2024-01-01T00
             body = "" if k == "revisit" else h
             lines = ["WARC/1.1", f"WARC-Type: {k}", f"WARC-Record-ID: <urn:page:{p}>", f"WARC-Target-URI: {clean_header(u)}", f"WARC-Date: {captured}", f"WARC-Payload-Digest: sha1:{d}", f"X-Payload-Length: {n}"]
             if k == "revisit":
-                lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{int(r)}>"]
+                lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{r}>"]
             lines += ["Content-Type: text/html; charset=utf-8", f"Content-Length: {len(body.encode('utf-8', 'replace'))}"]
             out.append("\r\n".join(lines) + "\r\n\r\n" + body)
         return pd.Series(out, dtype=object)
 
-    text = rows.select(record("page_id", "url", "html", "payload_digest", "payload_bytes", "record_type", "refers_to").alias("value"))
+    text = rows.select(record(F.coalesce(F.col("page_id").cast("string"), F.lit("")), "url", "html", "payload_digest", "payload_bytes", "record_type", F.col("refers_to").cast("string")).alias("value"))
     text.write.option("lineSep", END.decode()).option("maxRecordsPerFile", records_per_file).option("compression", "gzip").text(path)
     return path
 
