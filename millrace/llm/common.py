@@ -25,6 +25,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Have Spark hand texts to Python in batches of 8 MB rather than 64: a worker holds several copies of one."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A path for a new table in the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

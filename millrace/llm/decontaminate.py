@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import bucket_of, or_null, solid
+from millrace.llm.common import bucket_of, or_null, small_batches, solid
 
 WINDOW = 128  # words of a passage; passages start every half window
 SHINGLE = 5
@@ -215,6 +215,7 @@ def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text
 
 def _passes(items: DataFrame, item_key: str, item_text: str, threshold: float = 0.6) -> Iterator[list[tuple[ItemIndex, set[str]]]]:
     """The indexes of one pass over the corpus after the other: INDEX_ITEMS items each, PASS_ITEMS together, about."""
+    small_batches(items.sparkSession)
     own = items.select(F.col(item_key).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("item_id is not null")
     passes = max(1, -(-own.count() // PASS_ITEMS))
     for k in range(passes):

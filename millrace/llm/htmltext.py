@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import sampled
+from millrace.llm.common import sampled, small_batches
 
 # Fixed values of HTML: elements whose text is never shown, void elements, and elements that make a block of their own.
 HIDDEN = {"script", "style", "noscript", "template", "head", "title", "svg", "iframe", "object", "math"}
@@ -341,6 +341,7 @@ def main_texts(model: Labeller, pages: list[str | None], batch: int = 128, least
 
 def extract(pages: DataFrame, model: Labeller, *, html: str = "html", out: str = "text") -> DataFrame:
     """pages with the main text as column `out` (replaced if there). Null or blank html gives an empty text."""
+    small_batches(pages.sparkSession)
     shipped = pages.sparkSession.sparkContext.broadcast(model)  # fixed size, under 1 MB
 
     @F.pandas_udf("string")

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import mixed, sampled, slices
+from millrace.llm.common import mixed, sampled, slices, small_batches
 
 ORDERS = (3, 4)
 UNKNOWN = "und"
@@ -99,6 +99,7 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", key: str = "
     Without labelled rows, the model knows no language and answers "und".
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(key).alias("key"), F.col(text).alias("text"))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     names = sorted(counts)
@@ -164,6 +165,7 @@ def identify(docs: DataFrame, model: LanguageFilters, *, text: str = "text", lan
     the first language with score 0. Repeated rows each get their answer; an empty table gives an empty table.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     shipped = spark.sparkContext.broadcast(model)  # 2**bits slots at most, whatever the corpus
     kept = docs.drop(lang, score)
 

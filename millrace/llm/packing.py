@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import or_null, solid, written
+from millrace.llm.common import or_null, small_batches, solid, written
 
 CAPACITY = 2048
 RANK_ROWS = 200_000  # pieces of a bucket, of all lengths together, on average
@@ -111,6 +111,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text:
                     rows.append((doc, start // 4, len(part) // 4, zlib.crc32(part), len(ids) // 4, *([np.frombuffer(part, "<i4")] if with_ids else [])))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
 
+    small_batches(docs.sparkSession)
     found = docs.select(solid(key).alias("doc_id"), F.col(text).alias("text")).mapInPandas(cut, schema)
     return found.withColumn("doc_id", or_null("doc_id"))
 

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import mixed, sampled
+from millrace.llm.common import mixed, sampled, small_batches
 
 BITS = 16
 ORDERS = (1, 2, 3)
@@ -111,6 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
 
     Labels other than 0 and 1, and null ids, are ignored; an id with several labels counts as bad if one is 0.
     """
+    small_batches(docs.sparkSession)
     known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min(label).cast("int").alias("_good"))
     picked = sampled(known, F.col("_key"), known.count(), bound)
     rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(picked), "_key")  # bound rows of 12 bytes
@@ -136,6 +137,7 @@ def score_texts(model: QualityModel, texts: list[str | None]) -> np.ndarray:
 
 def score(docs: DataFrame, model: QualityModel, *, text: str = "text", out: str = "score") -> DataFrame:
     """docs with a column `out` from 0 to 1 (replaced if there); null and empty texts get the score of the bias alone."""
+    small_batches(docs.sparkSession)
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # 2**16 weights
 
     @F.pandas_udf("double")

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import mixed, or_null, slices, solid, written
+from millrace.llm.common import mixed, or_null, slices, small_batches, solid, written
 from millrace.llm.components import connected_components
 
 RADIUS = 6  # words on either side that decide about a cut
@@ -151,6 +151,7 @@ def without(text: str | None, numbers: set[int]) -> str:
 
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    small_batches(docs.sparkSession)
     return docs.select(solid(key).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("row"), F.col(text).alias("text"))
 
 

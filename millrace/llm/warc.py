@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import scratch
+from millrace.llm.common import scratch, small_batches
 
 END = b"\r\n\r\n"
 RECORDS_PER_FILE = 2000
@@ -215,6 +215,7 @@ def archive_index(pages: DataFrame, *, key: str = "page_id", url: str = "url", h
     own (equal ids: the first is a response, so are its repeats). An empty table gives an empty index.
     """
     spark = pages.sparkSession
+    small_batches(spark)
     where = write_archives(revisits(with_digests(pages, key=key, url=url, html=html), least_bytes), path or scratch(spark, "warc"))
     found = read_archives(spark, where)
 
