@@ -128,6 +128,14 @@ def required_columns(cat: DataFrame, required: DataFrame) -> DataFrame:
     return required.join(cat, ["table_name", "column_name"], "left").select("table_name", "column_name", F.col("position").isNotNull().alias("present"), "data_type")
 
 
+def preflight(source: DataFrame, key: str, mapped: list[str]) -> DataFrame:
+    """check, status for the key and every mapped column (each once), and the verdict; reads schemas alone."""
+    spark, have = source.sparkSession, {c.lower() for c in source.columns}
+    rows = [(f"{kind} {c}", "OK" if c.lower() in have else "BLOCKED") for kind, names in (("key", [key]), ("column", list(dict.fromkeys(mapped)))) for c in names]
+    verdict = "BLOCKED" if any(s == "BLOCKED" for _, s in rows) else "READY"
+    return spark.createDataFrame([*rows, ("verdict", verdict)], "check string, status string")
+
+
 def detect_drift(old: DataFrame, new: DataFrame) -> DataFrame:
     """Two column lists compared: added, removed and changed columns and the drift type.
 

@@ -69,6 +69,12 @@ VIEWS = {
                o_orderpriority AS currencycode, o_orderstatus AS salesstatus,
                concat('', CAST(o_orderdate AS DATE)) AS modifieddatetime, CASE WHEN o_orderkey % 2 = 0 THEN 'a1' ELSE 'b2' END AS dataareaid
         FROM {orders}""",
+    "raw_line": """
+        SELECT CASE WHEN l_partkey % 41 = 0 THEN concat('K', l_orderkey) ELSE concat(' ', l_orderkey * 10 + l_linenumber) END AS recid, concat('', l_orderkey) AS orderid,
+               CASE WHEN l_partkey % 19 = 0 THEN '  ' ELSE concat('', l_partkey) END AS itemid, concat('', l_suppkey) AS vendor, concat(l_returnflag, l_linestatus) AS markcode,
+               CASE WHEN l_partkey % 23 = 0 THEN '1e2' WHEN l_partkey % 29 = 0 THEN 'NaN' ELSE concat('', CAST(l_quantity AS BIGINT)) END AS qty,
+               CASE WHEN l_partkey % 31 = 0 THEN '1900-01-01' WHEN l_partkey % 37 = 0 THEN '' ELSE concat('', CAST(l_shipdate AS DATE)) END AS created, 'a1' AS dataareaid
+        FROM {lineitem}""",
     "old_sales": """
         SELECT o_orderkey AS sales_id, o_custkey AS customer, CASE WHEN o_orderkey % 7 = 0 THEN 'old' ELSE o_orderpriority END AS priority,
                CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_orderstatus END AS status
