@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, htmltext, langid, packing, quality, repeats, simhash, topk, warc
-from millrace.llm.common import id_crc
+from millrace.llm import decontaminate, htmltext, langid, packing, quality, repeats, rollups, simhash, topk, warc
+from millrace.llm.common import id_crc, scratch, written
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,22 @@ def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeats(_read(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load all documents, take exact copies back, replace a tokenizer version; commits repeat without effect."""
+    counters = {"word_bpe_49k": rollups.bpe_counter(public_tokenizers.path("word_bpe_49k.json")), "words-1": rollups.word_counter, "words-2": rollups.word_counter_2}
+    counts = written(rollups.count_tokens(_read(spark, sf_dir, "documents"), counters), "counts")
+    first, revised = counts.where("tokenizer <> 'words-2'"), counts.where("tokenizer = 'words-2'")
+    ledger = rollups.TokenLedger(spark, scratch(spark, "ledger"))
+    ledger.commit("load-1", rollups.signed(first, 1))
+    ledger.commit("dedup-1", rollups.signed(rollups.copies(first), -1))
+    ledger.commit("load-1", rollups.signed(first, 1))
+    gone = rollups.signed(rollups.copies(revised), -1)
+    back = rollups.revised(first.where("tokenizer = 'words-1'"), revised)
+    kept = rollups.signed(rollups.copies(first.where("tokenizer = 'words-1'")), 1)
+    ledger.commit("revise-1", back.unionByName(kept).unionByName(gone))
+    return ledger.totals()
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
@@ -83,7 +99,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_top_k, op2_packing, op3_simhash, op4_language_id, op5_repeats, op7_decontamination, op8_main_text, op9_warc, op10_quality)}
+    return {f.__name__: f for f in (op1_top_k, op2_packing, op3_simhash, op4_language_id, op5_repeats, op6_token_counts, op7_decontamination, op8_main_text, op9_warc, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:
