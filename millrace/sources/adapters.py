@@ -135,6 +135,7 @@ def oracle(sql: str) -> str:
     plain = lambda text: re.sub(r"\{(\w+)\}", r"\1", text)
     head = ",\n".join(f"{n} AS ({plain(VIEWS[n])})" for n in needed)
     body = plain(sql).strip().replace(", 6)", " + 1e-9, 6)")  # the shift of functions.columns.r6
+    body = body.replace("count_if(", "count(*) FILTER (")  # count_if is a huge integer in the oracle's engine
     if not head:
         return body
     return f"WITH {head},\n{body[4:].lstrip()}" if body[:5].upper() == "WITH " else f"WITH {head}\n{body}"
