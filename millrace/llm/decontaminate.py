@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import bucket_of, or_null, small_batches, solid
+from millrace.llm.common import bucket_of, give_back, or_null, small_batches, solid
 
 WINDOW = 128  # words of a passage; passages start every half window
 SHINGLE = 5
@@ -207,6 +207,7 @@ def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text
             names = [c.split()[0] for c in SCHEMA.split(", ")]
             for batch in batches:
                 yield pd.DataFrame([(doc, *hit) for doc, t in zip(batch["doc_id"], batch["text"]) for hit in _found(shipped.value, t)], columns=names)
+            give_back()
 
         found = rows.mapInPandas(search, SCHEMA).withColumn("doc_id", or_null("doc_id"))
         out = found if out is None else out.unionAll(found)
@@ -231,8 +232,10 @@ def _found(indexes: list[tuple[ItemIndex, set[str]]], text: str | None) -> list[
 
 def _free_of(shipped):
     @F.pandas_udf("boolean")
-    def free(texts: pd.Series) -> pd.Series:
-        return pd.Series([not _found(shipped.value, t) for t in texts], dtype=bool)
+    def free(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in texts:
+            yield pd.Series([not _found(shipped.value, t) for t in part], dtype=bool)
+        give_back()
 
     return free
 

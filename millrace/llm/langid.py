@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import mixed, sampled, slices, small_batches
+from millrace.llm.common import give_back, mixed, sampled, slices, small_batches
 
 ORDERS = (3, 4)
 UNKNOWN = "und"
@@ -116,6 +116,7 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", key: str = "
                 for _, texts in _pieces(own["text"].tolist()):
                     h, n = np.unique(grams(texts, orders)[0], return_counts=True)
                     yield pd.DataFrame({"lang": name, "gram": h.view(np.int64), "n": n})
+        give_back()
 
     found = picked.mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     index = F.create_map(*[F.lit(x) for pair in ((n, i) for i, n in enumerate(names)) for x in pair])
@@ -174,5 +175,6 @@ def identify(docs: DataFrame, model: LanguageFilters, *, text: str = "text", lan
         for part in texts:
             names, scores = score_texts(shipped.value, part.tolist())
             yield pd.DataFrame({"lang": names, "score": scores})
+        give_back()
 
     return kept.withColumn("_answer", answer(F.col(text))).select(*[kept[c] for c in kept.columns], F.col("_answer.lang").alias(lang), F.col("_answer.score").alias(score))

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import or_null, small_batches, solid, written
+from millrace.llm.common import give_back, or_null, small_batches, solid, written
 
 CAPACITY = 2048
 RANK_ROWS = 200_000  # pieces of a bucket, of all lengths together, on average
@@ -28,7 +28,7 @@ RANK_ROWS = 200_000  # pieces of a bucket, of all lengths together, on average
 # --- tokens ---------------------------------------------------------------------------------------------------------
 
 
-KNOWN_PIECES = 500_000  # word pieces whose ids a worker remembers; the memory starts anew when it is full
+KNOWN_PIECES = 250_000  # word pieces whose ids a worker remembers; the memory starts anew when it is full
 # Characters that lower-case one by one and that no normalisation joins: ASCII and the Latin-1 letters.
 PLAIN = re.compile("[\\x00-\\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
 LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
@@ -110,6 +110,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text:
                     part = ids[start : start + 4 * capacity]
                     rows.append((doc, start // 4, len(part) // 4, zlib.crc32(part), len(ids) // 4, *([np.frombuffer(part, "<i4")] if with_ids else [])))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
+        give_back()
 
     small_batches(docs.sparkSession)
     found = docs.select(solid(key).alias("doc_id"), F.col(text).alias("text")).mapInPandas(cut, schema)

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import mixed, sampled, small_batches
+from millrace.llm.common import give_back, mixed, sampled, small_batches
 
 BITS = 16
 ORDERS = (1, 2, 3)
@@ -144,5 +144,6 @@ def score(docs: DataFrame, model: QualityModel, *, text: str = "text", out: str
     def answer(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in texts:
             yield pd.Series(score_texts(shipped.value, part.tolist()))
+        give_back()
 
     return docs.drop(out).withColumn(out, answer(F.col(text)))

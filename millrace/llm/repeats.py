@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import mixed, or_null, slices, small_batches, solid, written
+from millrace.llm.common import give_back, mixed, or_null, slices, small_batches, solid, written
 from millrace.llm.components import connected_components
 
 RADIUS = 6  # words on either side that decide about a cut
@@ -167,6 +167,7 @@ def paragraph_table(rows: DataFrame) -> DataFrame:
                 bands = bands_of(c)
                 out = {"doc_id": batch["doc_id"].to_numpy()[a:b][c.owner], "row": batch["row"].to_numpy()[a:b][c.owner], "number": c.number, "words": c.size, "sig": c.signature}
                 yield pd.DataFrame(out | {f"band{k}": bands[:, k] for k in range(BANDS)})
+        give_back()
 
     return rows.mapInPandas(cut_all, "doc_id long, row long, number int, words int, sig long, " + ", ".join(f"band{b} long" for b in range(BANDS)))
 
@@ -207,6 +208,7 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 members[sig] = frozenset(shingles.tolist())
         yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
     yield pd.DataFrame(list(_linked(list(members.items()))), columns=["a", "b"], dtype="int64")
+    give_back()
 
 
 def similar_links(rows: DataFrame, table: DataFrame) -> DataFrame:
@@ -227,6 +229,7 @@ def similar_links(rows: DataFrame, table: DataFrame) -> DataFrame:
             for a, b in slices(batch["text"].str.len().fillna(0).astype(int).tolist(), PIECE):
                 found = shingle_sets(batch["text"].iloc[a:b].tolist(), ids.value)
                 yield pd.DataFrame({"sig": np.array(list(found), np.int64), "shingles": list(found.values())})
+        give_back()
 
     got = givers.mapInPandas(sets, "sig long, shingles array<long>")
     bodies = written((got if n_wanted <= SENT_OUT else got.join(wanted, "sig", "left_semi")).dropDuplicates(["sig"]), "bodies")

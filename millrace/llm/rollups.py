@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import or_null, small_batches, solid
+from millrace.llm.common import give_back, or_null, small_batches, solid
 from millrace.llm.packing import _coder
 
 KEYS = ["source", "lang", "tokenizer"]
@@ -52,6 +52,7 @@ def count_tokens(docs: DataFrame, counters: dict[str, Callable[[str], int]], *,
     def count(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in texts:
             yield pd.Series([[counters[n](t or "") for n in names] for t in part], dtype=object)
+        give_back()
 
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(solid(key).alias("doc_id"), F.col(source).cast("string").alias("source"), F.col(lang).cast("string").alias("lang"), F.sha2(whole, 256).alias("digest"), count(F.col(text)).alias("_n"))

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import small_batches, written
+from millrace.llm.common import give_back, small_batches, written
 from millrace.llm.components import connected_components
 
 WORDS = 3
@@ -55,6 +55,7 @@ def with_fingerprints(docs: DataFrame, *, text: str = "text", out: str = "fp", w
     def answer(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in texts:
             yield pd.Series(np.array([fingerprint(t, words) for t in part], dtype=np.uint64).view(np.int64))
+        give_back()
 
     small_batches(docs.sparkSession)
     return docs.withColumn(out, answer(F.col(text)))
