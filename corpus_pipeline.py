@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, langid, packing, repeats, simhash
+from millrace.llm import decontaminate, langid, neardups, packing, repeats
 from millrace.llm.common import written
 
 ORACLE_SQL = None  # fingerprints, filters and token ids are not SQL; tests hold each stage against brute force
@@ -24,8 +24,8 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id."""
-    return simhash.representatives(docs)
+    """One document of each group of near copies (five-word Jaccard of 0.8 or more) stays: the one with the smallest id."""
+    return neardups.representatives(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
