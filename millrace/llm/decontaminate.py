@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import bucket_of, give_back, or_null, small_batches, solid
+from millrace.llm.common import give_back, or_null, small_batches, solid, written
 
 WINDOW = 128  # words of a passage; passages start every half window
 SHINGLE = 5
@@ -55,7 +55,7 @@ def shingles(words: list[str], n: int = SHINGLE) -> set[str]:
 class ItemIndex:
     """items in order of their number; postings by term: item numbers ascending, with normalized scores."""
 
-    item_ids: list[int]
+    item_ids: list[int | None]
     parts: list[tuple[set[str], set[str]]]
     terms: dict[str, int]
     postings: list[tuple[list[int], list[float]]]
@@ -67,15 +67,29 @@ class ItemIndex:
         return {g for q, a in self.parts for g in q | a}
 
 
-def build_index(items: list[tuple[int, str | None]], *, threshold: float = 0.6, k1: float = 1.2, b: float = 0.75, window: int = WINDOW) -> ItemIndex:
+@dataclass
+class Statistics:
+    """What BM25 knows of all items that hold a word: their number, mean length, and in how many a term stands."""
+
+    n: int
+    mean: float
+    df: dict[str, int]
+
+
+def statistics(words: list[list[str]]) -> Statistics:
+    return Statistics(len(words), sum(map(len, words)) / len(words) if words else 1.0, Counter(t for w in words for t in set(w)))
+
+
+def build_index(items: list[tuple[int | None, str | None]], *, whole: Statistics | None = None, threshold: float = 0.6, k1: float = 1.2, b: float = 0.75, window: int = WINDOW) -> ItemIndex:
     """Index (item_id, text) pairs. An item of more words than half a window needs the share of the threshold that half a window can hold.
 
-    Items without a word can't be found and are left out."""
-    kept = sorted((i, t) for i, t in items if i is not None and words_of(t))
+    `whole` holds the statistics of all items if these are only some of them. Items without a word can't be found and
+    are left out."""
+    kept = sorted(((i, t) for i, t in items if words_of(t)), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
     words = [words_of(t) for _, t in kept]
-    n, mean = len(kept), (sum(map(len, words)) / len(words) if words else 1.0)
-    df = Counter(t for w in words for t in set(w))
-    terms = {t: k for k, t in enumerate(sorted(df))}
+    whole, n_items = whole or statistics(words), len(kept)
+    n, mean, df = whole.n, whole.mean, whole.df
+    terms = {t: k for k, t in enumerate(sorted({t for w in words for t in w}))}
     lists: list[tuple[list[int], list[float]]] = [([], []) for _ in terms]
     for i, w in enumerate(words):
         own = {t: np.log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * f * (k1 + 1) / (f + k1 * (1 - b + b * len(w) / mean)) for t, f in Counter(w).items()}
@@ -83,7 +97,7 @@ def build_index(items: list[tuple[int, str | None]], *, threshold: float = 0.6,
         for t, s in own.items():
             lists[terms[t]][0].append(i)
             lists[terms[t]][1].append(s / total)
-    top = np.zeros((len(terms), (n + BLOCK - 1) // BLOCK), dtype=np.float32)
+    top = np.zeros((len(terms), (n_items + BLOCK - 1) // BLOCK), dtype=np.float32)
     for t, (at, s) in enumerate(lists):
         np.maximum.at(top[t], np.array(at) // BLOCK, np.array(s, dtype=np.float32))
     least = np.array([threshold * min(1.0, window / 2 / len(w)) for w in words])
@@ -194,8 +208,9 @@ def hits(index: ItemIndex, words: list[str], grams: set[str], *, window: int = W
 def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", threshold: float = 0.6) -> DataFrame:
     """One row per document and test item that it holds: score, overlaps, first passage and number of passages.
 
-    Items are dealt to indexes of INDEX_ITEMS (document frequencies are the index's), and PASS_ITEMS of them are built
-    and sent out at a time, so neither driver nor tasks hold more; every passage meets every index. Null and blank texts hold nothing; repeated rows and equal items are each reported.
+    Items are dealt to indexes of INDEX_ITEMS, and PASS_ITEMS of them are built and sent out at a time, so neither
+    driver nor tasks hold more; every passage meets every index. Scores use the statistics of all items, however they
+    are dealt. Null and blank texts hold nothing; repeated rows and equal items are each reported, with a null item_id too.
     """
     spark = docs.sparkSession
     rows = docs.select(solid(key).alias("doc_id"), F.col(text).alias("text"))
@@ -209,7 +224,7 @@ def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text
                 yield pd.DataFrame([(doc, *hit) for doc, t in zip(batch["doc_id"], batch["text"]) for hit in _found(shipped.value, t)], columns=names)
             give_back()
 
-        found = rows.mapInPandas(search, SCHEMA).withColumn("doc_id", or_null("doc_id"))
+        found = rows.mapInPandas(search, SCHEMA).withColumns({"doc_id": or_null("doc_id"), "item_id": or_null("item_id")})
         out = found if out is None else out.unionAll(found)
     return out
 
@@ -217,11 +232,21 @@ def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text
 def _passes(items: DataFrame, item_key: str, item_text: str, threshold: float = 0.6) -> Iterator[list[tuple[ItemIndex, set[str]]]]:
     """The indexes of one pass over the corpus after the other: INDEX_ITEMS items each, PASS_ITEMS together, about."""
     small_batches(items.sparkSession)
-    own = items.select(F.col(item_key).cast("long").alias("item_id"), F.col(item_text).alias("text")).where("item_id is not null")
-    passes = max(1, -(-own.count() // PASS_ITEMS))
+
+    @F.pandas_udf("array<string>")
+    def split(texts: pd.Series) -> pd.Series:
+        return pd.Series([words_of(t) for t in texts], dtype=object)
+
+    own = written(items.select(solid(item_key).alias("item_id"), F.col(item_text).alias("text")).withColumn("words", split("text")).where(F.size("words") > 0), "items")
+    n, mean = own.agg(F.count(F.lit(1)), F.avg(F.size("words"))).first()
+    df = written(own.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df")), "frequencies")
+    passes = max(1, -(-n // PASS_ITEMS))
     for k in range(passes):
-        part = sorted(tuple(r) for r in own.where(bucket_of(F.col("item_id"), passes) == k).collect())
-        indexes = [build_index(part[i : i + INDEX_ITEMS], threshold=threshold) for i in range(0, max(1, len(part)), INDEX_ITEMS)]
+        dealt = own.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k)
+        terms = dealt.select(F.explode("words").alias("term")).distinct()
+        whole = Statistics(n, mean or 1.0, {r["term"]: r["df"] for r in df.join(terms, "term", "left_semi").collect()})
+        part = sorted(tuple(r) for r in dealt.select("item_id", "text").collect())
+        indexes = [build_index(part[i : i + INDEX_ITEMS], whole=whole, threshold=threshold) for i in range(0, max(1, len(part)), INDEX_ITEMS)]
         yield [(x, x.grams) for x in indexes]
 
 
