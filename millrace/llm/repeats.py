@@ -9,7 +9,7 @@ long enough, and all but the first document lose it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import give_back, mixed, or_null, slices, small_batches, solid, written
 from millrace.llm.components import connected_components
+from millrace.llm.passages import shared_passages
 
 RADIUS = 6  # words on either side that decide about a cut
 LONGEST = 64  # words of a paragraph
@@ -130,19 +131,25 @@ def shingle_sets(texts: list[str | None], wanted: np.ndarray | None) -> dict[int
     return {int(sig[k]): np.unique(grams[c.starts[k] : c.starts[k] + c.size[k] - SHINGLE + 1]) for k in np.flatnonzero(pick)}
 
 
-def without(text: str | None, numbers: set[int]) -> str:
-    """The text without the paragraphs of these numbers; what stays keeps its own blanks."""
+def without(text: str | None, numbers: set[int], runs: Iterable[tuple[int, int]] = ()) -> str:
+    """The text without the paragraphs of these numbers and the runs (start, words); what stays keeps its own blanks."""
     import re
 
     data = (text or "").encode("utf-8", "surrogatepass")
     spans = [m.span() for m in re.finditer(rb"[^ \t\n\r\x0b\x0c]+", data)]
     at = cut([text]).starts
     ends = np.r_[at[1:], len(spans)]
-    kept, last = [], 0
-    for k in sorted(numbers):
+    gone = np.zeros(len(spans) + 2, bool)  # one on either side, for the edges
+    for k in numbers:
         if k < len(at):
-            kept.append(data[last : spans[at[k]][0]])
-            last = spans[ends[k]][0] if ends[k] < len(spans) else len(data)
+            gone[at[k] + 1 : ends[k] + 1] = True
+    for start, n in runs:
+        gone[start + 1 : min(start + n, len(spans)) + 1] = True
+    edges = np.flatnonzero(gone[1:] != gone[:-1]).tolist()
+    kept, last = [], 0
+    for a, b in zip(edges[::2], edges[1::2]):
+        kept.append(data[last : spans[a][0]])
+        last = spans[b][0] if b < len(spans) else len(data)
     kept.append(data[last:])
     return b"".join(kept).decode("utf-8", "surrogatepass")
 
@@ -287,31 +294,44 @@ def shared_paragraphs(docs: DataFrame, *, key: str = "doc_id", text: str = "text
 
 
 def repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document and run of shared paragraphs: doc_id, run, run_words, paragraphs, removed (how many of them
-    are kept elsewhere), first_doc (the least document that keeps one), component (the least of its components)."""
+    """One row per document and run of shared paragraphs: doc_id, kind, run, run_words, paragraphs, removed (how many of
+    them are kept elsewhere), first_doc (the least document that keeps one), component (the least of its components).
+
+    And one per passage that is shared word by word (kind "passage") or kept for others ("kept"): run is the place of
+    its first word, removed counts words.
+    """
     found = shared_paragraphs(docs, key=key, text=text)
     other = (F.col("first_doc") != F.col("doc_id")) | (F.col("first_row") != F.col("row"))
-    return found.groupBy("doc_id", "row", "run").agg(F.max("run_words").alias("run_words"), F.count(F.lit(1)).alias("paragraphs"), F.count_if(other).alias("removed"), F.min("first_doc").alias("first_doc"), F.min("component").alias("component")).drop("row").withColumns({"doc_id": or_null("doc_id"), "first_doc": or_null("first_doc")})
+    runs = found.groupBy("doc_id", "row", "run").agg(F.max("run_words").alias("run_words"), F.count(F.lit(1)).alias("paragraphs"), F.count_if(other).alias("removed"), F.min("first_doc").alias("first_doc"), F.min("component").alias("component")).drop("row").withColumn("kind", F.lit("paragraphs"))
+    spans = shared_passages(_rows(docs, key, text))
+    none = {"paragraphs": F.lit(0).cast("long"), "component": F.lit(None).cast("long")}
+    cut_out = spans.select("doc_id", F.col("start").alias("run"), F.col("words").cast("long").alias("run_words"), "first_doc", F.col("words").cast("long").alias("removed")).withColumns(none | {"kind": F.lit("passage")})
+    kept = spans.select(F.col("first_doc").alias("doc_id"), "first_row", F.col("first_start").alias("run"), F.col("first_words").cast("long").alias("run_words")).distinct().drop("first_row").withColumns(none | {"first_doc": F.col("doc_id"), "removed": F.lit(0).cast("long"), "kind": F.lit("kept")})
+    columns = ["doc_id", "kind", "run", "run_words", "paragraphs", "removed", "first_doc", "component"]
+    return runs.select(columns).unionByName(cut_out.select(columns)).unionByName(kept.select(columns)).withColumns({"doc_id": or_null("doc_id"), "first_doc": or_null("first_doc")})
 
 
 def without_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", chars: str | None = "n_chars") -> DataFrame:
-    """docs whose texts have lost every paragraph of a repeat that an earlier document keeps.
+    """docs whose texts have lost every paragraph of a repeat and every shared passage that an earlier document keeps.
 
     A document of which no word is left goes; documents without words from the start stay. `chars`, if it is a
     column, is counted anew where the text changed.
     """
     found = shared_paragraphs(docs, key=key, text=text)
     other = (F.col("first_doc") != F.col("doc_id")) | (F.col("first_row") != F.col("row"))
-    gone = written(found.where(other).groupBy("doc_id", "row").agg(F.collect_set("number").alias("_gone")), "gone")
+    spans = shared_passages(_rows(docs, key, text))
+    numbers = found.where(other).select("doc_id", "row", "number", F.lit(None).cast("struct<start:int,words:int>").alias("span"))
+    parts = numbers.unionByName(spans.select("doc_id", "row", F.lit(None).cast("int").alias("number"), F.struct("start", "words").alias("span")))
+    gone = written(parts.groupBy("doc_id", "row").agg(F.collect_set("number").alias("_gone"), F.collect_set("span").alias("_spans")), "gone")
     row = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
     @F.pandas_udf("string")
-    def shorten(texts: pd.Series, numbers: pd.Series) -> pd.Series:
-        return pd.Series([t if n is None else without(t, set(map(int, n))) for t, n in zip(texts, numbers)], dtype=object)
+    def shorten(texts: pd.Series, numbers: pd.Series, runs: pd.Series) -> pd.Series:
+        return pd.Series([without(t, set(map(int, n)), [(x["start"], x["words"]) for x in r]) for t, n, r in zip(texts, numbers, runs)], dtype=object)
 
     joined = docs.withColumn("_row", row).join(_maybe_sent(gone.withColumnsRenamed({"doc_id": "_doc", "row": "_row2"}), 20 * gone.count()), (solid(key) == F.col("_doc")) & (F.col("_row") == F.col("_row2")), "left")
     changed = F.col("_gone").isNotNull()
-    fresh = joined.where(changed).withColumn(text, shorten(F.col(text), F.col("_gone")))
+    fresh = joined.where(changed).withColumn(text, shorten(F.col(text), F.col("_gone"), F.col("_spans")))
     if chars in docs.columns:
         fresh = fresh.withColumn(chars, F.length(text).cast(docs.schema[chars].dataType))
     fresh = fresh.where(F.length(F.trim(F.translate(text, "\t\n\r\x0b\x0c", "     "))) > 0)
