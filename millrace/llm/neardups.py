@@ -1,8 +1,10 @@
-"""Near copies of whole documents for the pipeline: exact Jaccard over five-word shingles, MinHash bands for candidates.
+"""Near copies of whole documents for the pipeline: covering SimHash links and MinHash bands, verified by exact Jaccard.
 
-The contract of op3_simhash (three words, 64 bits, radius 2) finds little beyond exact copies. At a Jaccard of 0.8 a
-SimHash differs in about 15 % of its bits whatever its length, so a covering for all such pairs needs hundreds of
-tables; 16 bands of four MinHashes miss 0.02 % of the pairs at 0.8. Every candidate is verified by exact Jaccard.
+The pipeline's stage asks for a Jaccard of 0.8 over five-word shingles. There two SimHashes differ in about 15 % of
+their bits whatever their length, so a covering for all such pairs would need hundreds of tables. The stage therefore
+takes two sets of candidates: fingerprints over five-word shingles linked by the covering masks of simhash.py (exact and
+very close copies, however many), and texts that share one of 16 bands of four MinHashes, which miss 0.02 % of the pairs
+at 0.8. Every candidate of either kind is verified by exact Jaccard.
 """
 
 from __future__ import annotations
@@ -14,24 +16,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import NO_ID, give_back, mixed, slices, small_batches, solid, written
+from millrace.llm.common import NO_ID, dropped, give_back, mixed, slices, small_batches, solid, written
 from millrace.llm.components import connected_components
-from millrace.llm.repeats import PIECE, SHINGLE, SIMILAR, _flat, _maybe_sent, _shingles, _verify
+from millrace.llm.repeats import PIECE, SHINGLE, _flat, _shingles, word_hashes
+from millrace.llm.simhash import close_links, majority
+from millrace.llm.verify import maybe_sent, verified_links
 
 BANDS, ROWS = 16, 4  # 1 - (1 - 0.8**4)**16 = 0.9998 of the pairs at the threshold collide
 TOGETHER = 128  # texts of a bucket that one task compares; larger buckets go by a hub, then in blocks
 
 
-def _words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all texts, and how many each has. Words are runs without ASCII blanks, A-Z in lower case."""
-    import xxhash
-
-    digest = xxhash.xxh64_intdigest
-    words = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
-    many = np.array([len(w) for w in words], dtype=np.int64)
-    return np.fromiter((digest(w) for own in words for w in own), dtype=np.uint64, count=int(many.sum())), many
-
-
 def signatures(h: np.ndarray, many: np.ndarray) -> np.ndarray:
     """A hash of each text's words in their order; 0 for a text without any."""
     out = np.zeros(len(many), np.uint64)
@@ -58,62 +52,49 @@ def bands_of(h: np.ndarray, many: np.ndarray) -> np.ndarray:
 
 
 def text_table(rows: DataFrame) -> DataFrame:
-    """doc_id, row, sig (equal for texts of equal words) and bands (null for fewer than SHINGLE words) of every row."""
+    """doc_id, row, sig (equal for texts of equal words), bands and fp (null for fewer than SHINGLE words) of every row."""
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for a, b in slices(batch["text"].str.len().fillna(0).astype(int).tolist(), PIECE):
-                h, many = _words(batch["text"].iloc[a:b].tolist())
+                h, many = word_hashes(batch["text"].iloc[a:b].tolist())
+                grams, begin = _shingles(h), np.cumsum(many) - many
                 bands = [x if n >= SHINGLE else None for x, n in zip(bands_of(h, many), many)]
-                yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[a:b], "row": batch["row"].to_numpy()[a:b], "sig": signatures(h, many), "bands": bands})
+                fp = pd.array([majority(grams[x : x + n - SHINGLE + 1]) if n >= SHINGLE else None for x, n in zip(begin, many)], dtype="Int64")
+                yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[a:b], "row": batch["row"].to_numpy()[a:b], "sig": signatures(h, many), "bands": bands, "fp": fp})
         give_back()
 
-    return rows.mapInPandas(mark, "doc_id long, row long, sig long, bands array<long>")
+    return rows.mapInPandas(mark, "doc_id long, row long, sig long, bands array<long>, fp long")
 
 
 def similar_links(rows: DataFrame, table: DataFrame, *, together: int = TOGETHER) -> DataFrame:
-    """Links (a, b) between signatures whose components are those of all pairs of Jaccard SIMILAR that share a band.
+    """Links (a, b) between signatures whose components are those of all pairs of Jaccard SIMILAR that are candidates.
 
-    Bands that hold the same texts are compared once. In a bucket of over `together` texts each is compared with the
-    least one, the hub. Pairs of two texts linked to the hub are in one component already; what the hub did not link
-    meets all others in blocks, each pair of blocks in a group of its own.
+    Candidates share a band, or a component of close fingerprints. Buckets of the same texts are compared once.
     """
-    distinct = table.where("bands is not null").groupBy("sig").agg(F.first("bands").alias("bands"), F.min("row").alias("row"))
-    keyed = distinct.select("sig", "row", F.explode("bands").alias("key"))
+    distinct = written(table.where("bands is not null").groupBy("sig").agg(F.first("bands").alias("bands"), F.first("fp").alias("fp"), F.min("row").alias("row")), "distinct")
+    close = written(connected_components(close_links(distinct.select("fp").distinct())), "close")
+    by_print = distinct.select("sig", "row", "fp").join(maybe_sent(close, close.count()), F.col("fp") == F.col("node"), "left").select("sig", "row", F.xxhash64(F.coalesce("component", "fp"), F.lit("fp")).alias("key"))
+    keyed = distinct.select("sig", "row", F.explode("bands").alias("key")).unionAll(by_print)
     sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("sig")).alias("same"), F.min("sig").alias("hub")).where("n > 1")
     buckets = written(sizes.groupBy("n", "same", "hub").agg(F.min("key").alias("key")).select("key", "n", "hub"), "buckets")
-    members = written(keyed.join(_maybe_sent(buckets, buckets.count()), "key").select("key", "n", "hub", "sig", "row"), "members")
+    members = written(keyed.join(maybe_sent(buckets, buckets.count()), "key").select("key", "n", "hub", "sig", "row"), "members")
     places = written(members.select("row").distinct(), "places")
-    givers = rows.join(_maybe_sent(places, places.count()), "row", "left_semi").select("text")
+    givers = rows.join(maybe_sent(places, places.count()), "row", "left_semi").select("text")
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for a, b in slices(batch["text"].str.len().fillna(0).astype(int).tolist(), PIECE):
-                h, many = _words(batch["text"].iloc[a:b].tolist())
+                h, many = word_hashes(batch["text"].iloc[a:b].tolist())
                 grams, begin = _shingles(h).view(np.int64), np.cumsum(many) - many
                 yield pd.DataFrame({"sig": signatures(h, many), "shingles": [np.unique(grams[x : x + n - SHINGLE + 1]) for x, n in zip(begin, many)]})
         give_back()
 
     bodies = written(givers.mapInPandas(sets, "sig long, shingles array<long>").dropDuplicates(["sig"]), "bodies")
-    small = members.where(F.col("n") <= together).select(F.col("key").alias("group"), "sig").join(bodies, "sig").select("group", "sig", "shingles")
-    verified = lambda groups: groups.repartition("group").sortWithinPartitions("group").mapInPandas(_verify, "a long, b long")
-    links = verified(small)
-    large = members.where((F.col("n") > together) & (F.col("sig") != F.col("hub"))).select("key", "n", "hub", "sig")
-    if large.limit(1).count():
-        both = F.size(F.array_intersect("shingles", "theirs"))
-        hubs = bodies.select(F.col("sig").alias("hub"), F.col("shingles").alias("theirs"))
-        tested = large.join(bodies, "sig").join(hubs, "hub").withColumn("near", both >= SIMILAR * (F.size("shingles") + F.size("theirs") - both))
-        tested = written(tested.select("key", "n", "hub", "sig", "near"), "tested")
-        links = links.unionAll(tested.where("near").select(F.col("hub").alias("a"), F.col("sig").alias("b")))
-        blocks = F.ceil(F.col("n") / (max(1, together // 2))).cast("int")
-        dealt = tested.withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("sig"), blocks).cast("int")})
-        off = dealt.where(~F.col("near"))
-        odd = off.select("key", F.col("own").alias("other")).distinct()  # blocks that hold a text off the hub
-        all_met = dealt.join(odd, "key").select("key", "own", "other", "sig")
-        all_meet = off.select("key", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), "sig")
-        paired = all_met.unionAll(all_meet).select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("group"), "sig")
-        links = links.unionAll(verified(paired.distinct().join(bodies, "sig").select("group", "sig", "shingles")))
-    return links.distinct()
+    links = written(verified_links(members.select("key", "n", "hub", "sig"), bodies, together=together), "similar")
+    for done in (distinct, close, buckets, members, places, bodies):
+        dropped(done)
+    return links
 
 
 def representatives(docs: DataFrame, *, key: str = "doc_id", text: str = "text", together: int = TOGETHER) -> DataFrame:

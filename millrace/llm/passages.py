@@ -1,9 +1,8 @@
-"""Passages that a text shares with an earlier one, word by word.
+"""Whole passages from lined-up stretches of paragraphs: extended word by word, bridged over edits, verified.
 
-Runs of SEED words are sampled by winnowing: the least hash of every WINDOW consecutive ones, and those that begin a
-line. So every run of SEED + WINDOW - 1 words that two texts share, and every whole line of SEED words or more, has a
-seed in both. Each seed is held against the least document that has it, extended to both sides, and joined with its
-neighbours in the same two texts; spans with a gap between them become one passage if its five-word Jaccard is SIMILAR.
+A stretch ends where its paragraphs do, up to a few words inside the passage that two texts share. The words around
+both its ends are compared in both texts, over changed words as well; stretches of the same two texts with a gap between
+them become one passage if its five-word Jaccard is SIMILAR or more.
 """
 
 from __future__ import annotations
@@ -15,68 +14,37 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import give_back, mixed, slices, written
+from millrace.llm.common import dropped, give_back, slices, written
+from millrace.llm.verify import SIMILAR, maybe_sent
 
-SEED = 14  # words; successive seeds of a shared run overlap, so all between the first and the last is covered
-WINDOW = 11
-CONTEXT = 12  # words known on either side of a seed, more than a window: what is left at the ends of a shared run
 SHINGLE = 5
-SIMILAR = 0.8
+CONTEXT = 40  # words known on either side of a stretch: two gaps between cuts and more
+STEPS = ((1, 1), (1, 0), (0, 1), (2, 2), (2, 1), (1, 2), (3, 3))  # words changed, added or left out at an edit
 PIECE = 1 << 19
-SENT_OUT = 4_000_000  # seeds that may be sent to every worker; beyond, they are joined
-SPAN = "doc_id long, row long, first_doc long, first_row long, start int, first_start int, words int, first_words int"
-
-
-def seeds(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes of all words, text, place and hash of each seed); places count over all words of all texts."""
-    import xxhash
-
-    digest = xxhash.xxh64_intdigest
-    data = [(t or "").encode("utf-8", "surrogatepass").lower() for t in texts]
-    words = [d.split() for d in data]
-    many = np.array([len(w) for w in words], dtype=np.int64)
-    h = np.fromiter((digest(w) for own in words for w in own), dtype=np.uint64, count=int(many.sum()))
-    n, most = len(h) - SEED + 1, np.iinfo(np.uint64).max
-    if n < 1:
-        return h, *(np.empty(0, t) for t in (np.int64, np.int64, np.int64))
-    text = np.repeat(np.arange(len(texts)), many)
-    gram = np.zeros(n, np.uint64)
-    for k in range(SEED):
-        gram = gram * np.uint64(0x9E3779B97F4A7C15) + h[k : k + n]
-    gram = mixed(gram, 6)
-    inside = np.flatnonzero(text[:n] == text[SEED - 1 :])  # within one text
-    at = inside + WINDOW * text[inside]  # room between texts
-    row = np.full(len(h) + WINDOW * (len(texts) + 1), most, np.uint64)
-    row[at + WINDOW - 1] = gram[inside]
-    least = np.lib.stride_tricks.sliding_window_view(row, WINDOW).min(axis=1)
-    top = np.lib.stride_tricks.sliding_window_view(least, WINDOW).max(axis=1)  # of the windows that hold a seed
-    chosen = np.zeros(n, bool)
-    chosen[inside] = gram[inside] == top[at]
-    begin = np.cumsum(many) - many
-    lines = [b + np.cumsum([0, *(len(x.split()) for x in d.split(b"\n"))])[:-1] for d, b in zip(data, begin) if b"\n" in d]
-    if lines:
-        first = np.concatenate(lines)
-        first = first[first < n]
-        chosen[first[text[first] == text[first + SEED - 1]]] = True
-    place = np.flatnonzero(chosen)
-    return h, text[place], place, gram[place].view(np.int64)
-
-
-def _surroundings(h: np.ndarray, text: np.ndarray, begin: np.ndarray, end: np.ndarray, place: np.ndarray) -> tuple[list[bytes], list[bytes]]:
-    """The hashes of up to CONTEXT words before each seed, nearest first, and after it: four bytes a word."""
-    short = h.astype("<u4")
-    back = [short[max(begin[t], p - CONTEXT) : p][::-1].tobytes() for t, p in zip(text, place)]
-    return back, [short[p + SEED : min(end[t], p + SEED + CONTEXT)].tobytes() for t, p in zip(text, place)]
-
-
-def _alike(a: bytes, b: bytes) -> int:
-    """How many words two surroundings begin with alike."""
-    if a == b:
-        return len(a) // 4
-    x, y = np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")
-    n = min(len(x), len(y))
-    differ = np.flatnonzero(x[:n] != y[:n])
-    return int(differ[0]) if len(differ) else n
+SPAN = "doc_id long, row long, first_doc long, first_row long, start int, first_start int, words int, component long"
+PASSAGE = "doc_id long, row long, first_doc long, first_row long, start int, first_start int, words int, first_words int, component long"
+
+
+def reach(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
+    """Runs (place in a, place in b, words) that two surroundings have in common from their beginning on.
+
+    After an edit of a few words, the comparison goes on where SHINGLE words agree again.
+    """
+    i = j = 0
+    out = []
+    while True:
+        n = min(len(a) - i, len(b) - j)
+        differ = np.flatnonzero(a[i : i + n] != b[j : j + n])
+        same = int(differ[0]) if len(differ) else n
+        if same:
+            out.append((i, j, same))
+        i, j = i + same, j + same
+        for x, y in STEPS:
+            if len(a) >= i + x + SHINGLE and len(b) >= j + y + SHINGLE and (a[i + x : i + x + SHINGLE] == b[j + y : j + y + SHINGLE]).all():
+                i, j = i + x, j + y
+                break
+        else:
+            return out
 
 
 def joined_spans(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
@@ -101,8 +69,8 @@ def joined_spans(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int,
     while chains:
         c = chains.pop()
         a, b = c[-1][0] + c[-1][2] - c[0][0], c[-1][1] + c[-1][2] - c[0][1]
-        both = sum(n - SHINGLE + 1 for _, _, n in c)
-        if both >= SIMILAR * (a + b - 2 * (SHINGLE - 1) - both):
+        both = sum(max(0, n - SHINGLE + 1) for _, _, n in c)
+        if len(c) == 1 or both >= SIMILAR * (a + b - 2 * (SHINGLE - 1) - both):
             out.append((c[0][0], c[0][1], a, b))
         else:  # apart at the widest gap
             gaps = [max(y[0] - x[0], y[1] - x[1]) - x[2] for x, y in zip(c, c[1:])]
@@ -111,65 +79,68 @@ def joined_spans(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int,
     return sorted(out)
 
 
-def shared_passages(rows: DataFrame) -> DataFrame:
-    """doc_id, row, first_doc, first_row, start, first_start, words, first_words of every passage (in words) of rows
-    (doc_id, row, text) that stands in a document before, by (doc_id, row)."""
-    spark = rows.sparkSession
+def surroundings(rows: DataFrame, ends: DataFrame) -> DataFrame:
+    """doc_id, row, start, words, before, after for every wanted (doc_id, row, start, words): hashes of up to CONTEXT
+    words before the stretch, nearest first, and after it, four bytes a word."""
+    wanted = written(ends.groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "words")).alias("wanted")), "wanted")
+    asked = rows.join(maybe_sent(wanted, 4 * wanted.count()), ["doc_id", "row"]).select("doc_id", "row", "text", "wanted")
+
+    def around(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
 
-    def every(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        digest = xxhash.xxh64_intdigest
         for batch in batches:
             for a, b in slices(batch["text"].str.len().fillna(0).astype(int).tolist(), PIECE):
-                _, text, _, seed = seeds(batch["text"].iloc[a:b].tolist())
-                yield pd.DataFrame({"own": batch["own"].to_numpy()[a:b][text], "seed": seed}).drop_duplicates()
+                out = []
+                for d, r, t, ends in zip(*(batch[c].iloc[a:b] for c in ("doc_id", "row", "text", "wanted"))):
+                    words = (t or "").encode("utf-8", "surrogatepass").lower().split()
+                    hashed = lambda part: np.array([digest(w) & 0xFFFFFFFF for w in part], dtype="<u4").tobytes()
+                    for x in ends:
+                        s, e = x["start"], x["start"] + x["words"]
+                        out.append((d, r, s, e - s, hashed(words[max(0, s - CONTEXT) : s][::-1]), hashed(words[e : e + CONTEXT])))
+                yield pd.DataFrame(out, columns=["doc_id", "row", "start", "words", "before", "after"])
         give_back()
 
-    marks = rows.select(F.xxhash64("doc_id", "row").alias("own"), "text").mapInPandas(every, "own long, seed long")
-    ends = marks.groupBy("seed").agg(F.min("own").alias("lo"), F.max("own").alias("hi"))
-    common = written(ends.where("lo < hi").select("seed"), "seeds")
-    few = common.count() <= SENT_OUT
-    sent = spark.sparkContext.broadcast(np.sort(common.toArrow().column("seed").to_numpy()) if few else None)
+    found = asked.mapInPandas(around, "doc_id long, row long, start int, words int, before binary, after binary")
+    return written(found.dropDuplicates(["doc_id", "row", "start", "words"]), "surroundings")
 
-    def surrounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for a, b in slices(batch["text"].str.len().fillna(0).astype(int).tolist(), PIECE):
-                texts = batch["text"].iloc[a:b].tolist()
-                h, text, place, seed = seeds(texts)
-                many = np.array([len((t or "").encode("utf-8", "surrogatepass").split()) for t in texts], dtype=np.int64)
-                end = np.cumsum(many)
-                begin = end - many
-                if sent.value is not None:
-                    k = np.searchsorted(sent.value, seed)
-                    pick = np.flatnonzero(sent.value[np.minimum(k, len(sent.value) - 1)] == seed) if len(sent.value) else np.empty(0, np.int64)
-                    text, place, seed = text[pick], place[pick], seed[pick]
-                before, after = _surroundings(h, text, begin, end, place)
-                yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[a:b][text], "row": batch["row"].to_numpy()[a:b][text], "seed": seed, "start": place - begin[text], "before": before, "after": after})
-        give_back()
 
-    got = rows.select("doc_id", "row", "text").mapInPandas(surrounded, "doc_id long, row long, seed long, start int, before binary, after binary")
-    members = written(got if few else got.join(common, "seed", "left_semi"), "members")
-    first = members.groupBy("seed").agg(F.min(F.struct("doc_id", "row", "start", "before", "after")).alias("f"))
-    other = (F.col("doc_id") != F.col("f.doc_id")) | (F.col("row") != F.col("f.row"))
-    pairs = members.join(first, "seed").where(other).select("doc_id", "row", "start", "before", "after", F.col("f.doc_id").alias("first_doc"), F.col("f.row").alias("first_row"), F.col("f.start").alias("first_start"), F.col("f.before").alias("before2"), F.col("f.after").alias("after2"))
+def extended(rows: DataFrame, stretches: DataFrame, *, least: int) -> DataFrame:
+    """The passages of `least` words or more that the stretches are part of (columns of PASSAGE)."""
+    firsts = stretches.select(F.col("first_doc").alias("doc_id"), F.col("first_row").alias("row"), F.col("first_start").alias("start"), F.col("first_words").alias("words"))
+    known = surroundings(rows, stretches.select("doc_id", "row", "start", "words").unionAll(firsts))
+    theirs = known.select(*(F.col(a).alias(b) for a, b in (("doc_id", "first_doc"), ("row", "first_row"), ("start", "first_start"), ("words", "first_words"), ("before", "before2"), ("after", "after2"))))
+    both = stretches.join(known, ["doc_id", "row", "start", "words"]).join(theirs, ["first_doc", "first_row", "first_start", "first_words"])
 
-    def extended(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def grown(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
-            left = np.array([_alike(a, b) for a, b in zip(x["before"], x["before2"])], dtype=np.int64)
-            right = np.array([_alike(a, b) for a, b in zip(x["after"], x["after2"])], dtype=np.int64)
-            yield x[["doc_id", "row", "first_doc", "first_row"]].assign(start=x["start"] - left, first_start=x["first_start"] - left, words=left + SEED + right)
+            out = []
+            for d, r, d1, r1, s, s1, n, n1, of, before, after, before2, after2 in zip(*(x[c].tolist() for c in x.columns)):
+                own = (d, r, d1, r1)
+                if n:
+                    out.append((*own, s, s1, n, of))
+                out += [(*own, s - i - k, s1 - j - k, k, of) for i, j, k in reach(np.frombuffer(before, "<u4"), np.frombuffer(before2, "<u4"))]
+                out += [(*own, s + n + i, s1 + n1 + j, k, of) for i, j, k in reach(np.frombuffer(after, "<u4"), np.frombuffer(after2, "<u4"))]
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in SPAN.split(", ")])
 
     def merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, found = None, []
+        key, found, of = None, [], None
         for batch in batches:
             out = []
-            for d, r, d1, r1, s, f, n in zip(*(batch[c].tolist() for c in batch.columns)):
+            for d, r, d1, r1, s, f, n, component in zip(*(batch[c].tolist() for c in batch.columns)):
                 if (d, r, d1, r1) != key:
-                    out += [(*key, *x) for x in joined_spans(found)] if found else []
-                    key, found = (d, r, d1, r1), []
+                    out += [(*key, *x, of) for x in joined_spans(found) if x[2] >= least] if found else []
+                    key, found, of = (d, r, d1, r1), [], component
                 found.append((s, f, n))
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in SPAN.split(", ")])
+                of = min(of, component)
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in PASSAGE.split(", ")])
         if found:
-            yield pd.DataFrame([(*key, *x) for x in joined_spans(found)], columns=[c.split()[0] for c in SPAN.split(", ")])
+            yield pd.DataFrame([(*key, *x, of) for x in joined_spans(found) if x[2] >= least], columns=[c.split()[0] for c in PASSAGE.split(", ")])
         give_back()
 
-    spans = pairs.mapInPandas(extended, SPAN.rsplit(",", 1)[0])
-    return written(spans.repartition("doc_id", "row").sortWithinPartitions("doc_id", "row", "first_doc", "first_row").mapInPandas(merged, SPAN), "passages")
+    names = ["doc_id", "row", "first_doc", "first_row", "start", "first_start", "words", "first_words", "component", "before", "after", "before2", "after2"]
+    spans = both.select(names).mapInPandas(grown, SPAN)
+    out = written(spans.repartition("doc_id", "row").sortWithinPartitions("doc_id", "row", "first_doc", "first_row").mapInPandas(merged, PASSAGE), "passages")
+    for done in (known, stretches):
+        dropped(done)
+    return out

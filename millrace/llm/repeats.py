@@ -1,10 +1,11 @@
 """Substring dedup: paragraph MinHash banding.
 
-Texts are cut into short paragraphs where the words say so (a word pair whose hash is the least of its
-surroundings), so a passage that is copied into the middle of another text is cut alike there. Paragraphs get MinHash
-signatures over five-word shingles; bands of them make candidates; candidates are verified by exact Jaccard; components
-of verified links share a paragraph. A document's run of paragraphs that others share counts as a repeat if it is
-long enough, and all but the first document lose it.
+Texts are cut into short paragraphs where the words say so: at the least word pair of every GAP successive ones, so a
+passage that is copied into the middle of another text is cut alike there, and every shared run of 2*GAP+2 words has two
+cuts in common. Paragraphs get MinHash signatures over five-word shingles; bands of them make candidates; candidates are
+verified by exact Jaccard; components of verified links share a paragraph. A document's paragraphs are lined up with
+those of the first document of their components; passages.py extends each stretch word by word and verifies it whole.
+All but the first document lose a passage that is long enough.
 """
 
 from __future__ import annotations
@@ -17,20 +18,23 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import give_back, mixed, or_null, slices, small_batches, solid, written
+from millrace.llm.common import dropped, give_back, mixed, or_null, slices, small_batches, solid, written
 from millrace.llm.components import connected_components
-from millrace.llm.passages import shared_passages
+from millrace.llm.verify import SIMILAR, maybe_sent, verified_links
 
-RADIUS = 6  # words on either side that decide about a cut
-LONGEST = 64  # words of a paragraph
+LEAST = 40  # words of a passage that counts as a repeat: more than a shared line
 SHINGLE = 5
-SIMILAR = 0.8
+LONGEST = 64
 BANDS, ROWS = 4, 2  # 1 - (1 - 0.8**2)**4 = 0.983 of the pairs at the threshold collide, 0.999 at 0.9
 LEAST_BANDED = 9  # words: two different paragraphs of fewer have no Jaccard of 0.8 (four shingles at most, one differs)
-LEAST_RUN = 14  # words of whole paragraphs; with what a cut needs on both sides, 26 shared words at least
 TOGETHER = 128  # paragraphs of a bucket that are compared in one go
 PIECE = 1 << 19  # characters cut at a time
-SENT_OUT = 4_000_000  # rows of 8 or 16 bytes that may be broadcast; beyond, joins shuffle
+SENT_OUT = 4_000_000  # signatures of 8 bytes that may be broadcast
+
+
+def gap_of(least: int) -> int:
+    """Word pairs among which one is a cut, so that passages of `least` words hold whole paragraphs."""
+    return max(2, 2 * least // 5)
 
 
 # --- paragraphs -----------------------------------------------------------------------------------------------------
@@ -44,6 +48,7 @@ class Cut:
     starts: np.ndarray
     size: np.ndarray
     owner: np.ndarray
+    begin: np.ndarray  # the first word of each text
 
     @property
     def number(self) -> np.ndarray:
@@ -51,42 +56,63 @@ class Cut:
         first = np.flatnonzero(np.r_[True, self.owner[1:] != self.owner[:-1]])
         return np.arange(len(self.owner)) - np.repeat(first, np.diff(np.r_[first, len(self.owner)]))
 
+    @property
+    def place(self) -> np.ndarray:
+        """Words before each paragraph in its text."""
+        return self.starts - self.begin[self.owner]
+
     @property
     def signature(self) -> np.ndarray:
         place = np.arange(len(self.hashes), dtype=np.uint64) - np.repeat(self.starts, self.size).astype(np.uint64)
         return mixed(np.add.reduceat(mixed(self.hashes + mixed(place, 4), 5), self.starts) + self.size.astype(np.uint64)).view(np.int64)
 
 
-def cut(texts: list[str | None]) -> Cut:
-    """Cut texts into paragraphs. Words are runs without ASCII blanks, A-Z in lower case."""
+def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, and how many each has. Words are runs without ASCII blanks, A-Z in lower case."""
     import xxhash
 
     digest = xxhash.xxh64_intdigest
     words = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
     many = np.array([len(w) for w in words], dtype=np.int64)
-    h = np.fromiter((digest(w) for own in words for w in own), dtype=np.uint64, count=int(many.sum()))
+    return np.fromiter((digest(w) for own in words for w in own), dtype=np.uint64, count=int(many.sum())), many
+
+
+def _over(x: np.ndarray, size: int, best: np.ufunc) -> np.ndarray:
+    """The least (or greatest) of every `size` successive values, by doubling."""
+    step = 1
+    while 2 * step <= size:
+        x = best(x[:-step], x[step:])
+        step *= 2
+    return best(x[: len(x) - (size - step)], x[size - step :]) if size > step else x
+
+
+def cut(texts: list[str | None], gap: int = gap_of(LEAST)) -> Cut:
+    """Cut texts into paragraphs at the least pair hash of every `gap` successive pairs of a text."""
+    h, many = word_hashes(texts)
     n, none = len(h), np.empty(0, np.int64)
+    begin = np.cumsum(many) - many
     if not n:
-        return Cut(h, none, none, none)
+        return Cut(h, none, none, none, begin)
     text = np.repeat(np.arange(len(texts)), many)
-    begin = (np.cumsum(many) - many)[many > 0]
+    firsts = begin[many > 0]
     before = np.r_[np.uint64(0), h[:-1]]
-    before[begin] = 0
-    at = np.arange(n) + RADIUS * text  # room between texts: no word decides about another text's cuts
-    pair = np.full(n + RADIUS * len(texts), np.iinfo(np.uint64).max, np.uint64)
-    pair[at] = mixed(h + mixed(before, 1), 2)
-    left, right = (np.full(len(pair), np.iinfo(np.uint64).max, np.uint64) for _ in range(2))
-    for k in range(1, min(RADIUS, len(pair) - 1) + 1):
-        np.minimum(left[k:], pair[:-k], out=left[k:])
-        np.minimum(right[:-k], pair[k:], out=right[:-k])
-    first = ((pair < left) & (pair < right))[at]
-    first[begin] = True
-    starts = np.flatnonzero(first)
+    before[firsts] = 0
+    pair = mixed(h + mixed(before, 1), 2)
+    chosen = np.zeros(n, bool)
+    if n >= gap:
+        least = _over(pair, gap, np.minimum)
+        least[text[: n - gap + 1] != text[gap - 1 :]] = 0  # windows over the end of a text decide nothing
+        edge = np.zeros(gap - 1, np.uint64)
+        chosen = pair == _over(np.concatenate([edge, least, edge]), gap, np.maximum)
+    chosen[firsts] = True
+    at = np.flatnonzero(chosen)
+    near = np.diff(np.r_[at, n]) < max(2, gap // 4)  # too short a paragraph is part of the one before
+    starts = at[~near | np.isin(at, firsts)]
     size = np.diff(np.r_[starts, n])
     if (size > LONGEST).any():
         starts = np.concatenate([np.arange(a, a + g, LONGEST) for a, g in zip(starts, size)])
         size = np.diff(np.r_[starts, n])
-    return Cut(h, starts, size, text[starts])
+    return Cut(h, starts, size, text[starts], begin)
 
 
 def _shingles(h: np.ndarray) -> np.ndarray:
@@ -119,9 +145,9 @@ def bands_of(c: Cut) -> np.ndarray:
     return bands.view(np.int64)
 
 
-def shingle_sets(texts: list[str | None], wanted: np.ndarray | None) -> dict[int, np.ndarray]:
+def shingle_sets(texts: list[str | None], wanted: np.ndarray | None, gap: int = gap_of(LEAST)) -> dict[int, np.ndarray]:
     """Distinct shingle hashes by signature of the paragraphs that are wanted (sorted signatures; None: all with bands)."""
-    c = cut(texts)
+    c = cut(texts, gap)
     if not len(c.starts):
         return {}
     sig, grams = c.signature, _shingles(c.hashes).view(np.int64)
@@ -131,18 +157,13 @@ def shingle_sets(texts: list[str | None], wanted: np.ndarray | None) -> dict[int
     return {int(sig[k]): np.unique(grams[c.starts[k] : c.starts[k] + c.size[k] - SHINGLE + 1]) for k in np.flatnonzero(pick)}
 
 
-def without(text: str | None, numbers: set[int], runs: Iterable[tuple[int, int]] = ()) -> str:
-    """The text without the paragraphs of these numbers and the runs (start, words); what stays keeps its own blanks."""
+def without(text: str | None, runs: Iterable[tuple[int, int]]) -> str:
+    """The text without the runs (start, words); what stays keeps its own blanks."""
     import re
 
     data = (text or "").encode("utf-8", "surrogatepass")
     spans = [m.span() for m in re.finditer(rb"[^ \t\n\r\x0b\x0c]+", data)]
-    at = cut([text]).starts
-    ends = np.r_[at[1:], len(spans)]
     gone = np.zeros(len(spans) + 2, bool)  # one on either side, for the edges
-    for k in numbers:
-        if k < len(at):
-            gone[at[k] + 1 : ends[k] + 1] = True
     for start, n in runs:
         gone[start + 1 : min(start + n, len(spans)) + 1] = True
     edges = np.flatnonzero(gone[1:] != gone[:-1]).tolist()
@@ -162,176 +183,163 @@ def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(solid(key).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("row"), F.col(text).alias("text"))
 
 
-def paragraph_table(rows: DataFrame) -> DataFrame:
-    """doc_id, row, number, words, sig and band0, band1... (0 for paragraphs under LEAST_BANDED words) of every paragraph."""
+def paragraph_table(rows: DataFrame, gap: int = gap_of(LEAST)) -> DataFrame:
+    """doc_id, row, number, start, words, sig and band0, band1... (0 for paragraphs under LEAST_BANDED words) of every paragraph."""
 
     def cut_all(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for a, b in slices(batch["text"].str.len().fillna(0).astype(int).tolist(), PIECE):
-                c = cut(batch["text"].iloc[a:b].tolist())
+                c = cut(batch["text"].iloc[a:b].tolist(), gap)
                 if not len(c.starts):
                     continue
                 bands = bands_of(c)
-                out = {"doc_id": batch["doc_id"].to_numpy()[a:b][c.owner], "row": batch["row"].to_numpy()[a:b][c.owner], "number": c.number, "words": c.size, "sig": c.signature}
+                out = {"doc_id": batch["doc_id"].to_numpy()[a:b][c.owner], "row": batch["row"].to_numpy()[a:b][c.owner], "number": c.number, "start": c.place, "words": c.size, "sig": c.signature}
                 yield pd.DataFrame(out | {f"band{k}": bands[:, k] for k in range(BANDS)})
         give_back()
 
-    return rows.mapInPandas(cut_all, "doc_id long, row long, number int, words int, sig long, " + ", ".join(f"band{b} long" for b in range(BANDS)))
-
+    return rows.mapInPandas(cut_all, "doc_id long, row long, number int, start int, words int, sig long, " + ", ".join(f"band{b} long" for b in range(BANDS)))
 
-def _maybe_sent(df: DataFrame, rows: int) -> DataFrame:
-    """A broadcast of df if its counted rows are few enough; else Spark chooses, and splits hot keys."""
-    return F.broadcast(df) if rows <= SENT_OUT // 4 else df
 
-
-def _linked(members: list[tuple[int, frozenset]]) -> Iterator[tuple[int, int]]:
-    """One link per member to the first of its component among paragraphs of Jaccard SIMILAR or more."""
-    left = sorted(members, key=lambda m: m[0])
-    while len(left) > 1:
-        root, front, rest = left[0][0], left[:1], left[1:]
-        while front and rest:
-            one, apart = front.pop()[1], []
-            for m in rest:
-                both = len(one & m[1])
-                if both >= SIMILAR * (len(one) + len(m[1]) - both):
-                    front.append(m)
-                    yield root, m[0]
-                else:
-                    apart.append(m)
-            rest = apart
-        left = rest
-
-
-def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Links within each group, over rows (group, sig, shingles) sorted by group; one group is held at a time."""
-    group, members = None, {}
-    for batch in batches:
-        found: list[tuple[int, int]] = []
-        for g, sig, shingles in zip(batch["group"].tolist(), batch["sig"].tolist(), batch["shingles"]):
-            if g != group:
-                found += _linked(list(members.items()))
-                group, members = g, {}
-            if sig not in members:
-                members[sig] = frozenset(shingles.tolist())
-        yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-    yield pd.DataFrame(list(_linked(list(members.items()))), columns=["a", "b"], dtype="int64")
-    give_back()
-
-
-def similar_links(rows: DataFrame, table: DataFrame) -> DataFrame:
+def similar_links(rows: DataFrame, table: DataFrame, gap: int = gap_of(LEAST)) -> DataFrame:
     """Links (a, b) between different paragraph texts (signatures) of Jaccard SIMILAR or more that share a band."""
     keyed = table.where(F.col("words") >= LEAST_BANDED).select("sig", F.explode(F.array(*[f"band{b}" for b in range(BANDS)])).alias("key"))
     shared = written(keyed.groupBy("key").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("lo < hi").select("key"), "bands")
-    members = written(keyed.join(_maybe_sent(shared, shared.count()), "key").distinct(), "members")
+    members = written(keyed.join(maybe_sent(shared, shared.count()), "key").distinct(), "members")
     wanted = written(members.select("sig").distinct(), "wanted")
     n_wanted = wanted.count()
     # one text for each wanted paragraph gives its shingles; other texts are not cut again
-    places = written(table.select("sig", "row").join(_maybe_sent(wanted, n_wanted), "sig").groupBy("sig").agg(F.min("row").alias("row")).select("row").distinct(), "places")
-    givers = rows.join(_maybe_sent(places, places.count()), "row", "left_semi").select("text")
-
+    places = written(table.select("sig", "row").join(maybe_sent(wanted, n_wanted), "sig").groupBy("sig").agg(F.min("row").alias("row")).select("row").distinct(), "places")
+    givers = rows.join(maybe_sent(places, places.count()), "row", "left_semi").select("text")
     ids = rows.sparkSession.sparkContext.broadcast(np.sort(wanted.toArrow().column("sig").to_numpy()) if n_wanted <= SENT_OUT else None)
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for a, b in slices(batch["text"].str.len().fillna(0).astype(int).tolist(), PIECE):
-                found = shingle_sets(batch["text"].iloc[a:b].tolist(), ids.value)
+                found = shingle_sets(batch["text"].iloc[a:b].tolist(), ids.value, gap)
                 yield pd.DataFrame({"sig": np.array(list(found), np.int64), "shingles": list(found.values())})
         give_back()
 
     got = givers.mapInPandas(sets, "sig long, shingles array<long>")
     bodies = written((got if n_wanted <= SENT_OUT else got.join(wanted, "sig", "left_semi")).dropDuplicates(["sig"]), "bodies")
-    counts = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    full = written(members.join(counts, "key").join(bodies, "sig"), "candidates")
-    direct = full.where(F.col("n") <= TOGETHER).select(F.col("key").alias("group"), "sig", "shingles")
-
-    # Larger buckets: two sets of Jaccard s or more share one of their rarest shingles, floor((1-s)|set|)+1 of them.
-    grams = full.where(F.col("n") > TOGETHER).select("key", "sig", F.explode("shingles").alias("gram"))
-    rank = F.row_number().over(Window.partitionBy("key", "sig").orderBy("df", "gram"))
-    size = F.count(F.lit(1)).over(Window.partitionBy("key", "sig"))
-    rare = grams.join(grams.groupBy("key", "gram").agg(F.count(F.lit(1)).alias("df")), ["key", "gram"]).withColumns({"rank": rank, "size": size})
-    prefix = rare.where((F.col("rank") <= F.floor(F.col("size") * (1 - SIMILAR) + 1e-9) + 1) & (F.col("df") > 1)).select("key", "sig", "gram")
-    sizes = prefix.groupBy("key", "gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    # A group that is large even so is compared in blocks, each pair of blocks in a group of its own.
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("m") / (TOGETHER // 2)).cast("int"))
-    dealt = prefix.join(sizes, ["key", "gram"]).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
-    paired = dealt.select("key", "gram", "sig", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    paired = paired.select("key", "gram", "sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    hot = paired.distinct().join(bodies, "sig").select(F.xxhash64("key", "gram", "i", "j").alias("group"), "sig", "shingles")
-    found = direct.unionAll(hot) if full.where(F.col("n") > TOGETHER).limit(1).count() else direct
-    return found.repartition("group").sortWithinPartitions("group").mapInPandas(_verify, "a long, b long").distinct()
+    # Equal sets (a word repeated more or less often) are linked at once; one of them stands for all.
+    equal = written(bodies.groupBy("shingles").agg(F.min("sig").alias("sig"), F.collect_set("sig").alias("sigs")), "equal")
+    same = equal.where(F.size("sigs") > 1).select(F.explode("sigs").alias("b"), F.col("sig").alias("a"))
+    same = written(same.where("a <> b").select("a", "b"), "same")
+    one = members.join(maybe_sent(same, same.count()), members["sig"] == same["b"], "left").select("key", F.coalesce("a", "sig").alias("sig")).distinct()
+    sizes = one.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("sig").alias("hub")).where("n > 1")
+    sized = written(one.join(sizes, "key"), "sized")
+    few = sized.where(F.col("n") <= TOGETHER).select("key", "n", "hub", "sig")
+    groups = few
+    if sized.where(F.col("n") > TOGETHER).limit(1).count():
+        # Larger buckets: two sets of Jaccard s or more share one of their rarest shingles, floor((1-s)|set|)+1 of them.
+        grams = sized.where(F.col("n") > TOGETHER).join(bodies, "sig").select("key", "sig", F.explode("shingles").alias("gram"))
+        rank = F.row_number().over(Window.partitionBy("key", "sig").orderBy("df", "gram"))
+        size = F.count(F.lit(1)).over(Window.partitionBy("key", "sig"))
+        rare = grams.join(grams.groupBy("key", "gram").agg(F.count(F.lit(1)).alias("df")), ["key", "gram"]).withColumns({"rank": rank, "size": size})
+        prefix = rare.where((F.col("rank") <= F.floor(F.col("size") * (1 - SIMILAR) + 1e-9) + 1) & (F.col("df") > 1)).select("key", "sig", "gram")
+        met = prefix.groupBy("key", "gram").agg(F.count(F.lit(1)).alias("n"), F.min("sig").alias("hub")).where("n > 1")
+        groups = written(few.unionAll(prefix.join(met, ["key", "gram"]).select(F.xxhash64("key", "gram").alias("key"), "n", "hub", "sig")), "groups")
+    links = written(verified_links(groups, bodies, together=TOGETHER).unionAll(same), "similar")
+    for done in (shared, members, wanted, places, bodies, equal, same, sized):
+        dropped(done)
+    return links
 
 
 # --- repeats --------------------------------------------------------------------------------------------------------
 
 
-def shared_paragraphs(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, row, number, words, component, first_doc, first_row, run, run_words of every paragraph of a repeat.
+LINED_UP = "doc_id long, row long, first_doc long, first_row long, start int, first_start int, words int, first_words int, component long"
 
-    component is the least signature of its similar texts, (first_doc, first_row) the document that keeps it, run the
-    number of the first paragraph of its run. `row` is a hash of the text: rows equal in id and text count as one
-    document, so repeated rows are no repeats of one another. Null and blank texts have no paragraphs. A null id is
-    NO_ID here, the least of all.
+
+def lined_up(docs: DataFrame, *, key: str = "doc_id", text: str = "text", gap: int = gap_of(LEAST)) -> DataFrame:
+    """Stretches of paragraphs that stand alike in the first document of their components, one row each: LINED_UP.
+
+    The first document is the least by (doc_id, row); `row` is a hash of the text: rows equal in id and text count as
+    one document, so repeated rows are no repeats of one another. Null and blank texts have no paragraphs. A null id is
+    NO_ID here, the least of all. Successive paragraphs that equal successive ones of the same first document are one
+    stretch; a paragraph that is only similar is a stretch of no words at its start: a place to compare from.
     """
     rows = _rows(docs, key, text)
-    table = written(paragraph_table(rows), "paragraphs")
-    links = written(connected_components(similar_links(rows, table)), "components")
-    spots = table.groupBy("sig").agg(F.min(F.struct("doc_id", "row")).alias("lo"), F.max(F.struct("doc_id", "row")).alias("hi"))
-    named = spots.join(links, spots["sig"] == links["node"], "left").select("sig", "lo", "hi", F.coalesce("component", "sig").alias("component"))
+    table = written(paragraph_table(rows, gap), "paragraphs")
+    links = written(connected_components(similar_links(rows, table, gap)), "components")
+    own = F.xxhash64("doc_id", "row")
+    spots = table.groupBy("sig").agg(F.min(own).alias("lo"), F.max(own).alias("hi")).join(links, F.col("sig") == F.col("node"), "left")
     # most paragraphs stand alone: they leave before anything is shuffled again
-    alone = F.col("component").isNull()
-    single = spots.join(links, spots["sig"] == links["node"], "left").where(alone & (F.col("lo") < F.col("hi"))).select("sig", F.col("sig").alias("component"), F.col("lo").alias("first"))
-    linked = named.join(links.select("node"), named["sig"] == F.col("node"), "left_semi")
-    least = linked.groupBy("component").agg(F.min("lo").alias("first"), F.max("hi").alias("last")).where("first < last").drop("last")
-    shared = written(single.unionByName(linked.join(least, "component").select("sig", "component", "first")), "shared")
-    found = table.select("doc_id", "row", "number", "words", "sig").join(_maybe_sent(shared, shared.count()), "sig")
-    by_doc = Window.partitionBy("doc_id", "row").orderBy("number")
-    runs = found.withColumn("island", F.col("number") - F.dense_rank().over(by_doc))
-    whole = Window.partitionBy("doc_id", "row", "island")
-    # rows equal in id and text stand there several times with equal numbers: count each paragraph once
-    once = F.when(F.row_number().over(Window.partitionBy("doc_id", "row", "number").orderBy("sig")) == 1, F.col("words")).otherwise(0)
-    measured = runs.withColumn("once", once).withColumns({"run": F.min("number").over(whole), "run_words": F.sum("once").over(whole)})
-    return measured.where(F.col("run_words") >= LEAST_RUN).where("once > 0").select("doc_id", "row", "number", "words", "component", F.col("first.doc_id").alias("first_doc"), F.col("first.row").alias("first_row"), "run", "run_words")
-
-
-def repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document and run of shared paragraphs: doc_id, kind, run, run_words, paragraphs, removed (how many of
-    them are kept elsewhere), first_doc (the least document that keeps one), component (the least of its components).
-
-    And one per passage that is shared word by word (kind "passage") or kept for others ("kept"): run is the place of
-    its first word, removed counts words.
+    single = spots.where("component is null and lo < hi").select("sig", F.col("sig").alias("component"))
+    linked = spots.where("component is not null").select("sig", "component", "lo", "hi")
+    several = linked.groupBy("component").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).where("l < h").select("component")
+    shared = written(single.unionByName(linked.join(several, "component", "left_semi").select("sig", "component")), "shared")
+    found = table.select("doc_id", "row", "number", "start", "words", "sig").join(maybe_sent(shared, shared.count()), "sig")
+    first = written(found.groupBy("component").agg(F.min(F.struct("doc_id", "row", "number", "start", "words", "sig")).alias("f")), "firsts")
+    other = (F.col("doc_id") != F.col("f.doc_id")) | (F.col("row") != F.col("f.row"))
+    pairs = found.join(maybe_sent(first, 4 * first.count()), "component").where(other)
+    pairs = pairs.select("doc_id", "row", F.col("f.doc_id").alias("first_doc"), F.col("f.row").alias("first_row"), "number", F.col("f.number").alias("first_number"), "start", F.col("f.start").alias("first_start"), "words", F.col("f.words").alias("first_words"), (F.col("sig") == F.col("f.sig")).alias("equal"), "component")
+
+    def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, whole = None, None  # the paragraph before, and the stretch that it ends
+        for batch in batches:
+            out = []
+            for x in zip(*(batch[c].tolist() for c in batch.columns)):
+                if x == last:
+                    continue
+                d, r, d1, r1, k, k1, s, s1, n, n1, equal, of = x
+                if last and equal and last[10] and last[:4] == x[:4] and (k, k1) == (last[4] + 1, last[5] + 1):
+                    whole[6:] = [whole[6] + n, whole[7] + n1, min(whole[8], of)]
+                else:
+                    if whole:
+                        out.append(whole)
+                    whole = [d, r, d1, r1, s, s1, *((n, n1) if equal else (0, 0)), of]
+                last = x
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in LINED_UP.split(", ")])
+        if whole:
+            yield pd.DataFrame([whole], columns=[c.split()[0] for c in LINED_UP.split(", ")])
+        give_back()
+
+    dealt = pairs.repartition("doc_id", "row").sortWithinPartitions("doc_id", "row", "first_doc", "first_row", "number", "first_number")
+    out = written(dealt.mapInPandas(stretches, LINED_UP), "stretches")
+    for done in (table, links, shared, first):
+        dropped(done)
+    return out
+
+
+def shared_passages(docs: DataFrame, *, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
+    """doc_id, row, first_doc, first_row, start, first_start, words, first_words, component of every passage of `least`
+    words or more that stands in an earlier document as well. Places and lengths are in words."""
+    from millrace.llm.passages import extended
+
+    return extended(_rows(docs, key, text), lined_up(docs, key=key, text=text, gap=gap_of(least)), least=least)
+
+
+def repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
+    """One row per document and passage that an earlier document keeps: doc_id, kind "passage", run (the place of its
+    first word), run_words, first_doc, component (the least of its paragraphs' components).
+
+    And one per passage that a document keeps for others: kind "kept", first_doc the document itself.
     """
-    found = shared_paragraphs(docs, key=key, text=text)
-    other = (F.col("first_doc") != F.col("doc_id")) | (F.col("first_row") != F.col("row"))
-    runs = found.groupBy("doc_id", "row", "run").agg(F.max("run_words").alias("run_words"), F.count(F.lit(1)).alias("paragraphs"), F.count_if(other).alias("removed"), F.min("first_doc").alias("first_doc"), F.min("component").alias("component")).drop("row").withColumn("kind", F.lit("paragraphs"))
-    spans = shared_passages(_rows(docs, key, text))
-    none = {"paragraphs": F.lit(0).cast("long"), "component": F.lit(None).cast("long")}
-    cut_out = spans.select("doc_id", F.col("start").alias("run"), F.col("words").cast("long").alias("run_words"), "first_doc", F.col("words").cast("long").alias("removed")).withColumns(none | {"kind": F.lit("passage")})
-    kept = spans.select(F.col("first_doc").alias("doc_id"), "first_row", F.col("first_start").alias("run"), F.col("first_words").cast("long").alias("run_words")).distinct().drop("first_row").withColumns(none | {"first_doc": F.col("doc_id"), "removed": F.lit(0).cast("long"), "kind": F.lit("kept")})
-    columns = ["doc_id", "kind", "run", "run_words", "paragraphs", "removed", "first_doc", "component"]
-    return runs.select(columns).unionByName(cut_out.select(columns)).unionByName(kept.select(columns)).withColumns({"doc_id": or_null("doc_id"), "first_doc": or_null("first_doc")})
+    spans = shared_passages(docs, key=key, text=text, least=least)
+    gone = spans.select("doc_id", F.lit("passage").alias("kind"), F.col("start").alias("run"), F.col("words").alias("run_words"), "first_doc", "component")
+    kept = spans.groupBy(F.col("first_doc").alias("doc_id"), "first_row", F.col("first_start").alias("run"), F.col("first_words").alias("run_words")).agg(F.min("component").alias("component"))
+    kept = kept.select("doc_id", F.lit("kept").alias("kind"), "run", "run_words", F.col("doc_id").alias("first_doc"), "component")
+    return gone.unionByName(kept).withColumns({"doc_id": or_null("doc_id"), "first_doc": or_null("first_doc")})
 
 
-def without_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", chars: str | None = "n_chars") -> DataFrame:
-    """docs whose texts have lost every paragraph of a repeat and every shared passage that an earlier document keeps.
+def without_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", chars: str | None = "n_chars", least: int = LEAST) -> DataFrame:
+    """docs whose texts have lost every passage that an earlier document keeps.
 
     A document of which no word is left goes; documents without words from the start stay. `chars`, if it is a
     column, is counted anew where the text changed.
     """
-    found = shared_paragraphs(docs, key=key, text=text)
-    other = (F.col("first_doc") != F.col("doc_id")) | (F.col("first_row") != F.col("row"))
-    spans = shared_passages(_rows(docs, key, text))
-    numbers = found.where(other).select("doc_id", "row", "number", F.lit(None).cast("struct<start:int,words:int>").alias("span"))
-    parts = numbers.unionByName(spans.select("doc_id", "row", F.lit(None).cast("int").alias("number"), F.struct("start", "words").alias("span")))
-    gone = written(parts.groupBy("doc_id", "row").agg(F.collect_set("number").alias("_gone"), F.collect_set("span").alias("_spans")), "gone")
+    spans = shared_passages(docs, key=key, text=text, least=least)
+    gone = written(spans.groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "words")).alias("_spans")), "gone")
     row = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
     @F.pandas_udf("string")
-    def shorten(texts: pd.Series, numbers: pd.Series, runs: pd.Series) -> pd.Series:
-        return pd.Series([without(t, set(map(int, n)), [(x["start"], x["words"]) for x in r]) for t, n, r in zip(texts, numbers, runs)], dtype=object)
+    def shorten(texts: pd.Series, runs: pd.Series) -> pd.Series:
+        return pd.Series([without(t, [(x["start"], x["words"]) for x in r]) for t, r in zip(texts, runs)], dtype=object)
 
-    joined = docs.withColumn("_row", row).join(_maybe_sent(gone.withColumnsRenamed({"doc_id": "_doc", "row": "_row2"}), 20 * gone.count()), (solid(key) == F.col("_doc")) & (F.col("_row") == F.col("_row2")), "left")
-    changed = F.col("_gone").isNotNull()
-    fresh = joined.where(changed).withColumn(text, shorten(F.col(text), F.col("_gone"), F.col("_spans")))
+    joined = docs.withColumn("_row", row).join(maybe_sent(gone.withColumnsRenamed({"doc_id": "_doc", "row": "_row2"}), 4 * gone.count()), (solid(key) == F.col("_doc")) & (F.col("_row") == F.col("_row2")), "left")
+    changed = F.col("_spans").isNotNull()
+    fresh = joined.where(changed).withColumn(text, shorten(F.col(text), F.col("_spans")))
     if chars in docs.columns:
         fresh = fresh.withColumn(chars, F.length(text).cast(docs.schema[chars].dataType))
     fresh = fresh.where(F.length(F.trim(F.translate(text, "\t\n\r\x0b\x0c", "     "))) > 0)

@@ -41,11 +41,16 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     starts = [0, *ends[: len(parts) - words].tolist()]
     stops = (ends[words - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], HASH_SEED) for a, b in zip(starts, stops)], dtype="<u8")
+    return majority(np.array([digest(joined[a:b], HASH_SEED) for a, b in zip(starts, stops)], dtype="<u8")) % (1 << BITS)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half the 64-bit hashes, as a signed number."""
     counts = np.zeros(BITS, dtype=np.int64)
     for k in range(0, len(hashes), 1 << 16):
-        counts += np.unpackbits(hashes[k : k + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
+        part = np.ascontiguousarray(hashes[k : k + (1 << 16)], dtype="<u8")
+        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<i8")[0])
 
 
 def with_fingerprints(docs: DataFrame, *, text: str = "text", out: str = "fp", words: int = WORDS) -> DataFrame:
@@ -127,14 +132,3 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     ids = named.groupBy("root").agg(F.min("first").alias("component_id"))
     by_print = written(named.join(ids, "root").select("fp", "component_id"), "classes")
     return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
-
-
-def representatives(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """docs with one row per component: the one with the smallest id. Of rows that share that id, one stays.
-
-    Rows without an id are no copies of one another for certain and stay.
-    """
-    found = near_duplicates(docs, key=key, text=text, words=words)
-    keep = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(keep, docs[key].cast("long") == keep["_keep"], "left_semi").dropDuplicates([key])
-    return kept.unionByName(docs.where(F.col(key).isNull()))

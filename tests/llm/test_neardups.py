@@ -63,7 +63,7 @@ def test_recall_of_bands(spark):
         for at in r.sample(range(5, 195, 10), 4):
             own[at] = "changed"
         texts += [" ".join(words), " ".join(own)]
-    h, many = neardups._words(texts)
+    h, many = neardups.word_hashes(texts)
     bands = neardups.bands_of(h, many)
     pairs = [(a, a + 1) for a in range(0, 800, 2) if len(plain_shingles(texts[a]) & plain_shingles(texts[a + 1])) >= 0.8 * len(plain_shingles(texts[a]) | plain_shingles(texts[a + 1]))]
     assert len(pairs) > 300 and np.mean([(bands[a] == bands[b]).any() for a, b in pairs]) >= 0.995
