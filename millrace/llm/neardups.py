@@ -72,11 +72,11 @@ def similar_links(rows: DataFrame, table: DataFrame, *, together: int = TOGETHER
 
     Candidates share a band, or a component of close fingerprints. Buckets of the same texts are compared once.
     """
-    distinct = written(table.where("bands is not null").groupBy("sig").agg(F.first("bands").alias("bands"), F.first("fp").alias("fp"), F.min("row").alias("row")), "distinct")
+    distinct = written(table.where("bands is not null").groupBy("sig").agg(F.first("bands").alias("bands"), F.first("fp").alias("fp"), F.min("row").alias("row"), F.count(F.lit(1)).alias("c")), "distinct")
     close = written(connected_components(close_links(distinct.select("fp").distinct())), "close")
-    by_print = distinct.select("sig", "row", "fp").join(maybe_sent(close, close.count()), F.col("fp") == F.col("node"), "left").select("sig", "row", F.xxhash64(F.coalesce("component", "fp"), F.lit("fp")).alias("key"))
-    keyed = distinct.select("sig", "row", F.explode("bands").alias("key")).unionAll(by_print)
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("sig")).alias("same"), F.min("sig").alias("hub")).where("n > 1")
+    by_print = distinct.select("sig", "row", "fp", "c").join(maybe_sent(close, close.count()), F.col("fp") == F.col("node"), "left").select("sig", "row", "c", F.xxhash64(F.coalesce("component", "fp"), F.lit("fp")).alias("key"))
+    keyed = distinct.select("sig", "row", "c", F.explode("bands").alias("key")).unionAll(by_print)
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("sig")).alias("same"), F.max_by("sig", F.struct("c", "sig")).alias("hub")).where("n > 1")
     buckets = written(sizes.groupBy("n", "same", "hub").agg(F.min("key").alias("key")).select("key", "n", "hub"), "buckets")
     members = written(keyed.join(maybe_sent(buckets, buckets.count()), "key").select("key", "n", "hub", "sig", "row"), "members")
     places = written(members.select("row").distinct(), "places")

@@ -204,7 +204,7 @@ def similar_links(rows: DataFrame, table: DataFrame, gap: int = gap_of(LEAST)) -
     """Links (a, b) between different paragraph texts (signatures) of Jaccard SIMILAR or more that share a band."""
     keyed = table.where(F.col("words") >= LEAST_BANDED).select("sig", F.explode(F.array(*[f"band{b}" for b in range(BANDS)])).alias("key"))
     shared = written(keyed.groupBy("key").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("lo < hi").select("key"), "bands")
-    members = written(keyed.join(maybe_sent(shared, shared.count()), "key").distinct(), "members")
+    members = written(keyed.join(maybe_sent(shared, shared.count()), "key").groupBy("key", "sig").agg(F.count(F.lit(1)).alias("c")), "members")
     wanted = written(members.select("sig").distinct(), "wanted")
     n_wanted = wanted.count()
     # one text for each wanted paragraph gives its shingles; other texts are not cut again
@@ -225,19 +225,20 @@ def similar_links(rows: DataFrame, table: DataFrame, gap: int = gap_of(LEAST)) -
     equal = written(bodies.groupBy("shingles").agg(F.min("sig").alias("sig"), F.collect_set("sig").alias("sigs")), "equal")
     same = equal.where(F.size("sigs") > 1).select(F.explode("sigs").alias("b"), F.col("sig").alias("a"))
     same = written(same.where("a <> b").select("a", "b"), "same")
-    one = members.join(maybe_sent(same, same.count()), members["sig"] == same["b"], "left").select("key", F.coalesce("a", "sig").alias("sig")).distinct()
-    sizes = one.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("sig").alias("hub")).where("n > 1")
+    one = members.join(maybe_sent(same, same.count()), members["sig"] == same["b"], "left").groupBy("key", F.coalesce("a", "sig").alias("sig")).agg(F.sum("c").alias("c"))
+    grouped = [F.count(F.lit(1)).alias("n"), F.max_by("sig", F.struct("c", "sig")).alias("hub")]  # variants lie about the commonest
+    sizes = one.groupBy("key").agg(*grouped).where("n > 1")
     sized = written(one.join(sizes, "key"), "sized")
     few = sized.where(F.col("n") <= TOGETHER).select("key", "n", "hub", "sig")
     groups = few
     if sized.where(F.col("n") > TOGETHER).limit(1).count():
         # Larger buckets: two sets of Jaccard s or more share one of their rarest shingles, floor((1-s)|set|)+1 of them.
-        grams = sized.where(F.col("n") > TOGETHER).join(bodies, "sig").select("key", "sig", F.explode("shingles").alias("gram"))
+        grams = sized.where(F.col("n") > TOGETHER).join(bodies, "sig").select("key", "sig", "c", F.explode("shingles").alias("gram"))
         rank = F.row_number().over(Window.partitionBy("key", "sig").orderBy("df", "gram"))
         size = F.count(F.lit(1)).over(Window.partitionBy("key", "sig"))
         rare = grams.join(grams.groupBy("key", "gram").agg(F.count(F.lit(1)).alias("df")), ["key", "gram"]).withColumns({"rank": rank, "size": size})
-        prefix = rare.where((F.col("rank") <= F.floor(F.col("size") * (1 - SIMILAR) + 1e-9) + 1) & (F.col("df") > 1)).select("key", "sig", "gram")
-        met = prefix.groupBy("key", "gram").agg(F.count(F.lit(1)).alias("n"), F.min("sig").alias("hub")).where("n > 1")
+        prefix = rare.where((F.col("rank") <= F.floor(F.col("size") * (1 - SIMILAR) + 1e-9) + 1) & (F.col("df") > 1)).select("key", "sig", "gram", "c")
+        met = prefix.groupBy("key", "gram").agg(*grouped).where("n > 1")
         groups = written(few.unionAll(prefix.join(met, ["key", "gram"]).select(F.xxhash64("key", "gram").alias("key"), "n", "hub", "sig")), "groups")
     links = written(verified_links(groups, bodies, together=TOGETHER).unionAll(same), "similar")
     for done in (shared, members, wanted, places, bodies, equal, same, sized):

@@ -19,49 +19,75 @@ def maybe_sent(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= SENT_OUT else df
 
 
-def _linked(members: list[tuple[int, frozenset]]) -> Iterator[tuple[int, int]]:
-    """One link per member to the first of its component among sets of Jaccard SIMILAR or more."""
-    left = sorted(members, key=lambda m: m[0])
-    while len(left) > 1:
-        root, front, rest = left[0][0], left[:1], left[1:]
+def _alike(one: frozenset, other: frozenset) -> bool:
+    both = len(one & other)
+    return both >= SIMILAR * (len(one) + len(other) - both)
+
+
+def _parts(members: list[tuple[int, frozenset]]) -> list[list[tuple[int, frozenset]]]:
+    """The components of sets of Jaccard SIMILAR or more, each with its least member first."""
+    left, parts = sorted(members, key=lambda m: m[0]), []
+    while left:
+        part, front, rest = left[:1], left[:1], left[1:]
         while front and rest:
             one, apart = front.pop()[1], []
             for m in rest:
-                both = len(one & m[1])
-                if both >= SIMILAR * (len(one) + len(m[1]) - both):
+                if _alike(one, m[1]):
                     front.append(m)
-                    yield root, m[0]
+                    part.append(m)
                 else:
                     apart.append(m)
             rest = apart
+        parts.append(part)
         left = rest
+    return parts
+
+
+def _linked(sides: tuple[dict, dict]) -> Iterator[tuple[int, int]]:
+    """One link per member to the first of its component; with two sides, one per pair of their components that meet.
+
+    (The links within a side are those of a group of its own.)
+    """
+    left, right = (_parts(list(s.items())) for s in sides)
+    if not right:
+        for part in left:
+            yield from ((part[0][0], m[0]) for m in part[1:])
+        return
+    for one in left:
+        for other in right:
+            if any(_alike(a, b) for _, a in one for _, b in other):
+                yield one[0][0], other[0][0]
 
 
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Links within each group, over rows (key, sig, shingles) sorted by key; one group is held at a time."""
-    group, members = None, {}
+    """Links within each group, over rows (key, sig, side, shingles) sorted by key; one group is held at a time."""
+    group, sides = None, ({}, {})
     for batch in batches:
         found: list[tuple[int, int]] = []
-        for g, sig, shingles in zip(batch["key"].tolist(), batch["sig"].tolist(), batch["shingles"]):
+        for g, sig, side, shingles in zip(batch["key"].tolist(), batch["sig"].tolist(), batch["side"].tolist(), batch["shingles"]):
             if g != group:
-                found += _linked(list(members.items()))
-                group, members = g, {}
-            if sig not in members:
-                members[sig] = frozenset(shingles.tolist())
+                found += _linked(sides)
+                group, sides = g, ({}, {})
+            if sig not in sides[side]:
+                sides[side][sig] = frozenset(shingles.tolist())
         yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-    yield pd.DataFrame(list(_linked(list(members.items()))), columns=["a", "b"], dtype="int64")
+    yield pd.DataFrame(list(_linked(sides)), columns=["a", "b"], dtype="int64")
     give_back()
 
 
 def verified_links(members: DataFrame, bodies: DataFrame, *, together: int) -> DataFrame:
     """Links (a, b) whose components are those of all pairs of Jaccard SIMILAR or more that share a key.
 
-    members: (key, n, hub, sig), n rows per key, of which hub is the least sig; bodies: (sig, shingles). Up to
+    members: (key, n, hub, sig), n rows per key, of which hub is one, best the commonest; bodies: (sig, shingles). Up to
     `together` sets of a key are compared in one go. In a larger group each is compared with the hub; what the hub links
     is one component already, and what it does not link meets all others in blocks, each pair of blocks on its own.
     """
-    compared = lambda groups: groups.join(bodies, "sig").select("key", "sig", "shingles").repartition("key").sortWithinPartitions("key").mapInPandas(_verify, "a long, b long")
-    links = compared(members.where(F.col("n") <= together).select("key", "sig"))
+
+    def compared(groups: DataFrame) -> DataFrame:
+        dealt = groups.join(bodies, "sig").select("key", "sig", "side", "shingles").repartition("key").sortWithinPartitions("key")
+        return dealt.mapInPandas(_verify, "a long, b long")
+
+    links = compared(members.where(F.col("n") <= together).select("key", "sig", F.lit(0).alias("side")))
     large = members.where((F.col("n") > together) & (F.col("sig") != F.col("hub")))
     if large.limit(1).count():
         both = F.size(F.array_intersect("shingles", "theirs"))
@@ -75,6 +101,6 @@ def verified_links(members: DataFrame, bodies: DataFrame, *, together: int) -> D
         odd = off.select("key", F.col("own").alias("other")).distinct()  # blocks that hold a set off the hub
         all_met = dealt.join(odd, "key").select("key", "own", "other", "sig")
         all_meet = off.select("key", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), "sig")
-        paired = all_met.unionAll(all_meet).select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "sig")
+        paired = all_met.unionAll(all_meet).select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "sig", (F.col("own") > F.col("other")).cast("int").alias("side"))
         links = links.unionAll(compared(paired.distinct()))
     return links.distinct()
