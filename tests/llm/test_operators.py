@@ -49,7 +49,7 @@ def test_topk_equals_brute_force_with_ties(spark):
 def test_topk_small_blocks_and_empty(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK_ROWS", 16)
     monkeypatch.setattr(topk, "QUERY_ROWS", 2)
-    monkeypatch.setattr(topk, "DEPTHS", (0, 1, 2, 4))
+    monkeypatch.setattr(topk, "FIRST_DEPTH", 1)
     r = np.random.default_rng(1)
     rows = [(i, [float(x) for x in r.normal(size=4)]) for i in range(201)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
@@ -61,6 +61,30 @@ def test_topk_small_blocks_and_empty(spark, monkeypatch):
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", [1e6, 1e9])
+def test_topk_large_components(spark, size):
+    rows = [(i, [size + i, -2.0, float(i % 7)]) for i in range(120)]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+    limit = int(topk.LARGEST)
+    for q in (0, 50, 100):
+        score = {i: min(limit, sum(a * b for a, b in zip(whole[q], v))) for i, v in whole.items() if i != q}
+        best = sorted((-s, i) for i, s in score.items())[:5]
+        assert [(r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == [(i, -s) for s, i in best]
+
+
+def test_topk_stops_early_on_skewed_lists():
+    r = np.random.default_rng(3)
+    m = np.floor(256 * r.normal(size=(5000, 16)) * np.array([8, 4, 2, *[0.02] * 13]))  # a few strong dimensions: lists stop early
+    block, n = topk.Lists(np.arange(5000), m), 0
+    for q in range(0, 5000, 500):
+        floor = np.sort(m @ m[q])[-12:-11]
+        found, _, scored = topk.threshold_search(block, np.array([q]), m[q : q + 1], 5, floor)
+        assert [i for _, i, _ in found] == [i for _, i in sorted((-s, i) for i, s in enumerate((m @ m[q]).tolist()) if i != q)[:5]]
+        n += scored
+    assert n < 0.5 * 10 * 5000
+
+
 # --- packing --------------------------------------------------------------------------------------------------------
 
 
