@@ -14,20 +14,29 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the session.
 
-    Only a session that names none (tests, one machine) gets a folder of its own.
+    Only a session on one machine may go without: it gets a folder of its own. On a cluster that is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found is None:
         found = spark.sparkContext.getCheckpointDir()
     if found is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-shared-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def small_batches(spark: SparkSession) -> None:
-    """Have Spark hand texts to Python in batches of 4 MB rather than 64: a worker holds several copies of one."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+    """Have Spark hand texts to Python in batches of 4 MB rather than 64: a worker holds several copies of one.
+
+    A session that has set the size itself keeps it.
+    """
+    if spark.conf.get(BATCH_BYTES).lower() in ("67108864b", "67108864", "64m", "64mb"):  # Spark's own value
+        spark.conf.set(BATCH_BYTES, "4m")
 
 
 def give_back() -> None:
@@ -57,13 +66,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def dropped(df: DataFrame) -> None:
-    """Delete the files behind a table made by written() that nothing reads any more."""
-    spark = df.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(parent)
-        path.getFileSystem(conf).delete(path, True)
+def dropped(*tables: DataFrame) -> None:
+    """Delete the files behind tables made by written() that nothing reads any more, and let Spark clear the shuffle
+    files of ended jobs: it does so when the driver's collector finds them unused, in long jobs too late for the disks."""
+    for df in tables:
+        spark = df.sparkSession
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for parent in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(parent)
+            path.getFileSystem(conf).delete(path, True)
+    if len(tables) > 1:
+        tables[0].sparkSession._jvm.System.gc()
 
 
 NO_ID = -(2**63)  # stands for a null id on the way through pandas, which would turn a column with nulls into floats
@@ -89,11 +102,21 @@ def id_crc(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary"))
 
 
+def hash_cut(count: int, bound: int) -> int:
+    """The 64-bit hash below which about bound of count rows lie, however many there are."""
+    return -(2**63) + max(1, 2**64 * bound // count) if count > bound else 2**63 - 1
+
+
 def sampled(rows: DataFrame, key: Column, count: int, bound: int) -> DataFrame:
-    """About bound of count rows, by a hash of key: the same rows on every run and partitioning."""
+    """About bound of count rows, by a hash of key: the same rows on every run and partitioning.
+
+    Where too many rows share a key for that (none or far too many would be taken), bound rows in Spark's order.
+    """
     if count <= bound:
         return rows
-    return rows.where(F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1_000_000)) < int(1e6 * bound / count))
+    picked = rows.where(F.xxhash64(key, F.lit("sample")) < F.lit(hash_cut(count, bound)))
+    n = picked.count()
+    return picked if 0 < n <= 2 * bound + 100 else (picked if n else rows).limit(bound)
 
 
 def slices(sizes: Sequence[int], limit: int) -> Iterator[tuple[int, int]]:

@@ -1,9 +1,10 @@
 """Benchmark decontamination: BM25 over an inverted index of test items, with block-max WAND.
 
 Every passage of every training text is a query against the index of test items. Scores are divided by the item's own
-score, so one threshold holds for all items. Per term and block of items the index knows the highest score; a
-passage's sum of these bounds rules most blocks out, WAND walks the others with its pivot, and retrieves every item
-at the threshold or above. A hit counts after its question and its answer are both found in the text, word for word.
+score, so one threshold holds for all items. Per term and block of items the index knows the highest score. The terms of
+a passage that cannot reach the threshold together are left out at first; the sum of the other terms' block bounds rules
+most blocks out, WAND walks the rest with its pivot, and retrieves every item at the threshold or above. A hit counts
+after its question and its answer are both found in the text, word for word.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from millrace.llm.common import give_back, or_null, small_batches, solid, writte
 WINDOW = 128  # words of a passage; passages start every half window
 SHINGLE = 5
 BLOCK = 2
-INDEX_ITEMS = 256  # items of one index: 128 blocks
-PASS_ITEMS = 4096  # items of the indexes that are sent out together
+PASS_ITEMS = 20_000  # items of one index; up to so many, the corpus is read once
+CELLS = 1 << 20  # passages times blocks whose bounds are held at a time
 SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, passage long, n_passages long"
 WORD = re.compile(r"\w+")
 
@@ -53,19 +54,37 @@ def shingles(words: list[str], n: int = SHINGLE) -> set[str]:
 
 @dataclass
 class ItemIndex:
-    """items in order of their number; postings by term: item numbers ascending, with normalized scores."""
+    """items in order of their number; term t's postings are items[start[t] : start[t + 1]], ascending, with normalized
+    scores; its blocks are blocks[block_start[t] : block_start[t + 1]], each with its highest score."""
 
     item_ids: list[int | None]
     parts: list[tuple[set[str], set[str]]]
     terms: dict[str, int]
-    postings: list[tuple[list[int], list[float]]]
-    block_max: np.ndarray  # (terms, blocks)
+    start: np.ndarray
+    items: np.ndarray
+    scores: np.ndarray
+    block_start: np.ndarray
+    blocks: np.ndarray
+    block_max: np.ndarray
+    term_max: np.ndarray
     least: np.ndarray  # threshold by item
 
+    @property
+    def n_blocks(self) -> int:
+        return -(-len(self.item_ids) // BLOCK)
+
     @property
     def grams(self) -> set[str]:
         return {g for q, a in self.parts for g in q | a}
 
+    def postings(self, term: int) -> tuple[list[int], list[float]]:
+        at = slice(self.start[term], self.start[term + 1])
+        return self.items[at].tolist(), self.scores[at].tolist()
+
+    def bounds(self, term: int) -> dict[int, float]:
+        at = slice(self.block_start[term], self.block_start[term + 1])
+        return dict(zip(self.blocks[at].tolist(), self.block_max[at].tolist()))
+
 
 @dataclass
 class Statistics:
@@ -97,16 +116,22 @@ def build_index(items: list[tuple[int | None, str | None]], *, whole: Statistics
         for t, s in own.items():
             lists[terms[t]][0].append(i)
             lists[terms[t]][1].append(s / total)
-    top = np.zeros((len(terms), (n_items + BLOCK - 1) // BLOCK), dtype=np.float32)
-    for t, (at, s) in enumerate(lists):
-        np.maximum.at(top[t], np.array(at) // BLOCK, np.array(s, dtype=np.float32))
+    size = np.array([len(at) for at, _ in lists], dtype=np.int64)
+    numbers = np.array([i for at, _ in lists for i in at], dtype=np.int64)
+    scores = np.array([x for _, s in lists for x in s], dtype=np.float64)
+    term = np.repeat(np.arange(len(lists)), size)
+    head = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (numbers[1:] // BLOCK != numbers[:-1] // BLOCK)]) if len(numbers) else np.empty(0, np.int64)
+    top = np.maximum.reduceat(scores, head) if len(head) else scores
+    offsets = lambda many: np.r_[0, np.cumsum(many)].astype(np.int64)
+    start = offsets(size)
     least = np.array([threshold * min(1.0, window / 2 / len(w)) for w in words])
     cut = [question_and_answer(t) for _, t in kept]
     parts = []
     for q, a in cut:  # an answer's shingles may start in the question, so that short answers have any
         tail = (q[-(SHINGLE - 1) :] if len(a) < SHINGLE else []) + a
         parts.append((shingles(q), shingles(tail)))
-    return ItemIndex([i for i, _ in kept], parts, terms, lists, top * np.float32(1.0001), least)
+    most = np.maximum.reduceat(scores, start[:-1]) if len(scores) else scores
+    return ItemIndex([i for i, _ in kept], parts, terms, start, numbers, scores, offsets(np.bincount(term[head], minlength=len(lists))), numbers[head] // BLOCK, top * (1 + 1e-9), most * (1 + 1e-9), least)
 
 
 def wand(index: ItemIndex, terms: list[int], blocks: np.ndarray) -> list[tuple[int, float]]:
@@ -119,9 +144,9 @@ def wand(index: ItemIndex, terms: list[int], blocks: np.ndarray) -> list[tuple[i
     found: list[tuple[int, float]] = []
     cursors = []
     for t in terms:
-        at, s = index.postings[t]
+        at, s = index.postings(t)
         if (k := bisect_left(at, opened[0] * BLOCK)) < len(at):
-            cursors.append([at[k], k, at, s, index.block_max[t], max(s)])
+            cursors.append([at[k], k, at, s, index.bounds(t), float(index.term_max[t])])
     while cursors:
         cursors.sort(key=itemgetter(0))
         bound, pivot = 0.0, -1
@@ -139,7 +164,7 @@ def wand(index: ItemIndex, terms: list[int], blocks: np.ndarray) -> list[tuple[i
             break
         if opened[next_open] != block:
             aim = opened[next_open] * BLOCK
-        elif sum(c[4][block] for c in cursors if c[0] // BLOCK <= block) < lowest:
+        elif sum(c[4].get(block, 0.0) for c in cursors if c[0] // BLOCK <= block) < lowest:
             aim = (block + 1) * BLOCK
         elif cursors[0][0] == item:
             score = 0.0
@@ -165,6 +190,32 @@ def wand(index: ItemIndex, terms: list[int], blocks: np.ndarray) -> list[tuple[i
     return found
 
 
+def open_blocks(index: ItemIndex, passage: np.ndarray, term: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(from, to, blocks) of every passage, a stretch of the sorted pairs (passage, term), that some block's bound lets through."""
+    lowest = float(index.least.min())
+    most = index.term_max[term]
+    order = np.lexsort((most, passage))  # a passage's weakest terms first
+    starts = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
+    own = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(passage)]))
+    total = np.cumsum(most[order])
+    total -= np.r_[0.0, total][starts][own]
+    strong = total >= lowest  # the terms before cannot lift an item to the threshold without one of these
+    rest = np.bincount(own, np.where(strong, 0.0, most[order]), len(starts))
+    step = max(1, CELLS // index.n_blocks)
+    at, of = order[strong], own[strong]
+    for lo in range(0, len(starts), step):
+        here = slice(*np.searchsorted(of, (lo, lo + step)))
+        t, row = term[at[here]], of[here] - lo
+        many = index.block_start[t + 1] - index.block_start[t]
+        flat = np.repeat(index.block_start[t] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        rows = min(step, len(starts) - lo)
+        bound = np.bincount(np.repeat(row, many) * index.n_blocks + index.blocks[flat], index.block_max[flat], rows * index.n_blocks).reshape(rows, -1)
+        good = (bound > 0) & (bound + rest[lo : lo + rows, None] >= lowest)
+        for k in np.flatnonzero(good.any(axis=1)):
+            a = starts[lo + k]
+            yield a, starts[lo + k + 1] if lo + k + 1 < len(starts) else len(term), np.flatnonzero(good[k])
+
+
 def hits(index: ItemIndex, words: list[str], grams: set[str], *, window: int = WINDOW, least_question: float = 0.5, least_answer: float = 0.5, least_both: float = 0.6) -> list[tuple[int, float, float, float, int, int]]:
     """(item_id, best score, question overlap, answer overlap, first passage, passages) of every verified item of a text's words."""
     if not words or not index.item_ids:
@@ -180,13 +231,9 @@ def hits(index: ItemIndex, words: list[str], grams: set[str], *, window: int = W
     keys = np.concatenate([np.minimum(here, last) * n_terms + term, (np.maximum(before, 0) * n_terms + term)[before <= last]])
     keys = np.unique(keys)
     passage, term = keys // n_terms, keys % n_terms
-    starts = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
-    bounds = np.add.reduceat(index.block_max[term], starts, axis=0)
-    lowest = float(index.least.min())
     scores: dict[int, list[tuple[float, int]]] = defaultdict(list)
-    for row in np.flatnonzero((bounds >= lowest).any(axis=1)):
-        a, b = starts[row], starts[row + 1] if row + 1 < len(starts) else len(term)
-        for item, score in wand(index, term[a:b].tolist(), np.flatnonzero(bounds[row] >= lowest)):
+    for a, b, blocks in open_blocks(index, passage, term):
+        for item, score in wand(index, term[a:b].tolist(), blocks):
             scores[item].append((score, int(passage[a])))
     if not scores:
         return []
@@ -208,15 +255,14 @@ def hits(index: ItemIndex, words: list[str], grams: set[str], *, window: int = W
 def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", threshold: float = 0.6) -> DataFrame:
     """One row per document and test item that it holds: score, overlaps, first passage and number of passages.
 
-    Items are dealt to indexes of INDEX_ITEMS, and PASS_ITEMS of them are built and sent out at a time, so neither
-    driver nor tasks hold more; every passage meets every index. Scores use the statistics of all items, however they
-    are dealt. Null and blank texts hold nothing; repeated rows and equal items are each reported, with a null item_id too.
+    One index holds up to PASS_ITEMS items, so neither driver nor tasks hold more; the corpus is read once for each, and
+    every passage meets every index. Scores use the statistics of all items, however they are dealt. Null and blank texts hold nothing; repeated rows and equal items are each reported, with a null item_id too.
     """
     spark = docs.sparkSession
     rows = docs.select(solid(key).alias("doc_id"), F.col(text).alias("text"))
     out = None
-    for indexes in _passes(items, item_key, item_text, threshold):
-        shipped = spark.sparkContext.broadcast(indexes)
+    for index in _passes(items, item_key, item_text, threshold):
+        shipped = spark.sparkContext.broadcast(index)
 
         def search(batches: Iterator[pd.DataFrame], shipped=shipped) -> Iterator[pd.DataFrame]:
             names = [c.split()[0] for c in SCHEMA.split(", ")]
@@ -229,8 +275,8 @@ def contaminated(docs: DataFrame, items: DataFrame, *, key: str = "doc_id", text
     return out
 
 
-def _passes(items: DataFrame, item_key: str, item_text: str, threshold: float = 0.6) -> Iterator[list[tuple[ItemIndex, set[str]]]]:
-    """The indexes of one pass over the corpus after the other: INDEX_ITEMS items each, PASS_ITEMS together, about."""
+def _passes(items: DataFrame, item_key: str, item_text: str, threshold: float = 0.6) -> Iterator[tuple[ItemIndex, set[str]]]:
+    """The index of one pass over the corpus after the other: about PASS_ITEMS items each."""
     small_batches(items.sparkSession)
 
     @F.pandas_udf("array<string>")
@@ -246,13 +292,13 @@ def _passes(items: DataFrame, item_key: str, item_text: str, threshold: float =
         terms = dealt.select(F.explode("words").alias("term")).distinct()
         whole = Statistics(n, mean or 1.0, {r["term"]: r["df"] for r in df.join(terms, "term", "left_semi").collect()})
         part = sorted(tuple(r) for r in dealt.select("item_id", "text").collect())
-        indexes = [build_index(part[i : i + INDEX_ITEMS], whole=whole, threshold=threshold) for i in range(0, max(1, len(part)), INDEX_ITEMS)]
-        yield [(x, x.grams) for x in indexes]
+        index = build_index(part, whole=whole, threshold=threshold)
+        yield index, index.grams
 
 
-def _found(indexes: list[tuple[ItemIndex, set[str]]], text: str | None) -> list[tuple]:
-    words = words_of(text)
-    return [h for index, grams in indexes for h in hits(index, words, grams)]
+def _found(shipped: tuple[ItemIndex, set[str]], text: str | None) -> list[tuple]:
+    index, grams = shipped
+    return hits(index, words_of(text), grams)
 
 
 def _free_of(shipped):
@@ -267,8 +313,7 @@ def _free_of(shipped):
 
 def clean(docs: DataFrame, items: DataFrame, *, text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """docs without the rows that hold a test item. Works row by row, without a join; null ids are judged as well."""
-    for indexes in _passes(items, item_key, item_text):
-        shipped = docs.sparkSession.sparkContext.broadcast(indexes)
-
+    for index in _passes(items, item_key, item_text):
+        shipped = docs.sparkSession.sparkContext.broadcast(index)
         docs = docs.where(_free_of(shipped)(F.col(text)))
     return docs

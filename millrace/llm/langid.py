@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import give_back, mixed, sampled, slices, small_batches
+from millrace.llm.common import give_back, hash_cut, mixed, slices, small_batches
 
 ORDERS = (3, 4)
 UNKNOWN = "und"
@@ -105,10 +105,15 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", key: str = "
     names = sorted(counts)
     if not names:
         return LanguageFilters([], np.zeros((1 << bits, 1), np.uint64), bits, hashes, orders)
-    picked = None
-    for name in names:
-        part = sampled(rows.where(F.col("lang") == name), F.col("key"), counts[name], per_language)
-        picked = part if picked is None else picked.unionAll(part)
+    # one scan: a row is taken if its hash is below its language's cut
+    cuts = F.create_map(*[F.lit(x) for n in names for x in (n, hash_cut(counts[n], per_language))])
+    picked = rows.where(F.xxhash64("key", F.lit("sample")) <= cuts[F.col("lang")])
+    got = {r["lang"]: r["n"] for r in picked.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    odd = [n for n in names if not 0 < got.get(n, 0) <= 2 * per_language + 100]  # too many rows share a key there
+    if odd:
+        picked = picked.where(~F.col("lang").isin(odd))
+        for name in odd:
+            picked = picked.unionAll(rows.where(F.col("lang") == name).limit(per_language))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -133,7 +138,6 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", key: str = "
         for i in range(slots.shape[1]):
             here = j[good] // 64 == i
             np.bitwise_or.at(slots[:, i], at[here], np.uint64(1) << (j[good][here] % 64).astype(np.uint64))
-    spark.catalog.clearCache()
     return LanguageFilters(names, slots, bits, hashes, orders)
 
 

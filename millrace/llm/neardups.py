@@ -92,8 +92,7 @@ def similar_links(rows: DataFrame, table: DataFrame, *, together: int = TOGETHER
 
     bodies = written(givers.mapInPandas(sets, "sig long, shingles array<long>").dropDuplicates(["sig"]), "bodies")
     links = written(verified_links(members.select("key", "n", "hub", "sig"), bodies, together=together), "similar")
-    for done in (distinct, close, buckets, members, places, bodies):
-        dropped(done)
+    dropped(distinct, close, buckets, members, places, bodies)
     return links
 
 

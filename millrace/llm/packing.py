@@ -34,21 +34,22 @@ PLAIN = re.compile("[\\x00-\\x7f\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
 LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
 # The split of the word tokenizers, over plain lower-case text.
 PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^ \\t\\n\\x0b\\x0c\\r{LETTERS}0-9]+")
-PROBE = "The don't-we'll \u00c9t\u00e9's 2024,\x1c(gro\u00dfe) <|endoftext|> x\x0by..."
+PROBE = "The don't-we'll \u00c9t\u00e9's 2024,\x1c(gro\u00dfe) <| x\x0by..."
 
 
 class _Coder:
     """Ids of texts; a piece that came before is not looked up again.
 
-    Plain text is cut by PIECES here and only unknown pieces go to the tokenizer's model; other text takes the whole
-    tokenizer. A tokenizer that cuts PROBE another way than PIECES always takes the second way.
+    Plain text is cut by PIECES here and only unknown pieces go to the tokenizer's model; other text, and text that
+    holds the literal of an added token, takes the whole tokenizer. A tokenizer that cuts PROBE another way than PIECES always takes the second way.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True  # the text of a special token is ordinary text
+        added = [t.content for t in self.whole.get_added_tokens_decoder().values() if t.content]
+        self.added = re.compile("|".join(map(re.escape, added)), re.I) if added else None  # such literals are single tokens
         same = {*range(33, 127), *range(161, 173), *range(174, 256)}  # bytes that stand for themselves in byte-level models
         others = [b for b in range(256) if b not in same]
         self.byte_sign = {b: 256 + i for i, b in enumerate(others)}
@@ -63,7 +64,7 @@ class _Coder:
         return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
-        if not self.quick or not PLAIN.fullmatch(text):
+        if not self.quick or not PLAIN.fullmatch(text) or (self.added and self.added.search(text)):
             return self._slow(text)
         pieces, known = PIECES.findall(text.lower()), self.known
         try:

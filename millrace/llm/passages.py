@@ -141,6 +141,5 @@ def extended(rows: DataFrame, stretches: DataFrame, *, least: int) -> DataFrame:
     names = ["doc_id", "row", "first_doc", "first_row", "start", "first_start", "words", "first_words", "component", "before", "after", "before2", "after2"]
     spans = both.select(names).mapInPandas(grown, SPAN)
     out = written(spans.repartition("doc_id", "row").sortWithinPartitions("doc_id", "row", "first_doc", "first_row").mapInPandas(merged, PASSAGE), "passages")
-    for done in (known, stretches):
-        dropped(done)
+    dropped(known, stretches)
     return out

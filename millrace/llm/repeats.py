@@ -241,8 +241,7 @@ def similar_links(rows: DataFrame, table: DataFrame, gap: int = gap_of(LEAST)) -
         met = prefix.groupBy("key", "gram").agg(*grouped).where("n > 1")
         groups = written(few.unionAll(prefix.join(met, ["key", "gram"]).select(F.xxhash64("key", "gram").alias("key"), "n", "hub", "sig")), "groups")
     links = written(verified_links(groups, bodies, together=TOGETHER).unionAll(same), "similar")
-    for done in (shared, members, wanted, places, bodies, equal, same, sized):
-        dropped(done)
+    dropped(shared, members, wanted, places, bodies, equal, same, sized)
     return links
 
 
@@ -270,7 +269,8 @@ def lined_up(docs: DataFrame, *, key: str = "doc_id", text: str = "text", gap: i
     linked = spots.where("component is not null").select("sig", "component", "lo", "hi")
     several = linked.groupBy("component").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).where("l < h").select("component")
     shared = written(single.unionByName(linked.join(several, "component", "left_semi").select("sig", "component")), "shared")
-    found = table.select("doc_id", "row", "number", "start", "words", "sig").join(maybe_sent(shared, shared.count()), "sig")
+    found = written(table.select("doc_id", "row", "number", "start", "words", "sig").join(maybe_sent(shared, shared.count()), "sig"), "found")
+    dropped(table, links, shared)
     first = written(found.groupBy("component").agg(F.min(F.struct("doc_id", "row", "number", "start", "words", "sig")).alias("f")), "firsts")
     other = (F.col("doc_id") != F.col("f.doc_id")) | (F.col("row") != F.col("f.row"))
     pairs = found.join(maybe_sent(first, 4 * first.count()), "component").where(other)
@@ -298,8 +298,7 @@ def lined_up(docs: DataFrame, *, key: str = "doc_id", text: str = "text", gap: i
 
     dealt = pairs.repartition("doc_id", "row").sortWithinPartitions("doc_id", "row", "first_doc", "first_row", "number", "first_number")
     out = written(dealt.mapInPandas(stretches, LINED_UP), "stretches")
-    for done in (table, links, shared, first):
-        dropped(done)
+    dropped(found, first)
     return out
 
 

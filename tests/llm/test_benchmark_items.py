@@ -11,8 +11,9 @@ def test_scores_do_not_depend_on_the_index_size(spark, monkeypatch):
     found = lambda: sorted((r["doc_id"], -1 if r["item_id"] is None else r["item_id"], round(r["score"], 9)) for r in decontaminate.contaminated(df, bench).collect())
     want = found()
     assert any(i == -1 for _, i, _ in want)
-    monkeypatch.setattr(decontaminate, "INDEX_ITEMS", 1)
-    monkeypatch.setattr(decontaminate, "PASS_ITEMS", 11)
-    assert found() == want
+    for n in (1000, 11, 4):
+        monkeypatch.setattr(decontaminate, "PASS_ITEMS", n)
+        monkeypatch.setattr(decontaminate, "CELLS", 8 * n)
+        assert found() == want
     gone = {r["doc_id"] for r in df.collect()} - {r["doc_id"] for r in decontaminate.clean(df, bench).collect()}
     assert gone == {d for d, _, _ in want} and 30 in gone

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import components, decontaminate, htmltext, langid, packing, quality, repeats, simhash, topk, warc
+from millrace.llm import common, components, decontaminate, htmltext, langid, packing, quality, repeats, simhash, topk, warc
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -95,12 +95,16 @@ def tokenizer():
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def test_ids_equal_the_tokenizer(tokenizer):
-    coder = packing._coder(tokenizer)
+def test_ids_equal_the_tokenizer(tokenizer, sf):
+    import pyarrow.parquet as pq
+    from tokenizers import Tokenizer
+
+    coder, fresh = packing._coder(tokenizer), Tokenizer.from_file(tokenizer)
     assert coder.quick
-    texts = ["", " ", "A b  c\x1cd\x85 İSTANBUL Σίσυφος ΟΔΟΣ x́y ́z <|endoftext|> don't it's''s 12three 3.14 \x00q​z ﬁ", "é́ é 가가", *[prose(k) for k in range(5)], "Größe naïve École ÀÉ × ÷ 1/2 ½ ²"]
+    texts = ["", " ", "A b  c\x1cd\x85 İSTANBUL Σίσυφος ΟΔΟΣ x́y ́z <|endoftext|> don't it's''s 12three 3.14 \x00q​z ﬁ", "é́ é 가가", *[prose(k) for k in range(5)], "Größe naïve École ÀÉ × ÷ 1/2 ½ ²", "a <|endoftext|> b", "<|EndOfText|>", "a<|startoftext|>"]
+    texts += [t for t in pq.read_table(f"{sf}/documents.parquet").column("text").to_pylist() if t]
     for t in texts:
-        assert np.frombuffer(coder.ids(t), "<u4").tolist() == coder.whole.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(coder.ids(t), "<u4").tolist() == fresh.encode(t, add_special_tokens=False).ids
 
 
 def check_packing(rows, capacity=packing.CAPACITY):
@@ -254,6 +258,14 @@ def test_language_held_out_accuracy(spark, sf):
     assert {r["lang_pred"] for r in langid.identify(odd, none).collect()} == {"und"}
 
 
+def test_sampling_at_any_size(spark):
+    assert all(0 < (common.hash_cut(n, 300) + 2**63) / 2**64 * n < 301 for n in (301, 10**6, 10**12, 10**15))
+    df = spark.range(20_000)
+    assert 200 < common.sampled(df, F.col("id"), 20_000, 300).count() < 400
+    same = df.withColumn("k", F.lit(1))
+    assert 0 < common.sampled(same, F.col("k"), 20_000, 300).count() <= 700
+
+
 def test_long_texts_are_read_whole():
     model = langid.LanguageFilters(["x"], np.full((1 << 20, 1), 1, np.uint64), 20, 2, (3,))
     h, owner = langid.grams(["abc def", "ghi"], (3,))
@@ -334,14 +346,24 @@ def test_wand_equals_full_scoring():
         terms = [index.terms[w] for w in words if w in index.terms]
         score = collections.Counter()
         for t in terms:
-            for i, s in zip(*index.postings[t]):
+            for i, s in zip(*index.postings(t)):
                 score[i] += s
         for least in (0.05, 0.2, 0.6):
             index.least[:] = least
-            found = dict(decontaminate.wand(index, terms, np.arange(index.block_max.shape[1])))
+            found = dict(decontaminate.wand(index, terms, np.arange(index.n_blocks)))
             assert set(found) == {i for i, s in score.items() if s >= least}
 
 
+def test_a_text_of_a_million_known_words():
+    items = [(k, prose(("i", k), 60)) for k in range(300)]
+    index = decontaminate.build_index(items)
+    known = sorted(index.terms)
+    r = random.Random(1)
+    words = [known[r.randrange(len(known))] for _ in range(1_000_000)]
+    words[500_000:500_000] = decontaminate.words_of(items[7][1])
+    assert [h[0] for h in decontaminate.hits(index, words, index.grams)] == [7]
+
+
 def test_planted_items_are_found(spark):
     items = [(k, prose(("i", k), 15 + k)) for k in range(40)] + [(90, None), (91, "")]
     rows = [(k, f"{prose(('x', k), 200)} {items[k][1].upper() if k % 2 else items[k][1]} {prose(('y', k), 200)}") for k in range(40)]
@@ -357,7 +379,6 @@ def test_planted_items_are_found(spark):
 
 
 def test_many_items_in_several_passes(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "INDEX_ITEMS", 7)
     monkeypatch.setattr(decontaminate, "PASS_ITEMS", 15)
     items = [(k, prose(("i", k), 40)) for k in range(40)]
     df = docs_of(spark, [(k, f"{prose(k, 30)} {items[k][1]}") for k in range(40)])
