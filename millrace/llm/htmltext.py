@@ -90,6 +90,8 @@ def blocks(page: str | None) -> list[Block]:
 # --- features -------------------------------------------------------------------------------------------------------
 
 PATH_BITS, WORD_BITS = 11, 10
+STEPS = 1024  # blocks of a sequence whose inputs are multiplied at a time
+CELLS = 30_000  # blocks, with padding, of the pages that are labelled together; a longer page goes alone
 NUMBERS = 6
 
 
@@ -177,9 +179,11 @@ class Labeller:
         n, h = x.shape[1], self.hidden
         state, cell = np.zeros((n, h)), np.zeros((n, h))
         out, tape, w = np.zeros((len(x), n, h)), [], self.weights[name]
-        drive = x @ w[: x.shape[2]] + w[-1]
-        for t in steps:
-            z = drive[t] + state @ w[x.shape[2] : -1]
+        for k, t in enumerate(steps):
+            if k % STEPS == 0:  # what the inputs drive, for the next steps
+                lo = t if name == "ahead" else max(0, t - STEPS + 1)
+                drive = x[lo : lo + STEPS] @ w[: x.shape[2]] + w[-1]
+            z = drive[t - lo] + state @ w[x.shape[2] : -1]
             i, f, o, g = _sigmoid(z[:, :h]), _sigmoid(z[:, h : 2 * h]), _sigmoid(z[:, 2 * h : 3 * h]), np.tanh(z[:, 3 * h :])
             m = mask[t][:, None]
             new = f * cell + i * g
@@ -265,6 +269,8 @@ AROUND = {
     "comments": ["<div class='comments'><h3>{s}</h3><p>{p}</p><p>{p}</p></div>", "<section id='comments'><article class='comment'><p>{p}</p></article><article class='comment'><p>{p}</p></article></section>", "<ol class='comment-list'><li class='comment'>{p}</li><li class='comment'>{p}</li></ol>", "<div class='comment'><div class='comment-body'><p>{p}</p></div></div>", "<ul class='replies'><li class='reply'>{p}</li></ul>", "<div id='disqus'><p>{p}</p></div>", "<section class='reader-comments'><div class='comment'>{p}</div><p>{p}</p></section>", "<div class='reviews'><p>{p}</p></div>"],
     "share": ["<div class='share'><a href='#'>{s}</a> <a href='#'>{s}</a></div>", "<div class='social'>{s}</div>", "<div class='byline author'>{s}</div>", "<div class='meta'>{s}</div>"],
 }
+LINKS = ["<li><a href='#'>{}</a></li>", "<div><a href='#'>{}</a></div>", "<p><a href='#'>{}</a></p>", "<a href='#'>{}</a> ", "<span><a href='#'>{}</a></span> "]
+DIGITS = str.maketrans("0123456789", "ghijklmnop")  # names of letters
 MARK = "\ue000"  # stands before every main text of a rebuilt page
 
 
@@ -280,9 +286,13 @@ def rebuilt(texts: list[str], random: np.random.Generator) -> str:
     def around() -> str:
         shape = pick(AROUND[pick(list(AROUND))])
         while "{" in shape:
-            shape = shape.replace("{li}", "".join(f"<li><a href='#'>{phrase(1, 4)}</a></li>" for _ in range(random.integers(2, 8))), 1)
+            link = pick(LINKS) if "<ul" not in shape and "<ol" not in shape else LINKS[0]
+            shape = shape.replace("{li}", "".join(link.format(phrase(1, 4)) for _ in range(random.integers(2, 8))), 1)
             shape = shape.replace("{s}", phrase(1, 9), 1).replace("{p}", phrase(3, 60), 1)
-        return shape
+        return renamed(shape)
+
+    def renamed(shape: str) -> str:  # some pages have names of their own: tags, links and words must do
+        return re.sub(r"(class|id)='[^']*'", lambda m: f"{m[1]}='{random.integers(1 << 30):x}'".translate(DIGITS), shape) if random.random() < 0.25 else shape
 
     inner = []
     for i in range(random.integers(1, 12)):
@@ -294,7 +304,10 @@ def rebuilt(texts: list[str], random: np.random.Generator) -> str:
             inner.append(around())
     before, after = ("".join(around() for _ in range(random.integers(0, 4))) for _ in range(2))
     wrap = random.random()
-    body = before + pick(MAIN).format("".join(inner)) + after
+    main = renamed(pick(MAIN)).format("".join(inner))
+    body = before + main + after
+    if random.random() < 0.12:  # laid out in a table
+        body = "<table><tr>" + "".join(f"<td>{x}</td>" for x in (before, main, after) if x) + "</tr></table>"
     body = f"<div class='container'>{body}</div>" if wrap < 0.2 else f"<div id='page'><div class='row'>{body}</div></div>" if wrap < 0.3 else body
     return f"<html><body>{body}</body></html>"
 
@@ -302,7 +315,7 @@ def rebuilt(texts: list[str], random: np.random.Generator) -> str:
 def training_sequences(pages: list[str], rounds: int = 3, seed: int = 11) -> list[Sequence]:
     random, out = np.random.default_rng(seed), []
     own = [[b.text for b in blocks(p)] for p in pages]
-    own = [t for t in own if t] or [["a text of a few words", "home"]]
+    own = [t for t in own if t] or [["a text of a few words", "home"]]  # pages without any text
     for _ in range(rounds):
         for texts in own:
             page = blocks(rebuilt([t.replace(MARK, "") or "x" for t in texts], random))
@@ -327,13 +340,14 @@ def fit(pages: DataFrame, *, key: str = "page_id", html: str = "html", bound: in
     return Labeller.new().fit(training_sequences([h for _, h in got] * max(1, 150 // max(1, len(got)))), rounds=rounds)
 
 
-def main_texts(model: Labeller, pages: list[str | None], batch: int = 128, least: float = 0.5) -> list[str]:
+def main_texts(model: Labeller, pages: list[str | None], cells: int = CELLS, least: float = 0.5) -> list[str]:
     """The main text of every page: its blocks of a chance over `least`, in page order."""
     found = [blocks(p) for p in pages]
     out = [""] * len(pages)
     order = sorted((i for i, b in enumerate(found) if b), key=lambda i: len(found[i]))
-    for k in range(0, len(order), batch):
-        part = order[k : k + batch]
+    while order:
+        n = max(1, cells // max(1, len(found[order[-1]])))  # the longest that are left
+        order, part = order[:-n], order[-n:]
         for i, p in zip(part, model.chance([sequence(found[i]) for i in part])):
             out[i] = "\n".join(b.text for b, x in zip(found[i], p) if x > least)
     return out

@@ -85,9 +85,11 @@ def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    number = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1).cast("long")
-    index = warc.archive_index(_read(spark, sf_dir, "pages"))
-    return index.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.when(F.col("refers_to").isNotNull(), number("refers_to")).alias("refers_to"), "url_key", F.col("range").alias("index_range"), F.col("position").alias("index_position"))
+    number = lambda c: F.regexp_extract(c, r"^urn:page:(-?\d+)$", 1).try_cast("long")
+    second = F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(31_536_000))  # captures in the order of their ids, a second each
+    captured = F.date_format(F.timestamp_seconds(second + 1_704_067_200), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    index = warc.archive_index(_read(spark, sf_dir, "pages"), captured=captured)
+    return index.select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.when(F.col("refers_to").isNotNull(), number("refers_to")).alias("refers_to"), "url_key", "captured", F.col("range").alias("index_range"), F.col("position").alias("index_position"))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
