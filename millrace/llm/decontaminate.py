@@ -193,27 +193,18 @@ def wand(index: ItemIndex, terms: list[int], blocks: np.ndarray) -> list[tuple[i
 def open_blocks(index: ItemIndex, passage: np.ndarray, term: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
     """(from, to, blocks) of every passage, a stretch of the sorted pairs (passage, term), that some block's bound lets through."""
     lowest = float(index.least.min())
-    most = index.term_max[term]
-    order = np.lexsort((most, passage))  # a passage's weakest terms first
     starts = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
-    own = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(passage)]))
-    total = np.cumsum(most[order])
-    total -= np.r_[0.0, total][starts][own]
-    strong = total >= lowest  # the terms before cannot lift an item to the threshold without one of these
-    rest = np.bincount(own, np.where(strong, 0.0, most[order]), len(starts))
+    ends = np.r_[starts[1:], len(passage)]
     step = max(1, CELLS // index.n_blocks)
-    at, of = order[strong], own[strong]
     for lo in range(0, len(starts), step):
-        here = slice(*np.searchsorted(of, (lo, lo + step)))
-        t, row = term[at[here]], of[here] - lo
+        hi = min(lo + step, len(starts))
+        t = term[starts[lo] : ends[hi - 1]]
+        row = np.repeat(np.arange(hi - lo) * index.n_blocks, ends[lo:hi] - starts[lo:hi])
         many = index.block_start[t + 1] - index.block_start[t]
         flat = np.repeat(index.block_start[t] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-        rows = min(step, len(starts) - lo)
-        bound = np.bincount(np.repeat(row, many) * index.n_blocks + index.blocks[flat], index.block_max[flat], rows * index.n_blocks).reshape(rows, -1)
-        good = (bound > 0) & (bound + rest[lo : lo + rows, None] >= lowest)
-        for k in np.flatnonzero(good.any(axis=1)):
-            a = starts[lo + k]
-            yield a, starts[lo + k + 1] if lo + k + 1 < len(starts) else len(term), np.flatnonzero(good[k])
+        bound = np.bincount(np.repeat(row, many) + index.blocks[flat], index.block_max[flat], (hi - lo) * index.n_blocks).reshape(hi - lo, -1)
+        for k in np.flatnonzero(bound.max(axis=1) >= lowest):
+            yield starts[lo + k], ends[lo + k], np.flatnonzero(bound[k] >= lowest)
 
 
 def hits(index: ItemIndex, words: list[str], grams: set[str], *, window: int = WINDOW, least_question: float = 0.5, least_answer: float = 0.5, least_both: float = 0.6) -> list[tuple[int, float, float, float, int, int]]:

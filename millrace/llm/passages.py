@@ -18,7 +18,7 @@ from millrace.llm.common import dropped, give_back, slices, written
 from millrace.llm.verify import SIMILAR, maybe_sent
 
 SHINGLE = 5
-CONTEXT = 40  # words known on either side of a stretch: two gaps between cuts and more
+CONTEXT = 32  # words known on either side of a stretch: two gaps between cuts
 STEPS = ((1, 1), (1, 0), (0, 1), (2, 2), (2, 1), (1, 2), (3, 3))  # words changed, added or left out at an edit
 PIECE = 1 << 19
 SPAN = "doc_id long, row long, first_doc long, first_row long, start int, first_start int, words int, component long"

@@ -273,7 +273,7 @@ def lined_up(docs: DataFrame, *, key: str = "doc_id", text: str = "text", gap: i
     dropped(table, links, shared)
     first = written(found.groupBy("component").agg(F.min(F.struct("doc_id", "row", "number", "start", "words", "sig")).alias("f")), "firsts")
     other = (F.col("doc_id") != F.col("f.doc_id")) | (F.col("row") != F.col("f.row"))
-    pairs = found.join(maybe_sent(first, 4 * first.count()), "component").where(other)
+    pairs = found.join(maybe_sent(first, 2 * first.count()), "component").where(other)
     pairs = pairs.select("doc_id", "row", F.col("f.doc_id").alias("first_doc"), F.col("f.row").alias("first_row"), "number", F.col("f.number").alias("first_number"), "start", F.col("f.start").alias("first_start"), "words", F.col("f.words").alias("first_words"), (F.col("sig") == F.col("f.sig")).alias("equal"), "component")
 
     def stretches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
