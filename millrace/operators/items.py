@@ -11,11 +11,11 @@ from millrace.functions.columns import days_between, r6
 from millrace.session import saved
 
 # Status and priority groups of the classification, in lower case.
-WORKING = ("in progress", "development", "review", "testing")
-REVIEW = ("review", "testing")
-TODO = ("to do", "todo", "open")
-CRITICAL = ("critical", "blocker", "highest")
-HIGH = (*CRITICAL, "high")
+WORKING = ("in progress", "development", "review", "testing", "в работе", "разработка", "тестирование")
+REVIEW = ("review", "testing", "тестирование")
+TODO = ("to do", "todo", "open", "открыто", "сделать")
+CRITICAL = ("critical", "blocker", "highest", "критический", "блокер")
+HIGH = (*CRITICAL, "high", "высокий")
 # Tracked change fields and the events they make.
 CHANGES = {
     "status": "status_changed", "assignee": "assignee_changed", "priority": "priority_changed", "duedate": "duedate_changed", "fixversion": "fixversion_changed",
@@ -82,28 +82,111 @@ def change_events(df: DataFrame) -> DataFrame:
     return changed.unionByName(said)
 
 
-def focus_reason(df: DataFrame, as_of: str, priorities: list[str], due_days: int = 3, stale_days: int = 14, empty_due: bool = True) -> DataFrame:
-    """issue_key and its reasons joined by "; ", in fixed order; the due rules exclude one another."""
+def within(c: Column, as_of: str, days: int) -> Column:
+    """Whether a time is no more than `days` days before as_of, to the second: the limit itself belongs to it."""
+    return F.coalesce(c >= F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(days)), F.lit(False))
+
+
+def group_events(issues: DataFrame, events: DataFrame, members: DataFrame, as_of: str, days: int = 7) -> DataFrame:
+    """Comments and changes by members, and one "issue_created" per issue that a member (the creator, else the
+    reporter) has made within the period: issue_key, event_type, author, created."""
+    ours = members.select(F.col("member").alias("author")).distinct()
+    made = issues.where(within(F.col("created"), as_of, days)).select("issue_key", F.lit("issue_created").alias("event_type"), F.coalesce("creator", "reporter").alias("author"), F.col("created"))
+    return events.select("issue_key", "event_type", "author", "created").unionByName(made).join(ours, "author", "left_semi").select("issue_key", "event_type", "author", "created")
+
+
+def member_activity(issues: DataFrame, events: DataFrame, members: DataFrame, start: str, end: str) -> DataFrame:
+    """Events of members from start to end (both days whole) with the issue's status and priority, one row each."""
+    when = F.col("created")
+    inside = events.where((when >= F.lit(start).cast("timestamp_ntz")) & (when < F.lit(end).cast("timestamp_ntz") + F.make_dt_interval(F.lit(1))))
+    own = inside.join(members.select(F.col("member").alias("author")).distinct(), "author", "left_semi")
+    return own.join(issues.select("issue_key", "status", "priority"), "issue_key").select("issue_key", "event_type", "author", "created", "status", "priority")
+
+
+def _focus_parts(as_of: str, priorities: list[str], labels: list[str], due_days: int, stale_days: int, empty_due: bool) -> dict[str, Column]:
+    """What the focus rules say of an issue; each is null where its rule does not hold."""
     today = F.lit(as_of).cast("date")
-    high = F.lower("priority").isin(*[p.lower() for p in priorities])
-    due = F.when(F.col("due") < today, "overdue").when(F.datediff("due", today) <= due_days, f"due within {due_days} days").when(F.col("due").isNull() & F.lit(empty_due), "no due date")
     idle = days_between(F.col("updated"), F.lit(as_of).cast("timestamp_ntz"))
-    parts = F.array(F.when(high, F.concat(F.lit("high priority: "), "priority")), due, F.when(idle >= stale_days, F.concat(F.lit("idle: "), idle.cast("string"), F.lit(" days"))))
+    wanted = F.array_sort(F.array_distinct(F.filter("labels", lambda x: F.lower(x).isin(*[w.lower() for w in labels]) if labels else F.lit(False))))
+    return {
+        "priority": F.when(F.lower("priority").isin(*[p.lower() for p in priorities]), F.concat(F.lit("high priority: "), "priority")),
+        "due": F.when(F.col("due") < today, "overdue").when(F.datediff("due", today) <= due_days, f"due within {due_days} days").when(F.col("due").isNull() & F.lit(empty_due), "no due date"),
+        "labels": F.when(F.size(wanted) > 0, F.concat(F.lit("label: "), F.array_join(wanted, ", "))),
+        "idle": F.when(idle >= stale_days, F.concat(F.lit("idle: "), idle.cast("string"), F.lit(" days"))),
+    }
+
+
+def focus_reason(df: DataFrame, as_of: str, priorities: list[str], labels: list[str] = [], due_days: int = 3, stale_days: int = 14, empty_due: bool = True) -> DataFrame:  # noqa: B006
+    """issue_key and its reasons joined by "; ", in fixed order; the due rules exclude one another."""
+    parts = F.array(*_focus_parts(as_of, priorities, labels, due_days, stale_days, empty_due).values())
     return df.select("issue_key", F.array_join(F.filter(parts, lambda x: x.isNotNull()), "; ").alias("reason"))
 
 
+def explain(df: DataFrame, assignees: DataFrame, as_of: str, priorities: list[str], labels: list[str], excluded: list[str], due_days: int = 3, stale_days: int = 14) -> DataFrame:
+    """Why an issue is in the assigned set and the focus set, or not: a row of answers per issue.
+
+    Assigned: its assignee is one of `assignees` (member) and its status is not excluded. Focus: that, and a reason.
+    """
+    parts = _focus_parts(as_of, priorities, labels, due_days, stale_days, True)
+    team = assignees.select(F.col("member").alias("assignee"), F.lit(True).alias("_ours")).distinct()
+    reason = F.array_join(F.filter(F.array(*parts.values()), lambda x: x.isNotNull()), "; ")
+    status_match = F.coalesce(~F.lower("status").isin(*[x.lower() for x in excluded]), F.lit(True))
+    rows = df.join(team, "assignee", "left").withColumns({"assigned_match": F.coalesce("_ours", F.lit(False)), "status_match": status_match, "reason": reason, "matched_labels": F.coalesce(F.substring_index(parts["labels"], "label: ", -1), F.lit("")), "days_idle": days_between(F.col("updated"), F.lit(as_of).cast("timestamp_ntz"))})
+    assigned = F.col("assigned_match") & F.col("status_match")
+    return rows.select("issue_key", "assigned_match", "status_match", assigned.alias("in_assigned"), (assigned & (F.col("reason") != "")).alias("in_focus"), "matched_labels", "days_idle", "reason")
+
+
+def related(issues: DataFrame, events: DataFrame, members: DataFrame) -> DataFrame:
+    """Keys of issues whose assignee, reporter or creator is a member, or that a member has an event in."""
+    ours = members.select("member").distinct()
+    people = issues.select("issue_key", F.explode(F.array_distinct(F.array("assignee", "reporter", "creator"))).alias("member"))
+    seen = people.unionByName(events.select("issue_key", F.col("author").alias("member"))).join(ours, "member", "left_semi").select("issue_key").distinct()
+    return issues.select("issue_key").join(seen, "issue_key", "left_semi")
+
+
+def candidates(issues: DataFrame, members: DataFrame, as_of: str, days: int = 7, stale_days: int = 14) -> DataFrame:
+    """Open issues that are looked at, each once with the last set that holds it: stale over recent over group."""
+    team = members.select(F.col("member").alias("assignee"), F.lit(True).alias("_ours")).distinct()
+    j = issues.where(~F.col("done")).join(team, "assignee", "left")
+    ours = F.coalesce("_ours", F.lit(False))
+    old = F.coalesce(F.col("updated") <= F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(stale_days)), F.lit(False))
+    origin = F.when(ours & old, "stale").when(within(F.col("updated"), as_of, days), "recent").when(ours, "group")
+    return j.withColumn("origin", origin).where("origin is not null").drop("_ours")
+
+
+def release_rows(issues: DataFrame, members: DataFrame, as_of: str, days: int = 7) -> DataFrame:
+    """A row per version and issue of the members, done ones as well, updated in the last 30 days or more.
+
+    issues has versions: an array of (name, description); a version without a name is "no name".
+    """
+    own = issues.join(members.select(F.col("member").alias("assignee")).distinct(), "assignee", "left_semi").where(within(F.col("updated"), as_of, max(days, 30)))
+    v = own.select("issue_key", "status", "assignee", "priority", "updated", "due", F.explode("versions").alias("v"))
+    return v.select(F.coalesce(F.nullif("v.name", F.lit("")), F.lit("no name")).alias("version"), F.coalesce("v.description", F.lit("")).alias("description"), "issue_key", "status", "assignee", "priority", "updated", "due")
+
+
+def releases(rows: DataFrame) -> DataFrame:
+    """Of release_rows: per version its description (that of its least issue) and the number of issues.
+
+    The issues themselves stay rows of release_rows: a version may have more than one cell should hold.
+    """
+    return rows.groupBy("version").agg(F.min_by("description", F.struct("issue_key", "description")).alias("description"), F.count("*").alias("issues"), F.min("issue_key").alias("first_issue"), F.max("issue_key").alias("last_issue"))
+
+
 def classify(issues: DataFrame, events: DataFrame, members: DataFrame, as_of: str, days: int = 7, stale_days: int = 14) -> DataFrame:
     """Score, reasons and categories of every issue that is current.
 
     issues: issue_key, status, done, priority, assignee, reporter, created, updated, due; events: issue_key, event_type,
     author, created; members: member. Events are summed up per issue before the join, so one busy issue moves one row.
+    A done issue is no backlog; an open one is, if its assignee, reporter or creator is a member or it has any event of one.
     """
     now, today = F.lit(as_of).cast("timestamp_ntz"), F.lit(as_of).cast("date")
-    recent = lambda c: days_between(F.col(c), now) < days
+    recent = lambda c: within(F.col(c), as_of, days)
     own = events.join(members.select(F.col("member").alias("author")).distinct(), "author", "left_semi")
-    seen = own.groupBy("issue_key").agg(F.count_if(recent("created")).alias("n_recent"), F.count_if(recent("created") & (F.col("event_type") == "status_changed")).alias("n_status"), F.count_if(recent("created") & (F.col("event_type") == "comment_added")).alias("n_comments"), F.count("*").alias("n_events"), F.max("created").alias("last_event"))
-    team = members.select(F.col("member").alias("assignee"), F.lit(True).alias("ours")).distinct()
-    j = issues.join(seen, "issue_key", "left").join(team, "assignee", "left").na.fill({"ours": False, "n_recent": 0, "n_status": 0, "n_comments": 0, "n_events": 0})
+    seen = own.groupBy("issue_key").agg(F.count_if(recent("created")).alias("n_recent"), F.count_if(recent("created") & (F.col("event_type") == "status_changed")).alias("n_status"), F.count_if(recent("created") & (F.col("event_type") == "comment_added")).alias("n_comments"), F.count("*").alias("n_events"), F.max("created").alias("last_event"), F.collect_set(F.col("author").cast("string")).alias("authors"), F.collect_set(F.when(recent("created") & ~F.col("event_type").isin("comment_added", "issue_created"), F.col("event_type"))).alias("changed"))
+    j = issues.join(seen, "issue_key", "left")
+    for person, flag in (("assignee", "ours"), ("reporter", "reported"), ("creator", "made")):
+        j = j.join(members.select(F.col("member").alias(person), F.lit(True).alias(flag)).distinct(), person, "left")
+    j = j.na.fill({"ours": False, "reported": False, "made": False, "n_recent": 0, "n_status": 0, "n_comments": 0, "n_events": 0})
     c, low = F.col, lambda n: F.lower(F.trim(F.col(n)))
     active, done = c("n_recent") > 0, c("done")
     idle = days_between(c("updated"), now)
@@ -118,32 +201,39 @@ def classify(issues: DataFrame, events: DataFrame, members: DataFrame, as_of: st
     score = sum((F.when(flag(n), p).otherwise(0) for n, p, _ in points), F.lit(0))
     listed = lambda pairs: F.filter(F.array(*[F.when(cond, F.lit(text)) for cond, text in pairs]), lambda x: x.isNotNull())
     attention = (c("overdue") | c("high") | c("due_soon") | c("stale") | (c("ours") & (c("idle") >= stale_days)) | c("todo_active_")) & ~done
-    categories = listed([(c("working") & ~done & c("ours") & (c("active") | c("touched")), "active_now"), (c("touched") & c("active"), "changed_recently"), (F.coalesce(attention, F.lit(False)), "needs_attention"), (c("stale"), "stale"), (c("overdue"), "overdue"), (~done & (c("ours") | (c("n_events") > 0)) & ~c("active") & ~c("touched"), "backlog")])
+    categories = listed([(c("working") & ~done & c("ours") & (c("active") | c("touched")), "active_now"), (c("touched") & c("active"), "changed_recently"), (F.coalesce(attention, F.lit(False)), "needs_attention"), (c("stale"), "stale"), (c("overdue"), "overdue"), (~done & (c("ours") | c("reported") | c("made") | (c("n_events") > 0)) & ~c("active") & ~c("touched"), "backlog")])
     current = ~done & (c("ours") | c("working") | c("touched") | c("active") | c("high") | c("due_soon") | c("overdue") | c("stale"))
     out = j.withColumns({"score": score, "reasons": listed([(flag(n), t) for n, _, t in points]), "categories": categories})
-    return out.where(current | (F.size("categories") > 0)).select("issue_key", "status", "priority", "assignee", "score", "reasons", "categories", F.col("idle").alias("days_idle"), F.when(c("overdue"), F.datediff(today, "due")).alias("days_overdue"), F.coalesce("last_event", "updated").alias("last_activity"))
+    none = F.array().cast("array<string>")
+    users = F.array_union(F.coalesce("authors", none), F.when(c("ours"), F.array(c("assignee").cast("string"))).otherwise(none))
+    out = out.withColumns({"active_users": F.array_sort(users), "changed": F.array_sort(F.coalesce("changed", none))})
+    return out.where(current | (F.size("categories") > 0)).select("active_users", "changed", "issue_key", "status", "priority", "assignee", "score", "reasons", "categories", F.col("idle").alias("days_idle"), F.when(c("overdue"), F.datediff(today, "due")).alias("days_overdue"), F.coalesce("last_event", "updated").alias("last_activity"))
 
 
-def kpi_rows(tasks: DataFrame) -> DataFrame:
+def kpi_rows(tasks: DataFrame, release_rows: DataFrame, members: DataFrame, as_of: str, days: int = 7, stale_days: int = 14) -> DataFrame:
+    """The 13 indicators of the report in their order: position, indicator, value (as text)."""
     n = lambda k: F.count_if(F.array_contains("categories", k)).alias(k)
-    kinds = ["active_now", "changed_recently", "needs_attention", "stale", "overdue", "backlog"]
-    row = tasks.agg(F.count("*").alias("all_tasks"), *[n(k) for k in kinds])
-    return row.select(F.inline(F.array(*[F.struct(F.lit(k).alias("indicator"), F.col(k).alias("value")) for k in ("all_tasks", *kinds)])))
+    kinds = ["active_now", "changed_recently", "needs_attention", "stale", "overdue"]
+    row = tasks.agg(F.count("*").alias("all_tasks"), F.count_if(F.size("categories") > 0).alias("group_tasks"), *[n(k) for k in kinds])
+    shipped = release_rows.agg(F.countDistinct("version").alias("releases"), F.count("*").alias("release_issues"))
+    people = members.agg(F.countDistinct("member").alias("members"))
+    fixed = {"period": f"{days} days", "stale_after": f"{stale_days} days", "made_at": as_of}
+    one = row.crossJoin(F.broadcast(shipped)).crossJoin(F.broadcast(people)).withColumns({k: F.lit(v) for k, v in fixed.items()})  # one row each
+    names = ["all_tasks", "group_tasks", *kinds, "releases", "release_issues", "members", *fixed]
+    return one.select(F.inline(F.array(*[F.struct(F.lit(i).alias("position"), F.lit(k).alias("indicator"), F.col(k).cast("string").alias("value")) for i, k in enumerate(names, 1)])))
 
 
 def sheet(tasks: DataFrame, name: str) -> DataFrame:
     return tasks.where(F.array_contains("categories", name))
 
 
-def releases(issues: DataFrame, version: str) -> DataFrame:
-    """Issues per version, sorted and joined, bounded by what one version holds."""
-    return issues.groupBy(version).agg(F.count("*").alias("issues"), F.min("issue_key").alias("first_issue"), F.max("issue_key").alias("last_issue"))
-
-
 def project_members(rows: DataFrame) -> DataFrame:
-    """(identity, role, group) rows merged by identity: roles and groups sorted and joined, with a name."""
+    """(accountId, name, key, emailAddress, displayName, role, team) rows merged by the first identity that is filled:
+    roles and teams sorted and joined, and the least display name."""
+    filled = [F.nullif(F.trim(F.col(f)), F.lit("")) for f in ("accountId", "name", "key", "emailAddress", "displayName")]
     joined = lambda col: F.array_join(F.array_sort(F.collect_set(col)), ", ").alias(f"{col}s")
-    return rows.groupBy("identity").agg(F.min("name").alias("name"), joined("role"), joined("team"))
+    known = rows.withColumn("identity", F.coalesce(*filled)).where("identity is not null")
+    return known.groupBy("identity").agg(F.min("displayName").alias("name"), joined("role"), joined("team"))
 
 
 def load_members(df: DataFrame, exclude: list[str], exclude_inactive: bool = True) -> DataFrame:
@@ -183,17 +273,113 @@ def confidence(ratio: Column, place: Column, with_attachment: Column) -> Column:
     )
 
 
-def find_matches(docs: DataFrame, keywords: list[str], sections: dict[str, Column]) -> DataFrame:
-    """issue_key, place, matched, ratio, fragment, confidence: a row per section of an issue that holds a keyword."""
-    rows = docs.select("issue_key", F.inline(F.array(*[F.struct(F.lit(n).alias("place"), c.alias("text")) for n, c in sections.items()])))
-    m = rows.withColumn("hits", matched_keywords(F.col("text"), keywords)).where(F.size("hits") > 0).withColumn("ratio", F.size("hits") / len(keywords))
-    return m.select("issue_key", "place", F.array_join("hits", ", ").alias("matched"), r6("ratio").alias("ratio"), fragment(F.col("text"), F.element_at("hits", 1)).alias("fragment"), confidence(F.col("ratio"), F.col("place"), F.lit(False)).alias("confidence"))
+def find_matches(issues: DataFrame, keywords: list[str], others: DataFrame | None = None) -> DataFrame:
+    """issue_key, mode, category, place, pos, matched, ratio, fragment, confidence: a row per place that holds a keyword.
+
+    issues: issue_key, mode, category, summary, description, has_attachment. An issue counts if its summary and description hold
+    a keyword; its summary is a place of its own, and the description (read with the summary before it) one as well,
+    unless the summary matched and the description adds no keyword. others: issue_key, place (comment, attachment, linked,
+    subtask), pos, text: searched for the issues that count; pos orders places of one kind.
+    """
+    low = lambda c: F.coalesce(c, F.lit(""))
+    whole = F.concat(low(F.col("summary")), F.lit("\n"), low(F.col("description")))
+    found = issues.withColumns({"whole": whole, "in_whole": matched_keywords(whole, keywords), "in_summary": matched_keywords(F.col("summary"), keywords), "in_text": matched_keywords(F.col("description"), keywords)}).where(F.size("in_whole") > 0)
+    more = (F.size("in_summary") == 0) | (F.size(F.array_except("in_text", "in_summary")) > 0)
+    titled = F.concat(F.when(low(F.col("summary")) != "", F.concat(F.lit("["), "summary", F.lit("] "))).otherwise(""), fragment(F.col("whole"), F.element_at("in_whole", 1)))
+    spots = F.array(
+        F.when(F.size("in_summary") > 0, F.struct(F.lit("summary").alias("place"), F.lit(0).cast("long").alias("pos"), F.col("in_summary").alias("hits"), fragment(F.col("summary"), F.try_element_at("in_summary", F.lit(1))).alias("fragment"))),
+        F.when(more, F.struct(F.lit("description").alias("place"), F.lit(1).cast("long").alias("pos"), F.col("in_whole").alias("hits"), titled.alias("fragment"))),
+    )
+    own = found.select("issue_key", "mode", "category", "has_attachment", F.inline(F.filter(spots, lambda x: x.isNotNull())))
+    if others is not None:
+        rest = others.withColumn("hits", matched_keywords(F.col("text"), keywords)).where(F.size("hits") > 0)
+        rest = rest.join(found.select("issue_key", "mode", "category", "has_attachment"), "issue_key")
+        own = own.unionByName(rest.select("issue_key", "mode", "category", "has_attachment", "place", (F.col("pos") + 2).cast("long").alias("pos"), "hits", fragment(F.col("text"), F.element_at("hits", 1)).alias("fragment")))
+    ratio = F.size("hits") / len(keywords)
+    return own.select("issue_key", "mode", "category", "place", "pos", F.array_join("hits", ", ").alias("matched"), r6(ratio).alias("ratio"), "fragment", confidence(ratio, F.col("place"), F.col("has_attachment")).alias("confidence"))
 
 
 def dedupe_matches(matches: DataFrame) -> DataFrame:
-    """One row per issue: places in order, best confidence, number of matches."""
+    """One row per issue and mode: places and categories, each once in the order of the matches, the first three
+    different fragments, the best confidence, and the number of matches."""
     rank = F.when(F.col("confidence") == "high", 3).when(F.col("confidence") == "medium", 2).otherwise(1)
-    return matches.groupBy("issue_key").agg(F.array_join(F.array_sort(F.collect_set("place")), ", ").alias("places"), F.max_by("confidence", rank).alias("confidence"), F.count("*").alias("matches"))
+    order = F.array_sort(F.collect_list(F.struct("pos", "place", "category", "fragment"))).alias("m")
+    one = matches.groupBy("issue_key", "mode").agg(order, F.max_by("confidence", rank).alias("confidence"), F.count("*").alias("matches"))
+    each = lambda f: F.array_distinct(F.filter(F.transform("m", lambda x: x[f]), lambda x: x.isNotNull() & (x != "")))
+    return one.select("issue_key", "mode", F.array_join(each("place"), "; ").alias("places"), F.array_join(each("category"), ", ").alias("categories"), F.array_join(F.slice(each("fragment"), 1, 3), " | ").alias("fragments"), "confidence", "matches")
+
+
+# --- the registry of searches ---------------------------------------------------------------------------------------
+
+
+def first_mode(text: Column, modes: list[tuple[str, list[str], list[str]]]) -> Column:
+    """The first mode whose name holds the text or is in it, or one of whose other names is in it; null if none."""
+    low = F.lower(text)
+    hit = lambda name, others: low.contains(name.lower()) | F.lit(name.lower()).contains(low) | F.exists(F.array(*[F.lit(a.lower()) for a in others]) if others else F.array().cast("array<string>"), lambda a: F.contains(low, a))
+    return F.coalesce(*[F.when(hit(name, others), F.lit(name)) for name, others, _ in modes])
+
+
+def first_category(text: Column, categories: list[str], default: str) -> Column:
+    return F.coalesce(*[F.when(F.lower(text).contains(c.lower()), F.lit(c)) for c in categories], F.lit(default))
+
+
+def distinct_words(words: Column) -> Column:
+    """Each word once whatever its case, as it came first."""
+    return F.filter(words, lambda x, i: ~F.exists(F.slice(words, F.lit(1), i), lambda y: F.lower(y) == F.lower(x)))
+
+
+def parse_registry(rows: DataFrame, modes: list[tuple[str, list[str], list[str]]], categories: list[str], default: str) -> DataFrame:
+    """mode, description, category and keywords of every registry row (mode_text, description, category_text).
+
+    modes: (name, other names, keywords). The mode is found in the first cell, else in the description, else the cell
+    as it stands. Keywords: those of the mode, terms in backticks, and identifiers with a known ending, cell by cell.
+    """
+    cells = ("mode_text", "description", "category_text")
+    mode = F.coalesce(first_mode(F.col("mode_text"), modes), first_mode(F.col("description"), modes), F.nullif("mode_text", F.lit("")), F.lit("unknown mode"))
+    named = rows.withColumn("mode", mode)
+    quoted = [F.regexp_extract_all(F.col(c), F.lit("`([^`]+)`"), F.lit(1)) for c in cells]
+    camel = [F.regexp_extract_all(F.col(c), F.lit(r"\b([A-Z][a-zA-Z]+(?:Dto|Form|Service|Inventory|Line|Task))\b"), F.lit(1)) for c in cells]
+    fixed = F.coalesce(*[F.when(F.col("mode") == n, F.array(*map(F.lit, words)) if words else F.array().cast("array<string>")) for n, _, words in modes], F.array().cast("array<string>"))
+    every = named.withColumn("_all", F.concat(fixed, *[x for pair in zip(quoted, camel) for x in pair]))
+    return every.select(*[c for c in rows.columns if c not in ("description", "category", "mode", "keywords")], "mode", "description", F.coalesce(F.nullif("category_text", F.lit("")), first_category(F.col("description"), categories, default)).alias("category"), distinct_words(F.col("_all")).alias("keywords"))
+
+
+def search_keywords(registry: DataFrame, extra: list[str], by_category: dict[str, list[str]]) -> DataFrame:
+    """registry with the keywords that find candidates: its own, the extra ones, and those of its category, each once."""
+    words = F.coalesce(*[F.when(F.col("category") == c, F.array(*map(F.lit, w))) for c, w in by_category.items()], F.array().cast("array<string>"))
+    more = F.array(*map(F.lit, extra)) if extra else F.array().cast("array<string>")
+    return registry.withColumn("wanted", F.array_distinct(F.concat("keywords", more, words)))
+
+
+def match_candidates(registry: DataFrame, texts: DataFrame, projects: list[str] = [], components: list[str] = []) -> DataFrame:  # noqa: B006
+    """(entry, issue_key) of every text that holds a wanted keyword, whatever the case; texts: issue_key, text, and
+    project and component, if those are asked for. The registry has a row per search: it is small by its nature, and its
+    distinct words are sent to the texts, which are read once."""
+    for column, allowed in (("project", projects), ("component", components)):
+        if allowed:
+            texts = texts.where(F.lower(column).isin(*[x.lower() for x in allowed]))
+    words = registry.select(F.explode("wanted").alias("w")).select(F.lower("w").alias("w")).distinct()
+    hits = texts.join(F.broadcast(words.agg(F.sort_array(F.collect_set("w")).alias("words"))), how="cross")  # one row
+    hits = hits.select("issue_key", F.explode(F.filter("words", lambda w: F.contains(F.lower("text"), w))).alias("w"))
+    return registry.select("entry", F.explode("wanted").alias("w")).select("entry", F.lower("w").alias("w")).join(hits, "w").select("entry", "issue_key").distinct()
+
+
+def match_report(matches: DataFrame) -> DataFrame:
+    """Lines of a table for deduplicated matches: bars are escaped, line breaks become spaces."""
+    cell = lambda c: F.regexp_replace(F.replace(F.coalesce(F.col(c), F.lit("")), F.lit("|"), F.lit("\\|")), r"[\r\n]+", " ")
+    return matches.select("issue_key", "mode", F.concat(F.lit("| "), F.concat_ws(" | ", *[cell(c) for c in ("mode", "issue_key", "places", "fragments", "confidence", "categories")]), F.lit(" |")).alias("line"))
+
+
+def relevance_search(found: list[DataFrame], keywords: list[str]) -> DataFrame:
+    """The results of several searches, the first of a key wins, whose summary or first 200 characters of text hold a
+    keyword; `place` orders them by `updated`, newest first, then by key."""
+    rows = None
+    for i, df in enumerate(found):
+        part = df.select("issue_key", "summary", "text", "updated", F.lit(i).alias("_from"))
+        rows = part if rows is None else rows.unionByName(part)
+    first = rows.groupBy("issue_key").agg(F.min_by(F.struct("summary", "text", "updated", "_from"), F.col("_from")).alias("x")).select("issue_key", "x.*")
+    hit = (F.size(matched_keywords(F.col("summary"), keywords)) > 0) | (F.size(matched_keywords(F.left("text", F.lit(200)), keywords)) > 0)
+    return first.where(hit).select("issue_key", "updated", F.col("_from").alias("search"))
 
 
 def attachment_class(name: Column, mime: Column) -> Column:

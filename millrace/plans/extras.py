@@ -197,50 +197,80 @@ def z04(spark, d):
     return g.where("same_day and gap > 3600").groupBy("employee_id").agg(F.count("*").alias("gaps"), c.r6(F.sum("gap")).alias("idle_seconds"))
 
 
-@query("k09_related_issues", f"SELECT issue_key FROM ({item_plans._SQL_ISSUES}) WHERE assignee IN ({item_plans._MEMBERS}) OR issue_key IN (SELECT issue_key FROM ({item_plans._SQL_EVENTS}) WHERE author IN ({item_plans._MEMBERS}))")
+@query("k09_related_issues", f"SELECT issue_key FROM ({item_plans._SQL_ISSUES}) WHERE assignee IN ({item_plans._MEMBERS}) OR reporter IN ({item_plans._MEMBERS}) OR creator IN ({item_plans._MEMBERS}) OR issue_key IN (SELECT issue_key FROM ({item_plans._SQL_EVENTS}) WHERE author IN ({item_plans._MEMBERS}))")
 def k09(spark, d):
-    ours = item_plans._members(spark, d)
-    own = item_plans._events(spark, d).join(ours.withColumnRenamed("member", "author"), "author", "left_semi").select("issue_key").distinct()
-    issues = item_plans._issues(spark, d)
-    mine = issues.join(ours.withColumnRenamed("member", "assignee"), "assignee", "left_semi").select("issue_key")
-    return issues.select("issue_key").join(own.union(mine).distinct(), "issue_key", "left_semi")
+    return items.related(item_plans._issues(spark, d), item_plans._events(spark, d), item_plans._members(spark, d))
 
 
 def _categories(name: str, key: str) -> None:
-    @query(key, f"SELECT issue_key, score, reasons FROM ({item_plans._TASKS}) WHERE contains('|' || categories || '|', '|{name}|')")
+    @query(key, f"SELECT issue_key, score, reasons, changed FROM ({item_plans._TASKS}) WHERE contains('|' || categories || '|', '|{name}|')")
     def run(spark, d):
-        return items.sheet(item_plans._tasks(spark, d), name).select("issue_key", "score", F.array_join("reasons", "|").alias("reasons"))
+        return items.sheet(item_plans._tasks(spark, d), name).select("issue_key", "score", F.array_join("reasons", "|").alias("reasons"), F.array_join("changed", "|").alias("changed"))
 
 
 for _name, _key in (("active_now", "k17_active_now"), ("changed_recently", "k18_changed_recently"), ("stale", "k20_stale"), ("overdue", "k21_overdue")):
     _categories(_name, _key)
 
 
-@query("k11_last_activity", f"SELECT issue_key, days_idle, days_overdue, last_activity FROM ({item_plans._TASKS})")
+@query("k11_last_activity", f"SELECT issue_key, active_users, days_idle, days_overdue, last_activity FROM ({item_plans._TASKS})")
 def k11(spark, d):
-    return item_plans._tasks(spark, d).select("issue_key", "days_idle", "days_overdue", "last_activity")
+    return item_plans._tasks(spark, d).select("issue_key", F.array_join("active_users", "|").alias("active_users"), "days_idle", "days_overdue", "last_activity")
 
 
-@query("k30_attachment_classes", "SELECT CASE doc_id % 4 WHEN 0 THEN 'image' WHEN 1 THEN 'pdf' WHEN 2 THEN 'table' ELSE 'other' END AS kind, count(*) AS n FROM documents GROUP BY 1")
+_NAME = "regexp_extract(regexp_replace(url, '[?#].*', ''), '[^/]*$', 0)"
+_MIME = "CASE page_id % 5 WHEN 0 THEN 'image/png' WHEN 1 THEN 'application/pdf' WHEN 2 THEN 'application/vnd.ms-excel' WHEN 3 THEN 'application/json' ELSE '' END"
+
+
+@query("k30_attachment_classes", f"""
+SELECT page_id, CASE WHEN ext IN ('png', 'jpg', 'jpeg', 'gif', 'bmp', 'webp', 'svg') OR starts_with(mime, 'image/') THEN 'image' WHEN ext = 'pdf' OR contains(mime, 'pdf') THEN 'pdf' WHEN ext IN ('doc', 'docx') OR contains(mime, 'word') THEN 'document'
+  WHEN ext IN ('xls', 'xlsx') OR contains(mime, 'excel') OR contains(mime, 'spreadsheet') THEN 'table' WHEN ext = 'xml' OR contains(mime, 'xml') THEN 'xml' WHEN ext = 'json' OR contains(mime, 'json') THEN 'json' ELSE 'other' END AS kind
+FROM (SELECT page_id, lower(regexp_extract({_NAME}, '\\.([^.]+)$', 1)) AS ext, {_MIME} AS mime FROM pages)""")
 def k30(spark, d):
-    names = F.element_at(F.array(F.lit("a.PNG"), F.lit("b.pdf"), F.lit("c.xlsx"), F.lit("d")), (F.col("doc_id") % 4 + 1).cast("int"))
-    return marts.value_counts(view(spark, d, "documents").select(items.attachment_class(names, F.lit("")).alias("kind")), "kind")
+    """Page files as attachments: the name is the URL's last part; the type is made up from the id."""
+    rows = view(spark, d, "pages").select("page_id", F.expr(_NAME).alias("name"), F.expr(_MIME).alias("mime"))
+    return rows.select("page_id", items.attachment_class(F.col("name"), F.col("mime")).alias("kind"))
 
 
-@query("k34_relevance_search", "SELECT doc_id FROM documents WHERE contains(lower(split_part(text, chr(10), 1)), 'licensed') OR contains(lower(left(text, 200)), 'licensed')")
+@query("k34_relevance_search", """
+WITH a AS (SELECT doc_id, split_part(text, chr(10), 1) AS summary, text, doc_id % 97 AS updated FROM documents),
+u AS (SELECT *, 0 AS search FROM a WHERE doc_id % 2 = 0 UNION ALL SELECT doc_id, upper(summary), text, updated + 1, 1 FROM a WHERE doc_id % 3 = 0),
+f AS (SELECT * FROM u QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY search) = 1)
+SELECT doc_id AS issue_key, updated, search FROM f WHERE contains(lower(summary), 'licensed') OR contains(lower(left(text, 200)), 'licensed') OR contains(lower(summary), 'the') OR contains(lower(left(text, 200)), 'the')""")
 def k34(spark, d):
-    first = F.split_part("text", F.lit("\n"), F.lit(1))
-    hit = (F.size(items.matched_keywords(first, ["licensed"])) > 0) | (F.size(items.matched_keywords(F.left("text", F.lit(200)), ["licensed"])) > 0)
-    return view(spark, d, "documents").where(hit).select("doc_id")
+    a = view(spark, d, "documents").select(F.col("doc_id").alias("issue_key"), F.split_part("text", F.lit("\n"), F.lit(1)).alias("summary"), "text", (F.col("doc_id") % 97).alias("updated"))
+    second = a.where("issue_key % 3 = 0").withColumns({"summary": F.upper("summary"), "updated": F.col("updated") + 1})
+    return items.relevance_search([a.where("issue_key % 2 = 0"), second], ["licensed", "the"])
+
+
+# registry rows from the benchmark: a cell for the mode, the item's text as description, now and then a category
+_MODES = [("Mode A / stock", ["inventory", "stock take"], ["CommitLine", "StockForm"]), ("Mode B", ["remains", "tion"], ["RemainsDto"]), ("Mode C", [], [])]
+_CATEGORIES, _DEFAULT = ["error", "the", "screen"], "rules"
+_BY_CATEGORY = {"the": ["licensed", "The"], "rules": ["rights"]}
+_CELL = "CASE item_id % 5 WHEN 0 THEN 'mode a' WHEN 1 THEN 'see INVENTORY here' WHEN 2 THEN 'none such' WHEN 3 THEN 'about Mode C, old' ELSE 'zzz' END"
+_REGISTRY = f"""
+WITH r AS (SELECT item_id AS entry, {_CELL} AS mode_text, concat(text, ' `Code ', item_id % 3, '` AutoStockForm CommitTask') AS description, CASE WHEN item_id % 4 = 0 THEN 'given' ELSE '' END AS category_text FROM benchmark),
+m AS (SELECT *, CASE WHEN item_id5 IN (0, 1) THEN 'Mode A / stock' WHEN item_id5 = 3 THEN 'Mode C'
+    WHEN contains(lower(description), 'mode a / stock') OR contains(lower(description), 'inventory') OR contains(lower(description), 'stock take') THEN 'Mode A / stock'
+    WHEN contains(lower(description), 'mode b') OR contains(lower(description), 'remains') OR contains(lower(description), 'tion') THEN 'Mode B' WHEN contains(lower(description), 'mode c') THEN 'Mode C' ELSE mode_text END AS mode,
+  CASE WHEN category_text <> '' THEN category_text WHEN contains(lower(description), 'error') THEN 'error' WHEN contains(lower(description), 'the') THEN 'the' WHEN contains(lower(description), 'screen') THEN 'screen' ELSE 'rules' END AS category FROM (SELECT *, entry % 5 AS item_id5 FROM r)),
+p AS (SELECT entry, mode, category, list_concat(CASE mode WHEN 'Mode A / stock' THEN ['CommitLine', 'StockForm'] WHEN 'Mode B' THEN ['RemainsDto'] ELSE [] END, list_concat(regexp_extract_all(description, '`([^`]+)`', 1), regexp_extract_all(description, '\\b([A-Z][a-zA-Z]+(?:Dto|Form|Service|Inventory|Line|Task))\\b', 1))) AS words FROM m),
+k AS (SELECT entry, mode, category, list_filter(words, lambda x, i: NOT list_contains(list_transform(words[1:i - 1], lambda y: lower(y)), lower(x))) AS keywords FROM p)
+"""
+
+
+def _registry(spark, d):
+    rows = view(spark, d, "benchmark").select(F.col("item_id").alias("entry"), F.expr(_CELL).alias("mode_text"), F.expr("concat(text, ' `Code ', item_id % 3, '` AutoStockForm CommitTask')").alias("description"), F.expr("CASE WHEN item_id % 4 = 0 THEN 'given' ELSE '' END").alias("category_text"))
+    return items.parse_registry(rows, _MODES, _CATEGORIES, _DEFAULT)
 
 
-@query("k25_registry_keywords", "SELECT item_id, array_to_string(list_distinct(regexp_extract_all(lower(text), '[a-zà-ÿ]{9,}')), ' ') IS NOT NULL AS has_list, len(list_distinct(regexp_extract_all(lower(text), '[a-zà-ÿ]{9,}'))) AS n FROM benchmark".replace("{9,}", "[a-zà-ÿ]" * 8 + "+"))
+@query("k25_registry_keywords", _REGISTRY + "SELECT entry, mode, category, array_to_string(keywords, '|') AS keywords FROM k")
 def k25(spark, d):
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("[a-zà-ÿ]{9,}"), F.lit(0)))
-    return view(spark, d, "benchmark").select("item_id", F.lit(True).alias("has_list"), F.size(words).cast("long").alias("n"))
+    return _registry(spark, d).select("entry", "mode", "category", F.array_join("keywords", "|").alias("keywords"))
 
 
-@query("k26_keyword_candidates", "SELECT k.word, count(*) AS docs FROM documents, (SELECT unnest(['licensed', 'rights', 'example', 'idiot']) AS word) k WHERE contains(lower(text), k.word) GROUP BY k.word")
+@query("k26_keyword_candidates", _REGISTRY + """, w AS (SELECT entry, unnest(list_concat(keywords, list_concat(['stea', 'Thin'], CASE category WHEN 'the' THEN ['licensed', 'The'] WHEN 'rules' THEN ['rights'] ELSE [] END))) AS word FROM k)
+SELECT DISTINCT entry, doc_id AS issue_key FROM w JOIN documents ON contains(lower(text), lower(word)) WHERE source IN ('src1', 'src2', 'src3', 'src5', 'src8', 'src13')""")
 def k26(spark, d):
-    hits = view(spark, d, "documents").select(F.explode(items.matched_keywords(F.col("text"), ["licensed", "rights", "example", "idiot"])).alias("word"))
-    return hits.groupBy("word").agg(F.count("*").alias("docs"))
+    wanted = items.search_keywords(_registry(spark, d), ["stea", "Thin"], _BY_CATEGORY)
+    texts = view(spark, d, "documents").select(F.col("doc_id").alias("issue_key"), "text", F.col("source").alias("project"))
+    return items.match_candidates(wanted, texts, projects=["SRC1", "src2", "src3", "src5", "src8", "src13"])
