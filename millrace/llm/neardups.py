@@ -20,7 +20,7 @@ from millrace.llm.common import NO_ID, dropped, give_back, mixed, slices, small_
 from millrace.llm.components import connected_components
 from millrace.llm.repeats import PIECE, SHINGLE, _flat, _shingles, word_hashes
 from millrace.llm.simhash import close_links, majority
-from millrace.llm.verify import maybe_sent, verified_links
+from millrace.llm.verify import BLOCK, maybe_sent, verified_links
 
 BANDS, ROWS = 16, 4  # 1 - (1 - 0.8**4)**16 = 0.9998 of the pairs at the threshold collide
 TOGETHER = 128  # texts of a bucket that one task compares; larger buckets go by a hub, then in blocks
@@ -76,9 +76,12 @@ def similar_links(rows: DataFrame, table: DataFrame, *, together: int = TOGETHER
     close = written(connected_components(close_links(distinct.select("fp").distinct())), "close")
     by_print = distinct.select("sig", "row", "fp", "c").join(maybe_sent(close, close.count()), F.col("fp") == F.col("node"), "left").select("sig", "row", "c", F.xxhash64(F.coalesce("component", "fp"), F.lit("fp")).alias("key"))
     keyed = distinct.select("sig", "row", "c", F.explode("bands").alias("key")).unionAll(by_print)
-    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("sig")).alias("same"), F.max_by("sig", F.struct("c", "sig")).alias("hub")).where("n > 1")
-    buckets = written(sizes.groupBy("n", "same", "hub").agg(F.min("key").alias("key")).select("key", "n", "hub"), "buckets")
-    members = written(keyed.join(maybe_sent(buckets, buckets.count()), "key").select("key", "n", "hub", "sig", "row"), "members")
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("sig")).alias("same"), F.min("sig").alias("lo")).where("n > 1")
+    buckets = written(sizes.groupBy("n", "same", "lo").agg(F.min("key").alias("key")).select("key", "n"), "buckets")
+    met = written(keyed.join(maybe_sent(buckets, buckets.count()), "key").select("key", "n", "sig", "row", "c"), "met")
+    # A text weighs as many as it meets in all its buckets: the one that others were made from weighs most.
+    central = met.groupBy("sig").agg(F.sum("n").alias("weight"))
+    members = written(met.join(central, "sig").select("key", "n", "sig", "row", F.struct("weight", "c").alias("c")), "members")
     places = written(members.select("row").distinct(), "places")
     givers = rows.join(maybe_sent(places, places.count()), "row", "left_semi").select("text")
 
@@ -91,8 +94,8 @@ def similar_links(rows: DataFrame, table: DataFrame, *, together: int = TOGETHER
         give_back()
 
     bodies = written(givers.mapInPandas(sets, "sig long, shingles array<long>").dropDuplicates(["sig"]), "bodies")
-    links = written(verified_links(members.select("key", "n", "hub", "sig"), bodies, together=together), "similar")
-    dropped(distinct, close, buckets, members, places, bodies)
+    links = written(verified_links(members.select("key", "n", "sig", "c"), bodies, together=together, block=BLOCK), "similar")
+    dropped(distinct, close, buckets, met, members, places, bodies)
     return links
 
 

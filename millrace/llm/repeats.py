@@ -226,10 +226,10 @@ def similar_links(rows: DataFrame, table: DataFrame, gap: int = gap_of(LEAST)) -
     same = equal.where(F.size("sigs") > 1).select(F.explode("sigs").alias("b"), F.col("sig").alias("a"))
     same = written(same.where("a <> b").select("a", "b"), "same")
     one = members.join(maybe_sent(same, same.count()), members["sig"] == same["b"], "left").groupBy("key", F.coalesce("a", "sig").alias("sig")).agg(F.sum("c").alias("c"))
-    grouped = [F.count(F.lit(1)).alias("n"), F.max_by("sig", F.struct("c", "sig")).alias("hub")]  # variants lie about the commonest
-    sizes = one.groupBy("key").agg(*grouped).where("n > 1")
+    grouped = F.count(F.lit(1)).alias("n")
+    sizes = one.groupBy("key").agg(grouped).where("n > 1")
     sized = written(one.join(sizes, "key"), "sized")
-    few = sized.where(F.col("n") <= TOGETHER).select("key", "n", "hub", "sig")
+    few = sized.where(F.col("n") <= TOGETHER).select("key", "n", "sig", "c")
     groups = few
     if sized.where(F.col("n") > TOGETHER).limit(1).count():
         # Larger buckets: two sets of Jaccard s or more share one of their rarest shingles, floor((1-s)|set|)+1 of them.
@@ -238,8 +238,8 @@ def similar_links(rows: DataFrame, table: DataFrame, gap: int = gap_of(LEAST)) -
         size = F.count(F.lit(1)).over(Window.partitionBy("key", "sig"))
         rare = grams.join(grams.groupBy("key", "gram").agg(F.count(F.lit(1)).alias("df")), ["key", "gram"]).withColumns({"rank": rank, "size": size})
         prefix = rare.where((F.col("rank") <= F.floor(F.col("size") * (1 - SIMILAR) + 1e-9) + 1) & (F.col("df") > 1)).select("key", "sig", "gram", "c")
-        met = prefix.groupBy("key", "gram").agg(*grouped).where("n > 1")
-        groups = written(few.unionAll(prefix.join(met, ["key", "gram"]).select(F.xxhash64("key", "gram").alias("key"), "n", "hub", "sig")), "groups")
+        met = prefix.groupBy("key", "gram").agg(grouped).where("n > 1")
+        groups = written(few.unionAll(prefix.join(met, ["key", "gram"]).select(F.xxhash64("key", "gram").alias("key"), "n", "sig", "c")), "groups")
     links = written(verified_links(groups, bodies, together=TOGETHER).unionAll(same), "similar")
     dropped(shared, members, wanted, places, bodies, equal, same, sized)
     return links

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import give_back, written
 
 SIMILAR = 0.8
+BLOCK = 1 << 18  # shingles of a block: some 16 MB as sets
 SENT_OUT = 1_000_000  # rows of 8 or 16 bytes that may be broadcast; beyond, joins shuffle
 
 
@@ -75,32 +76,42 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     give_back()
 
 
-def verified_links(members: DataFrame, bodies: DataFrame, *, together: int) -> DataFrame:
+def verified_links(members: DataFrame, bodies: DataFrame, *, together: int, block: int = BLOCK) -> DataFrame:
     """Links (a, b) whose components are those of all pairs of Jaccard SIMILAR or more that share a key.
 
-    members: (key, n, hub, sig), n rows per key, of which hub is one, best the commonest; bodies: (sig, shingles). Up to
-    `together` sets of a key are compared in one go. In a larger group each is compared with the hub; what the hub links
-    is one component already, and what it does not link meets all others in blocks, each pair of blocks on its own.
+    members: (key, n, sig, c), n rows per key, c the weight of a set; bodies: (sig, shingles). Up to `together` sets of a
+    key are compared in one go. In a larger group each is compared with the hub, the weightiest; what the hub links is one
+    component already, and what it does not link meets all others in blocks of about `block` shingles, each pair of
+    blocks on its own: a task holds two blocks, whether the sets are many or long.
     """
 
     def compared(groups: DataFrame) -> DataFrame:
         dealt = groups.join(bodies, "sig").select("key", "sig", "side", "shingles").repartition("key").sortWithinPartitions("key")
         return dealt.mapInPandas(_verify, "a long, b long")
 
-    links = compared(members.where(F.col("n") <= together).select("key", "sig", F.lit(0).alias("side")))
-    large = members.where((F.col("n") > together) & (F.col("sig") != F.col("hub")))
-    if large.limit(1).count():
-        both = F.size(F.array_intersect("shingles", "theirs"))
-        hubs = bodies.select(F.col("sig").alias("hub"), F.col("shingles").alias("theirs"))
-        tested = large.join(bodies, "sig").join(hubs, "hub").withColumn("near", both >= SIMILAR * (F.size("shingles") + F.size("theirs") - both))
-        tested = written(tested.select("key", "n", "hub", "sig", "near"), "tested")
-        links = links.unionAll(tested.where("near").select(F.col("hub").alias("a"), F.col("sig").alias("b")))
-        blocks = F.ceil(F.col("n") / (max(1, together // 2))).cast("int")
-        dealt = tested.withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("sig"), blocks).cast("int")})
-        off = dealt.where(~F.col("near"))
-        odd = off.select("key", F.col("own").alias("other")).distinct()  # blocks that hold a set off the hub
-        all_met = dealt.join(odd, "key").select("key", "own", "other", "sig")
-        all_meet = off.select("key", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), "sig")
-        paired = all_met.unionAll(all_meet).select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "sig", (F.col("own") > F.col("other")).cast("int").alias("side"))
-        links = links.unionAll(compared(paired.distinct()))
+    alone = members.where(F.col("n") <= together).select("key", "sig", F.lit(0).alias("side"))
+    large = members.where(F.col("n") > together)
+    if not large.limit(1).count():
+        return compared(alone).distinct()
+    counts = large.groupBy("key").agg(F.max_by("sig", F.struct("c", "sig")).alias("hub"))
+    dealt = written(large.join(counts, "key").select("key", "n", "hub", "sig"), "large")
+    links = compared(alone)
+    large = dealt.where(F.col("sig") != F.col("hub"))
+    both = F.size(F.array_intersect("shingles", "theirs"))
+    hubs = bodies.select(F.col("sig").alias("hub"), F.col("shingles").alias("theirs"))
+    tested = large.join(bodies, "sig").join(hubs, "hub").withColumn("near", both >= SIMILAR * (F.size("shingles") + F.size("theirs") - both))
+    tested = written(tested.select("key", "hub", "sig", "near", F.size("shingles").alias("size")), "tested")
+    links = links.unionAll(tested.where("near").select(F.col("hub").alias("a"), F.col("sig").alias("b")))
+    if tested.where(~F.col("near")).limit(1).count():
+        # sets off the hub have blocks of their own: they meet one another, and the blocks of the others
+        held = lambda cond, name: F.greatest(F.lit(0), F.ceil(F.sum(F.when(cond, F.col("size"))) / block)).cast("int").alias(name)
+        sizes = tested.groupBy("key").agg(held(~F.col("near"), "off_blocks"), held(F.col("near"), "near_blocks")).where("off_blocks > 0")
+        dealt = tested.join(sizes, "key").withColumn("near_blocks", F.coalesce("near_blocks", F.lit(0)))
+        numbers = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias("other")
+        off = dealt.where(~F.col("near")).withColumn("own", F.pmod(F.xxhash64("sig"), F.col("off_blocks")).cast("int"))
+        near = dealt.where("near").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("near_blocks")).cast("int"))
+        among = off.select("key", "sig", "own", numbers("off_blocks")).select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "sig", (F.col("own") > F.col("other")).cast("int").alias("side"))
+        mixed = off.where("near_blocks > 0").select("key", "sig", "own", numbers("near_blocks")).select(F.xxhash64("key", "own", "other", F.lit("near")).alias("key"), "sig", F.lit(0).alias("side"))
+        others = near.select("key", "sig", "own", numbers("off_blocks")).select(F.xxhash64("key", "other", "own", F.lit("near")).alias("key"), "sig", F.lit(1).alias("side"))
+        links = links.unionAll(compared(among.unionAll(mixed).unionAll(others).distinct()))
     return links.distinct()

@@ -34,7 +34,8 @@ def test_one_changed_word_is_a_near_copy(spark, sf):
 
 
 @pytest.mark.parametrize("together", [2, 5, 128])
-def test_representatives_equal_brute_force(spark, together):
+def test_representatives_equal_brute_force(spark, monkeypatch, together):
+    monkeypatch.setattr(neardups, "BLOCK", 300)
     r, rows = random.Random(1), [x for x in ODD if x[0] is not None]
     for k in range(12):
         words = prose(("n", k), 120).split()
