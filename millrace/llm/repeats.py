@@ -221,6 +221,7 @@ def similar_links(rows: DataFrame, table: DataFrame, gap: int = gap_of(LEAST)) -
 
     got = givers.mapInPandas(sets, "sig long, shingles array<long>")
     bodies = written((got if n_wanted <= SENT_OUT else got.join(wanted, "sig", "left_semi")).dropDuplicates(["sig"]), "bodies")
+    ids.unpersist()
     # Equal sets (a word repeated more or less often) are linked at once; one of them stands for all.
     equal = written(bodies.groupBy("shingles").agg(F.min("sig").alias("sig"), F.collect_set("sig").alias("sigs")), "equal")
     same = equal.where(F.size("sigs") > 1).select(F.explode("sigs").alias("b"), F.col("sig").alias("a"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import give_back, written
 
 SIMILAR = 0.8
-BLOCK = 1 << 18  # shingles of a block: some 16 MB as sets
+BLOCK = 1 << 16  # shingles of a block: some 6 MB as sets
 SENT_OUT = 1_000_000  # rows of 8 or 16 bytes that may be broadcast; beyond, joins shuffle
 
 
