@@ -79,11 +79,20 @@ def joined_spans(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int,
     return sorted(out)
 
 
-def surroundings(rows: DataFrame, ends: DataFrame) -> DataFrame:
-    """doc_id, row, start, words, before, after for every wanted (doc_id, row, start, words): hashes of up to CONTEXT
-    words before the stretch, nearest first, and after it, four bytes a word."""
-    wanted = written(ends.groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "words")).alias("wanted")), "wanted")
-    asked = rows.join(maybe_sent(wanted, 4 * wanted.count()), ["doc_id", "row"]).select("doc_id", "row", "text", "wanted")
+def surroundings(rows: DataFrame, stretches: DataFrame) -> DataFrame:
+    """The ends of all stretches in both their texts, in one pass over the texts: doc_id, row, start, words, before, after
+    (hashes of up to CONTEXT words before the stretch, nearest first, and after it, four bytes a word).
+
+    A stretch's own end (`own`) carries the rest of the stretch, so it needs no join to come back to it; the end in the
+    first document, which many stretches may share, has zeros there. Repeated rows of a document give repeated ends.
+    """
+    rest = ["first_doc", "first_row", "first_start", "first_words", "component"]
+    ends = stretches.select("doc_id", "row", F.struct("start", "words", *rest, F.lit(True).alias("own")).alias("end"))
+    zeros = [F.lit(0).cast(stretches.schema[c].dataType).alias(c) for c in rest]
+    firsts = stretches.select(F.col("first_doc").alias("doc_id"), F.col("first_row").alias("row"), F.struct(F.col("first_start").alias("start"), F.col("first_words").alias("words"), *zeros, F.lit(False).alias("own")).alias("end"))
+    wanted = written(ends.unionAll(firsts).groupBy("doc_id", "row").agg(F.collect_set("end").alias("wanted")), "wanted")
+    held = wanted.agg(F.count(F.lit(1)) + F.coalesce(F.sum(F.size("wanted")), F.lit(0))).first()[0]
+    asked = rows.join(maybe_sent(wanted, held), ["doc_id", "row"]).select("doc_id", "row", "text", "wanted")
 
     def around(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
@@ -97,20 +106,22 @@ def surroundings(rows: DataFrame, ends: DataFrame) -> DataFrame:
                     hashed = lambda part: np.array([digest(w) & 0xFFFFFFFF for w in part], dtype="<u4").tobytes()
                     for x in ends:
                         s, e = x["start"], x["start"] + x["words"]
-                        out.append((d, r, s, e - s, hashed(words[max(0, s - CONTEXT) : s][::-1]), hashed(words[e : e + CONTEXT])))
-                yield pd.DataFrame(out, columns=["doc_id", "row", "start", "words", "before", "after"])
+                        out.append((d, r, s, e - s, hashed(words[max(0, s - CONTEXT) : s][::-1]), hashed(words[e : e + CONTEXT]), *(x[c] for c in rest), x["own"]))
+                yield pd.DataFrame(out, columns=["doc_id", "row", "start", "words", "before", "after", *rest, "own"])
         give_back()
 
-    found = asked.mapInPandas(around, "doc_id long, row long, start int, words int, before binary, after binary")
-    return written(found.dropDuplicates(["doc_id", "row", "start", "words"]), "surroundings")
+    found = written(asked.mapInPandas(around, "doc_id long, row long, start int, words int, before binary, after binary, first_doc long, first_row long, first_start int, first_words int, component long, own boolean"), "surroundings")
+    dropped(wanted)
+    return found
 
 
 def extended(rows: DataFrame, stretches: DataFrame, *, least: int) -> DataFrame:
     """The passages of `least` words or more that the stretches are part of (columns of PASSAGE)."""
-    firsts = stretches.select(F.col("first_doc").alias("doc_id"), F.col("first_row").alias("row"), F.col("first_start").alias("start"), F.col("first_words").alias("words"))
-    known = surroundings(rows, stretches.select("doc_id", "row", "start", "words").unionAll(firsts))
-    theirs = known.select(*(F.col(a).alias(b) for a, b in (("doc_id", "first_doc"), ("row", "first_row"), ("start", "first_start"), ("words", "first_words"), ("before", "before2"), ("after", "after2"))))
-    both = stretches.join(known, ["doc_id", "row", "start", "words"]).join(theirs, ["first_doc", "first_row", "first_start", "first_words"])
+    known = surroundings(rows, stretches)
+    theirs = known.where("not own").dropDuplicates(["doc_id", "row", "start", "words"])
+    theirs = theirs.select(*(F.col(a).alias(b) for a, b in (("doc_id", "first_doc"), ("row", "first_row"), ("start", "first_start"), ("words", "first_words"), ("before", "before2"), ("after", "after2"))))
+    theirs = written(theirs, "theirs")  # read from there, the join below may split a hot passage
+    both = known.where("own").drop("own").join(theirs, ["first_doc", "first_row", "first_start", "first_words"])
 
     def grown(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
@@ -141,5 +152,5 @@ def extended(rows: DataFrame, stretches: DataFrame, *, least: int) -> DataFrame:
     names = ["doc_id", "row", "first_doc", "first_row", "start", "first_start", "words", "first_words", "component", "before", "after", "before2", "after2"]
     spans = both.select(names).mapInPandas(grown, SPAN)
     out = written(spans.repartition("doc_id", "row").sortWithinPartitions("doc_id", "row", "first_doc", "first_row").mapInPandas(merged, PASSAGE), "passages")
-    dropped(known, stretches)
+    dropped(known, theirs, stretches)
     return out

@@ -266,12 +266,13 @@ def lined_up(docs: DataFrame, *, key: str = "doc_id", text: str = "text", gap: i
     own = F.xxhash64("doc_id", "row")
     spots = table.groupBy("sig").agg(F.min(own).alias("lo"), F.max(own).alias("hi")).join(links, F.col("sig") == F.col("node"), "left")
     # most paragraphs stand alone: they leave before anything is shuffled again
+    spots = written(spots.where("component is not null or lo < hi").select("sig", "component", "lo", "hi"), "spots")
     single = spots.where("component is null and lo < hi").select("sig", F.col("sig").alias("component"))
     linked = spots.where("component is not null").select("sig", "component", "lo", "hi")
     several = linked.groupBy("component").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).where("l < h").select("component")
     shared = written(single.unionByName(linked.join(several, "component", "left_semi").select("sig", "component")), "shared")
     found = written(table.select("doc_id", "row", "number", "start", "words", "sig").join(maybe_sent(shared, shared.count()), "sig"), "found")
-    dropped(table, links, shared)
+    dropped(table, links, spots, shared)
     first = written(found.groupBy("component").agg(F.min(F.struct("doc_id", "row", "number", "start", "words", "sig")).alias("f")), "firsts")
     other = (F.col("doc_id") != F.col("f.doc_id")) | (F.col("row") != F.col("f.row"))
     pairs = found.join(maybe_sent(first, 2 * first.count()), "component").where(other)
