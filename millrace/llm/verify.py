@@ -12,7 +12,7 @@ from millrace.llm.common import give_back, written
 
 SIMILAR = 0.8
 BLOCK = 1 << 16  # shingles of a block: some 6 MB as sets
-SENT_OUT = 1_000_000  # rows of 8 or 16 bytes that may be broadcast; beyond, joins shuffle
+SENT_OUT = 1_000_000  # rows of 8 to 60 bytes that may be broadcast; beyond, joins shuffle
 
 
 def maybe_sent(df: DataFrame, rows: int) -> DataFrame:
