@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, htmltext, langid, packing, quality, repeats, rollups, simhash, topk, warc
+from millrace.llm import decontaminate, htmltext, langid, merkle, packing, quality, repeats, rollups, simhash, topk, twins, warc
 from millrace.llm.common import id_crc, scratch, written
 
 
@@ -100,9 +100,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all documents; where 5 divides the crc32 of the id, the text shown has its capitals A-Z in lower case."""
+    docs = _read(spark, sf_dir, "documents")
+    shown = F.when(id_crc(F.col("doc_id")) % 5 == 0, merkle.without_capitals(F.col("text")))
+    found = merkle.manifest(merkle.leaves(docs, tampered=shown))
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_top_k, op2_packing, op3_simhash, op4_language_id, op5_repeats, op6_token_counts, op7_decontamination, op8_main_text, op9_warc, op10_quality)}
+    return {f.__name__: f for f in (op1_top_k, op2_packing, op3_simhash, op4_language_id, op5_repeats, op6_token_counts, op7_decontamination, op8_main_text, op9_warc, op10_quality, op11_merkle)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_top_k": OP1_SQL}
+    return {"op1_top_k": OP1_SQL, "op11_merkle": twins.OP11}
