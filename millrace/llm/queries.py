@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, htmltext, langid, merkle, packing, quality, repeats, rollups, simhash, topk, twins, warc
+from millrace.llm import decontaminate, htmltext, langid, merkle, packing, quality, repeats, rollups, simhash, topk, trie, twins, warc
 from millrace.llm.common import id_crc, scratch, written
 
 
@@ -108,9 +108,15 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all conversations, each with the first turns of the one whose id is the multiple of 5 before."""
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    return trie.prefix_trie(trie.with_shared_heads(trie.turn_lists(_read(spark, sf_dir, "conversations")), group=5, most=8, head=head))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_top_k, op2_packing, op3_simhash, op4_language_id, op5_repeats, op6_token_counts, op7_decontamination, op8_main_text, op9_warc, op10_quality, op11_merkle)}
+    return {f.__name__: f for f in (op1_top_k, op2_packing, op3_simhash, op4_language_id, op5_repeats, op6_token_counts, op7_decontamination, op8_main_text, op9_warc, op10_quality, op11_merkle, op12_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_top_k": OP1_SQL, "op11_merkle": twins.OP11}
+    return {"op1_top_k": OP1_SQL, "op11_merkle": twins.OP11, "op12_trie": twins.OP12}

@@ -56,3 +56,33 @@ WITH RECURSIVE {CRC_TABLE}, shown AS (
 SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(proof, ''), '|', '')) AS proof_sha256, folded_root, folded_root = root AS verified
 FROM folded JOIN subroots USING (tree), (SELECT node AS root FROM upper WHERE total = 1)
 """
+
+
+OP12 = f"""
+WITH {CRC_TABLE}, turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), lists AS (
+    SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text)) AS own FROM turns GROUP BY conv_id
+), rebuilt AS (
+    SELECT l.conv_id, list_concat(coalesce(b.own[1:h], []), l.own[h + 1:]) AS path
+    FROM (SELECT *, {crc('conv_id')} % 9 AS h FROM lists, crc_table) l LEFT JOIN lists b ON b.conv_id = l.conv_id - l.conv_id % 5
+), members AS (
+    SELECT conv_id, d AS depth, len(path) AS ends_at, sha256(CAST(path[1:d] AS VARCHAR)) AS node, CASE WHEN d > 0 THEN sha256(CAST(path[1:d - 1] AS VARCHAR)) END AS up, CASE WHEN d > 0 THEN strlen(path[d].text) ELSE 0 END AS size
+    FROM (SELECT *, unnest(range(len(path) + 1)) AS d FROM rebuilt)
+), nodes AS (
+    SELECT depth, node, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(size) AS saved,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends_at = depth), '')) AS ends_sha256
+    FROM members GROUP BY depth, node
+), children AS (
+    SELECT up AS node, depth - 1 AS depth, count(*) AS n FROM nodes WHERE up IS NOT NULL GROUP BY ALL
+), below AS (
+    SELECT DISTINCT a.depth, a.node, b.depth AS below_depth, b.node AS below_node FROM members a JOIN members b ON a.conv_id = b.conv_id AND b.depth >= a.depth
+), sums AS (
+    SELECT w.depth, w.node, count_if(c.n IS NULL) AS n_leaves, sum(n.saved) AS saved_tokens
+    FROM below w JOIN nodes n ON n.depth = below_depth AND n.node = below_node LEFT JOIN children c ON c.depth = n.depth AND c.node = n.node
+    GROUP BY ALL
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s ON s.depth = n.depth AND s.node = n.node
+LEFT JOIN children c ON c.depth = n.depth AND c.node = n.node LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.node = n.up
+"""
