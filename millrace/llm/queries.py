@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate, htmltext, langid, merkle, packing, quality, repeats, rollups, simhash, topk, trie, twins, warc
+from millrace.llm import decontaminate, htmltext, hyperminhash, langid, merkle, packing, quality, repeats, rollups, simhash, topk, trie, twins, warc
 from millrace.llm.common import id_crc, scratch, written
 
 
@@ -114,9 +114,13 @@ def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.prefix_trie(trie.with_shared_heads(trie.turn_lists(_read(spark, sf_dir, "conversations")), group=5, most=8, head=head))
 
 
+def op13_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_copies(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_top_k, op2_packing, op3_simhash, op4_language_id, op5_repeats, op6_token_counts, op7_decontamination, op8_main_text, op9_warc, op10_quality, op11_merkle, op12_trie)}
+    return {f.__name__: f for f in (op1_top_k, op2_packing, op3_simhash, op4_language_id, op5_repeats, op6_token_counts, op7_decontamination, op8_main_text, op9_warc, op10_quality, op11_merkle, op12_trie, op13_near_copies)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_top_k": OP1_SQL, "op11_merkle": twins.OP11, "op12_trie": twins.OP12}
+    return {"op1_top_k": OP1_SQL, "op11_merkle": twins.OP11, "op12_trie": twins.OP12, "op13_near_copies": twins.OP13}

@@ -86,3 +86,30 @@ SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n,
 FROM nodes n JOIN sums s ON s.depth = n.depth AND s.node = n.node
 LEFT JOIN children c ON c.depth = n.depth AND c.node = n.node LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.node = n.up
 """
+
+OP13 = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words
+), shingles AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), frequent AS (
+    SELECT g, count(*) AS docs FROM shingles GROUP BY g
+), ranked AS (
+    SELECT doc_id, n, g, row_number() OVER (PARTITION BY doc_id ORDER BY docs, g) AS place FROM shingles JOIN frequent USING (g)
+), rare AS (  -- sets of a Jaccard of 0.85 share one of the rarest n - ceil(0.85 n) + 1 shingles of either
+    SELECT doc_id, n, g FROM ranked WHERE place <= n - (85 * n + 99) // 100 + 1
+), candidates AS (
+    SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM rare a JOIN rare b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+), shared AS (
+    SELECT a, b, x.n AS a_n, y.n AS b_n, count(*) AS common FROM candidates JOIN shingles x ON x.doc_id = a JOIN shingles y ON y.doc_id = b AND y.g = x.g GROUP BY ALL
+), links AS (
+    SELECT a, b FROM shared WHERE 100 * common >= 85 * (a_n + b_n - common) UNION ALL SELECT b, a FROM shared WHERE 100 * common >= 85 * (a_n + b_n - common)
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM sets UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, component_id = doc_id AS kept
+FROM sets JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) USING (doc_id)
+"""

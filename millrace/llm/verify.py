@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import give_back, written
 
 SIMILAR = 0.8
+PERCENT = 80  # SIMILAR, in whole per cent
 BLOCK = 1 << 16  # shingles of a block: some 6 MB as sets
 SENT_OUT = 1_000_000  # rows of 8 to 60 bytes that may be broadcast; beyond, joins shuffle
 
@@ -20,20 +22,22 @@ def maybe_sent(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= SENT_OUT else df
 
 
-def _alike(one: frozenset, other: frozenset) -> bool:
+def _alike(one: frozenset, other: frozenset, percent: int) -> bool:
+    if 100 * min(len(one), len(other)) < percent * max(len(one), len(other)):
+        return False
     both = len(one & other)
-    return both >= SIMILAR * (len(one) + len(other) - both)
+    return 100 * both >= percent * (len(one) + len(other) - both)
 
 
-def _parts(members: list[tuple[int, frozenset]]) -> list[list[tuple[int, frozenset]]]:
-    """The components of sets of Jaccard SIMILAR or more, each with its least member first."""
+def _parts(members: list[tuple[int, frozenset]], percent: int) -> list[list[tuple[int, frozenset]]]:
+    """The components of sets of a Jaccard of `percent` or more, each with its least member first."""
     left, parts = sorted(members, key=lambda m: m[0]), []
     while left:
         part, front, rest = left[:1], left[:1], left[1:]
         while front and rest:
             one, apart = front.pop()[1], []
             for m in rest:
-                if _alike(one, m[1]):
+                if _alike(one, m[1], percent):
                     front.append(m)
                     part.append(m)
                 else:
@@ -44,40 +48,40 @@ def _parts(members: list[tuple[int, frozenset]]) -> list[list[tuple[int, frozens
     return parts
 
 
-def _linked(sides: tuple[dict, dict]) -> Iterator[tuple[int, int]]:
+def _linked(sides: tuple[dict, dict], percent: int) -> Iterator[tuple[int, int]]:
     """One link per member to the first of its component; with two sides, one per pair of their components that meet.
 
     (The links within a side are those of a group of its own.)
     """
-    left, right = (_parts(list(s.items())) for s in sides)
+    left, right = (_parts(list(s.items()), percent) for s in sides)
     if not right:
         for part in left:
             yield from ((part[0][0], m[0]) for m in part[1:])
         return
     for one in left:
         for other in right:
-            if any(_alike(a, b) for _, a in one for _, b in other):
+            if any(_alike(a, b, percent) for _, a in one for _, b in other):
                 yield one[0][0], other[0][0]
 
 
-def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _verify(batches: Iterator[pd.DataFrame], percent: int = PERCENT) -> Iterator[pd.DataFrame]:
     """Links within each group, over rows (key, sig, side, shingles) sorted by key; one group is held at a time."""
     group, sides = None, ({}, {})
     for batch in batches:
         found: list[tuple[int, int]] = []
         for g, sig, side, shingles in zip(batch["key"].tolist(), batch["sig"].tolist(), batch["side"].tolist(), batch["shingles"]):
             if g != group:
-                found += _linked(sides)
+                found += _linked(sides, percent)
                 group, sides = g, ({}, {})
             if sig not in sides[side]:
                 sides[side][sig] = frozenset(shingles.tolist())
         yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-    yield pd.DataFrame(list(_linked(sides)), columns=["a", "b"], dtype="int64")
+    yield pd.DataFrame(list(_linked(sides, percent)), columns=["a", "b"], dtype="int64")
     give_back()
 
 
-def verified_links(members: DataFrame, bodies: DataFrame, *, together: int, block: int = BLOCK) -> DataFrame:
-    """Links (a, b) whose components are those of all pairs of Jaccard SIMILAR or more that share a key.
+def verified_links(members: DataFrame, bodies: DataFrame, *, together: int, block: int = BLOCK, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) whose components are those of all pairs of a Jaccard of `percent` or more that share a key.
 
     members: (key, n, sig, c), n rows per key, c the weight of a set; bodies: (sig, shingles). Up to `together` sets of a
     key are compared in one go. In a larger group each is compared with the hub, the weightiest; what the hub links is one
@@ -87,7 +91,7 @@ def verified_links(members: DataFrame, bodies: DataFrame, *, together: int, bloc
 
     def compared(groups: DataFrame) -> DataFrame:
         dealt = groups.join(bodies, "sig").select("key", "sig", "side", "shingles").repartition("key").sortWithinPartitions("key")
-        return dealt.mapInPandas(_verify, "a long, b long")
+        return dealt.mapInPandas(partial(_verify, percent=percent), "a long, b long")
 
     alone = members.where(F.col("n") <= together).select("key", "sig", F.lit(0).alias("side"))
     large = members.where(F.col("n") > together)
@@ -99,7 +103,7 @@ def verified_links(members: DataFrame, bodies: DataFrame, *, together: int, bloc
     large = dealt.where(F.col("sig") != F.col("hub"))
     both = F.size(F.array_intersect("shingles", "theirs"))
     hubs = bodies.select(F.col("sig").alias("hub"), F.col("shingles").alias("theirs"))
-    tested = large.join(bodies, "sig").join(hubs, "hub").withColumn("near", both >= SIMILAR * (F.size("shingles") + F.size("theirs") - both))
+    tested = large.join(bodies, "sig").join(hubs, "hub").withColumn("near", 100 * both >= percent * (F.size("shingles") + F.size("theirs") - both))
     tested = written(tested.select("key", "hub", "sig", "near", F.size("shingles").alias("size")), "tested")
     links = links.unionAll(tested.where("near").select(F.col("hub").alias("a"), F.col("sig").alias("b")))
     if tested.where(~F.col("near")).limit(1).count():
