@@ -22,7 +22,7 @@ def maybe_sent(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= SENT_OUT else df
 
 
-def _alike(one: frozenset, other: frozenset, percent: int) -> bool:
+def alike(one: frozenset, other: frozenset, percent: int) -> bool:
     if 100 * min(len(one), len(other)) < percent * max(len(one), len(other)):
         return False
     both = len(one & other)
@@ -37,7 +37,7 @@ def _parts(members: list[tuple[int, frozenset]], percent: int) -> list[list[tupl
         while front and rest:
             one, apart = front.pop()[1], []
             for m in rest:
-                if _alike(one, m[1], percent):
+                if alike(one, m[1], percent):
                     front.append(m)
                     part.append(m)
                 else:
@@ -60,7 +60,7 @@ def _linked(sides: tuple[dict, dict], percent: int) -> Iterator[tuple[int, int]]
         return
     for one in left:
         for other in right:
-            if any(_alike(a, b, percent) for _, a in one for _, b in other):
+            if any(alike(a, b, percent) for _, a in one for _, b in other):
                 yield one[0][0], other[0][0]
 
 
@@ -80,6 +80,30 @@ def _verify(batches: Iterator[pd.DataFrame], percent: int = PERCENT) -> Iterator
     give_back()
 
 
+def compared(groups: DataFrame, bodies: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Links within each key of groups (key, sig, side); a task holds the sets of one key."""
+    dealt = groups.join(bodies, "sig").select("key", "sig", "side", "shingles").repartition("key").sortWithinPartitions("key")
+    return dealt.mapInPandas(partial(_verify, percent=percent), "a long, b long")
+
+
+def off_hub(tested: DataFrame, bodies: DataFrame, *, block: int = BLOCK, percent: int = PERCENT) -> DataFrame:
+    """Links (a, b) of the sets that are not near, over rows (key, sig, near, size of the set).
+
+    The near ones of a key are one component already. The others have blocks of their own: they meet one another, and
+    the blocks of the near ones, each pair of blocks on its own.
+    """
+    held = lambda cond, name: F.greatest(F.lit(0), F.ceil(F.sum(F.when(cond, F.col("size"))) / block)).cast("int").alias(name)
+    sizes = tested.groupBy("key").agg(held(~F.col("near"), "off_blocks"), held(F.col("near"), "near_blocks")).where("off_blocks > 0")
+    dealt = tested.join(sizes, "key").withColumn("near_blocks", F.coalesce("near_blocks", F.lit(0)))
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias("other")
+    off = dealt.where(~F.col("near")).withColumn("own", F.pmod(F.xxhash64("sig"), F.col("off_blocks")).cast("int"))
+    near = dealt.where("near").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("near_blocks")).cast("int"))
+    among = off.select("key", "sig", "own", numbers("off_blocks")).select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "sig", (F.col("own") > F.col("other")).cast("int").alias("side"))
+    mixed = off.where("near_blocks > 0").select("key", "sig", "own", numbers("near_blocks")).select(F.xxhash64("key", "own", "other", F.lit("near")).alias("key"), "sig", F.lit(0).alias("side"))
+    others = near.select("key", "sig", "own", numbers("off_blocks")).select(F.xxhash64("key", "other", "own", F.lit("near")).alias("key"), "sig", F.lit(1).alias("side"))
+    return compared(among.unionAll(mixed).unionAll(others).distinct(), bodies, percent)
+
+
 def verified_links(members: DataFrame, bodies: DataFrame, *, together: int, block: int = BLOCK, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) whose components are those of all pairs of a Jaccard of `percent` or more that share a key.
 
@@ -88,18 +112,13 @@ def verified_links(members: DataFrame, bodies: DataFrame, *, together: int, bloc
     component already, and what it does not link meets all others in blocks of about `block` shingles, each pair of
     blocks on its own: a task holds two blocks, whether the sets are many or long.
     """
-
-    def compared(groups: DataFrame) -> DataFrame:
-        dealt = groups.join(bodies, "sig").select("key", "sig", "side", "shingles").repartition("key").sortWithinPartitions("key")
-        return dealt.mapInPandas(partial(_verify, percent=percent), "a long, b long")
-
     alone = members.where(F.col("n") <= together).select("key", "sig", F.lit(0).alias("side"))
     large = members.where(F.col("n") > together)
     if not large.limit(1).count():
-        return compared(alone).distinct()
+        return compared(alone, bodies, percent).distinct()
     counts = large.groupBy("key").agg(F.max_by("sig", F.struct("c", "sig")).alias("hub"))
     dealt = written(large.join(counts, "key").select("key", "n", "hub", "sig"), "large")
-    links = compared(alone)
+    links = compared(alone, bodies, percent)
     large = dealt.where(F.col("sig") != F.col("hub"))
     both = F.size(F.array_intersect("shingles", "theirs"))
     hubs = bodies.select(F.col("sig").alias("hub"), F.col("shingles").alias("theirs"))
@@ -107,15 +126,5 @@ def verified_links(members: DataFrame, bodies: DataFrame, *, together: int, bloc
     tested = written(tested.select("key", "hub", "sig", "near", F.size("shingles").alias("size")), "tested")
     links = links.unionAll(tested.where("near").select(F.col("hub").alias("a"), F.col("sig").alias("b")))
     if tested.where(~F.col("near")).limit(1).count():
-        # sets off the hub have blocks of their own: they meet one another, and the blocks of the others
-        held = lambda cond, name: F.greatest(F.lit(0), F.ceil(F.sum(F.when(cond, F.col("size"))) / block)).cast("int").alias(name)
-        sizes = tested.groupBy("key").agg(held(~F.col("near"), "off_blocks"), held(F.col("near"), "near_blocks")).where("off_blocks > 0")
-        dealt = tested.join(sizes, "key").withColumn("near_blocks", F.coalesce("near_blocks", F.lit(0)))
-        numbers = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias("other")
-        off = dealt.where(~F.col("near")).withColumn("own", F.pmod(F.xxhash64("sig"), F.col("off_blocks")).cast("int"))
-        near = dealt.where("near").withColumn("own", F.pmod(F.xxhash64("sig"), F.col("near_blocks")).cast("int"))
-        among = off.select("key", "sig", "own", numbers("off_blocks")).select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "sig", (F.col("own") > F.col("other")).cast("int").alias("side"))
-        mixed = off.where("near_blocks > 0").select("key", "sig", "own", numbers("near_blocks")).select(F.xxhash64("key", "own", "other", F.lit("near")).alias("key"), "sig", F.lit(0).alias("side"))
-        others = near.select("key", "sig", "own", numbers("off_blocks")).select(F.xxhash64("key", "other", "own", F.lit("near")).alias("key"), "sig", F.lit(1).alias("side"))
-        links = links.unionAll(compared(among.unionAll(mixed).unionAll(others).distinct()))
+        links = links.unionAll(off_hub(tested, bodies, block=block, percent=percent))
     return links.distinct()
