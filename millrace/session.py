@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -31,14 +32,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir of the session.
+
+    Only a session on one machine may go without: it gets a folder of its own. On a cluster that is an error.
+    """
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if found is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-shared-"))
+        found = context.getCheckpointDir()
+    return found.rstrip("/")
+
+
 def saved(df: DataFrame) -> DataFrame:
-    """A checkpoint of df in the session's shared folder (spark.checkpoint.dir); one machine without it gets its own."""
-    context = df.sparkSession.sparkContext
+    """A checkpoint of df in the shared folder."""
+    folder, context = shared_dir(df.sparkSession), df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-shared-"))
+        context.setCheckpointDir(folder)
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """df written as Parquet into the shared folder and read again: the lineage ends here, and Spark knows its size."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _shipped: set[str] = set()
 
 
