@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import r6, safe_div, seconds_between
+from millrace.operators.sweep import count_in_ranges
 
 STATUSES = ("completed", "running", "ready_to_commit", "writing", "retry", "pending", "failed")
 ACTIVE = ("running", "ready_to_commit", "writing")
@@ -134,6 +135,22 @@ def validate_chunks(chunks: DataFrame) -> DataFrame:
     return chunks.where("status = 'completed'").select("run_id", "chunk_no", "rows_read", expected.alias("expected_rows"), state.alias("validation"))
 
 
+def validate_chunks_in_target(chunks: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Completed chunks with the rows that the target has in their range, and the first rule that they break.
+
+    chunks: chunk_no, status, range_start, range_end (of any width, overlapping or not), rows_read, rows_inserted,
+    rows_conflicted. Order of the rules: empty, read, metrics, target.
+    """
+    done = chunks.where("status = 'completed'")
+    counted = count_in_ranges(done, target, key, ["chunk_no"], "range_start", "range_end").withColumnRenamed("rows", "rows_in_target")
+    expected = F.col("range_end") - F.col("range_start")
+    state = (
+        F.when(F.col("rows_read") == 0, "EMPTY").when(F.col("rows_read") != expected, "READ_COUNT_MISMATCH").when(F.col("rows_inserted") + F.col("rows_conflicted") != F.col("rows_read"), "METRICS_MISMATCH")
+        .when(F.col("rows_in_target") != expected, "TARGET_COUNT_MISMATCH").otherwise("OK")
+    )
+    return counted.withColumns({"expected_rows": expected, "validation": state})
+
+
 def staging_check(staging: DataFrame, chunks: DataFrame) -> DataFrame:
     """Staged rows in all, of completed and failed chunks, and of chunks that the history does not know."""
     known = chunks.select("chunk_id", "status")
