@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import r6, safe_div, seconds_between
+from millrace.operators.selection import value_at
 from millrace.operators.sweep import count_in_ranges
 
 STATUSES = ("completed", "running", "ready_to_commit", "writing", "retry", "pending", "failed")
@@ -165,6 +166,13 @@ def nearest_rank(df: DataFrame, col: str, q: float, keys: list[str]) -> DataFram
     return r.where(F.col("_r") == F.least(F.floor(F.col("_n") * q), F.col("_n") - 1) + 1).select(*keys, F.col(col).alias("value"))
 
 
+def batch_metrics(chunks: DataFrame) -> DataFrame:
+    """Per run: batches with a time, their mean and p95 seconds (nearest rank) and the rows a second over all of them."""
+    timed = chunks.where("seconds is not null")
+    sums = timed.groupBy("run_id").agg(F.count("*").alias("batches"), r6(F.avg("seconds")).alias("avg_seconds"), r6(safe_div(F.sum("rows_read"), F.sum("seconds"))).alias("rows_per_second"))
+    return sums.join(value_at(timed, "seconds", 0.95, ["run_id"]).withColumnRenamed("value", "p95_seconds"), "run_id")
+
+
 def batch_extremes(chunks: DataFrame) -> DataFrame:
     timed = F.when(F.col("seconds") > 0, F.struct("seconds", "chunk_id"))
     x = chunks.groupBy("run_id").agg(F.max(timed).alias("a"), F.min(timed).alias("b"), _n("failed").alias("failed"))

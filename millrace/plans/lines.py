@@ -1,11 +1,11 @@
-"""Queries of lineage to its ends, chunks against the target, and concurrent operations."""
+"""Queries of lineage to its ends, chunks against the target, concurrent operations, and values at a rank."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import r6
-from millrace.operators import lineage, monitoring, sweep
+from millrace.operators import lineage, monitoring, selection, sweep
 from millrace.plans.registry import query
 from millrace.sources.adapters import view
 
@@ -89,3 +89,18 @@ def m22_peaks(spark, d):
 @query("m22_long_running", f"SELECT event_id, round(epoch(e - s), 6) AS seconds FROM ({_SPANS}) WHERE epoch(e - s) > 6000")
 def m22_long(spark, d):
     return sweep.long_running(_spans(spark, d), "s", "e", 6000, F.lit(None).cast("timestamp_ntz")).select("event_id", r6("seconds").alias("seconds"))
+
+
+_AT = "SELECT {k}, value FROM (SELECT {k}, {x} AS value, row_number() OVER (PARTITION BY {k} ORDER BY {x}) AS r, count(*) OVER (PARTITION BY {k}) AS n FROM {t} WHERE {x} IS NOT NULL) WHERE r = least(floor(n * 0.95), n - 1) + 1"
+
+
+@query("a19_selected_p95", _AT.format(k="l_returnflag", x="l_extendedprice", t="lineitem"))
+def a19_selected(spark, d):
+    return selection.value_at(view(spark, d, "lineitem"), "l_extendedprice", 0.95, ["l_returnflag"])
+
+
+@query("m18_batch_metrics", f"""
+SELECT c.run_id, count(*) AS batches, round(avg(seconds), 6) AS avg_seconds, round(CASE WHEN sum(seconds) > 0 THEN sum(rows_read) / sum(seconds) ELSE 0 END, 6) AS rows_per_second, any_value(p.value) AS p95_seconds
+FROM {{load_chunk}} c JOIN ({_AT.format(k="run_id", x="seconds", t="{load_chunk}")}) p ON p.run_id = c.run_id WHERE seconds IS NOT NULL GROUP BY c.run_id""")
+def m18_metrics(spark, d):
+    return monitoring.batch_metrics(view(spark, d, "load_chunk"))
