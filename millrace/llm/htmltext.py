@@ -11,6 +11,8 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -26,21 +28,54 @@ HIDDEN = {"script", "style", "noscript", "template", "head", "title", "svg", "if
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "button", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "html", "label", "legend", "li", "main", "menu", "nav", "ol", "optgroup", "option", "p", "pre", "search", "section", "select", "summary", "table", "tbody", "td", "textarea", "tfoot", "th", "thead", "tr", "ul"}
 CLOSED_BY_ITSELF = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
-MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']|"[^"]*+"|'[^']*+')*+)>""", re.S)
+OPENING = re.compile(r"<(?:(!--)|([!?])|(/?)[a-zA-Z])")
+NAME_END = re.compile(r"[\s/>]")
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
+@dataclass(eq=False)
+class Element:
+    """An open element: what it adds to the words of those around it, so that a path costs no more than its own words."""
+
+    around: Element | None
+    fresh: list[str]  # words that no element around it has
+    last: str
+    words: int  # on the whole path, repeats included
+
+
 @dataclass
 class Block:
-    path: list[str]
+    path: Element | None
     text: str
     linked: int = 0
 
 
+def tag_ends(page: str) -> tuple[list[int], list[int]]:
+    """The places of > and quotes, and where a tag ends that comes to each of them outside of quotes (-1: nowhere).
+
+    Found from the page's end backwards, once, so that tags that never end cost no search of their own.
+    """
+    places = [m.start() for m in re.finditer("[>\"']", page)]
+    ends, same = [-1] * (len(places) + 1), {}
+    for i in range(len(places) - 1, -1, -1):
+        c = page[places[i]]
+        if c == ">":
+            ends[i] = places[i] + 1
+        else:
+            ends[i] = ends[same[c] + 1] if c in same else -1
+            same[c] = i
+    return places, ends
+
+
 def blocks(page: str | None) -> list[Block]:
-    """The leaf blocks of a page in page order: character references decoded, white space made one space, trimmed."""
+    """The leaf blocks of a page in page order: character references decoded, white space made one space, trimmed.
+
+    The work grows with the page's length, however broken or deep its mark-up is.
+    """
     found: list[Block] = []
-    stack: list[tuple[str, list[str]]] = []
+    stack: list[tuple[str, Element]] = []
+    opened: Counter[str] = Counter()
+    seen: set[str] = set()
     parts: list[str] = []
     linked = in_link = 0
 
@@ -48,25 +83,48 @@ def blocks(page: str | None) -> list[Block]:
         nonlocal linked
         if parts:
             if text := " ".join(entities.unescape("".join(parts)).split()):
-                found.append(Block([w for _, words in stack for w in words], text, linked))
+                found.append(Block(stack[-1][1] if stack else None, text, linked))
             parts.clear()
         linked = 0
 
-    page, at = page or "", 0
+    def pop() -> str:
+        name, element = stack.pop()
+        opened[name] -= 1
+        seen.difference_update(element.fresh)
+        return name
+
+    page = page or ""
+    places, ends = tag_ends(page)
+    at = look = name_end = 0
     while True:
-        m = MARKUP.search(page, at)
+        m = OPENING.search(page, look)
+        close, name, rest, end = "", "", "", len(page)
+        if m and m[1]:
+            end = page.find("-->", m.end()) + 3
+        elif m and m[2]:
+            end = page.find(">", m.end()) + 1
+        elif m:
+            if name_end < m.end():
+                name_end = t.start() if (t := NAME_END.search(page, m.end())) else len(page)
+            end = ends[bisect_left(places, name_end)]
+            if end < 0:  # no tag: text
+                look = m.end()
+                continue
+            close, name, rest = m[3], page[m.end() - 1 : name_end].lower(), page[name_end : end - 1]
+        if m and end < m.end():  # never closed
+            end = len(page)
         if chunk := page[at : m.start() if m else len(page)]:
             parts.append(chunk)
             linked += len(chunk) if in_link else 0
         if m is None:
             break
-        at, (close, name, rest) = m.end(), (m[1], (m[2] or "").lower(), m[3] or "")
+        at = look = end
         if not name:
             continue
         if name in HIDDEN and not close:
-            end = re.compile(rf"</{re.escape(name)}\s*>" if name != "head" else r"</head\s*>|(?=<body[\s>])", re.I).search(page, at)
             if not rest.endswith("/"):
-                at = end.end() if end else len(page)
+                shut = re.compile(rf"</{re.escape(name)}\s*>" if name != "head" else r"</head\s*>|(?=<body[\s>])", re.I).search(page, at)
+                at = look = shut.end() if shut else len(page)
         elif name == "a":
             in_link = 0 if close else 1
         elif name in VOID:
@@ -74,15 +132,19 @@ def blocks(page: str | None) -> list[Block]:
         elif name in BLOCKS:
             flush()
             if close:
-                at_depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-                if at_depth is not None:
-                    del stack[at_depth:]
+                if opened[name]:
+                    while pop() != name:
+                        pass
                     in_link = 0
             else:
                 while stack and stack[-1][0] in CLOSED_BY_ITSELF.get(name, ()):
-                    stack.pop()
-                words = [w for n in NAMES.findall(rest) for w in re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(n)).lower())]
-                stack.append((name, [f"<{name}>", *words]))
+                    pop()
+                words = [f"<{name}>", *(w for n in NAMES.findall(rest) for w in re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(n)).lower()))]
+                around = stack[-1][1] if stack else None
+                fresh = [w for w in dict.fromkeys(words) if w not in seen]
+                seen.update(fresh)
+                opened[name] += 1
+                stack.append((name, Element(around, fresh, words[-1], len(words) + (around.words if around else 0))))
     flush()
     return found
 
@@ -97,9 +159,13 @@ NUMBERS = 6
 
 @dataclass
 class Sequence:
-    """One page: hashed path and word numbers of all blocks, with the length of each, and numbers per block."""
+    """One page: its elements, each after the one around it, with the hashed words that each adds; per block its element,
+    the hash of the leaf, the number of distinct words on its path, its hashed words and its numbers."""
 
-    path: np.ndarray
+    around: list[int]
+    added: list[np.ndarray]
+    element: np.ndarray
+    leaf: np.ndarray
     path_n: np.ndarray
     word: np.ndarray
     word_n: np.ndarray
@@ -115,21 +181,30 @@ def _hash(text: str, bits: int) -> int:
 
 
 def sequence(page: list[Block]) -> Sequence:
-    memo: dict[tuple[str, ...], list[int]] = {}
-    path, path_n, word, word_n, number = [], [], [], [], []
+    number_of: dict[Element | None, int] = {None: 0}
+    around, added, distinct = [0], [np.empty(0, np.int64)], [0]
+    element, leaf, path_n, word, word_n, number = [], [], [], [], [], []
     for b in page:
-        key = tuple(b.path)
-        if key not in memo:
-            memo[key] = [_hash(x, PATH_BITS) for x in dict.fromkeys([*b.path, "leaf " + b.path[-1] if b.path else "leaf"])]
+        new, e = [], b.path
+        while e not in number_of:
+            new.append(e)
+            e = e.around
+        for e in reversed(new):
+            number_of[e] = len(around)
+            around.append(number_of[e.around])
+            added.append(np.array([_hash(w, PATH_BITS) for w in e.fresh], np.int64))
+            distinct.append(distinct[around[-1]] + len(e.fresh))
+        at = number_of[b.path]
+        element.append(at)
+        leaf.append(_hash("leaf " + b.path.last if b.path else "leaf", PATH_BITS))
+        path_n.append(distinct[at] + 1)
         words = b.text.split()
-        own = [_hash(w, WORD_BITS) for w in words]
-        path += memo[key]
-        path_n.append(len(memo[key]))
-        word += own
-        word_n.append(len(own))
+        word += [_hash(w, WORD_BITS) for w in words]
+        word_n.append(len(words))
         n = len(b.text)
-        number.append((np.log1p(n) / 6, min(1.0, b.linked / n), np.log1p(len(words)) / 5, (b.text[-1] in ".!?") * 1.0, sum(c in ".,;:" for c in b.text) / n * 20, len(b.path) / 10))
-    return Sequence(np.array(path, np.int64), np.array(path_n, np.int64), np.array(word, np.int64), np.array(word_n, np.int64), np.array(number, np.float64).reshape(-1, NUMBERS))
+        number.append((np.log1p(n) / 6, min(1.0, b.linked / n), np.log1p(len(words)) / 5, (b.text[-1] in ".!?") * 1.0, sum(c in ".,;:" for c in b.text) / n * 20, (b.path.words if b.path else 0) / 10))
+    whole = lambda x: np.array(x, np.int64)
+    return Sequence(around, added, whole(element), whole(leaf), whole(path_n), whole(word), whole(word_n), np.array(number, np.float64).reshape(-1, NUMBERS))
 
 
 # --- the network ----------------------------------------------------------------------------------------------------
@@ -142,6 +217,27 @@ def _mean_rows(table: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
     return total / np.maximum(n, 1)[:, None]
 
 
+def _mean_paths(table: np.ndarray, s: Sequence) -> np.ndarray:
+    """Per block the mean row of the distinct words on its path and of its leaf; sums pass from each element to those within."""
+    total = np.zeros((len(s.around), table.shape[1]))
+    for k in range(1, len(total)):
+        total[k] = total[s.around[k]]
+        for w in s.added[k]:
+            total[k] += table[w]
+    return (total[s.element] + table[s.leaf]) / s.path_n[:, None]
+
+
+def _path_gradient(grad: np.ndarray, s: Sequence, d: np.ndarray) -> None:
+    """Add to grad what _mean_paths passes back, given the gradient of its result."""
+    d = d / s.path_n[:, None]
+    np.add.at(grad, s.leaf, d)
+    total = np.zeros((len(s.around), d.shape[1]))
+    np.add.at(total, s.element, d)
+    for k in range(len(total) - 1, 0, -1):
+        np.add.at(grad, s.added[k], total[k])
+        total[s.around[k]] += total[k]
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
@@ -169,7 +265,7 @@ class Labeller:
         size = self.weights["out"].shape[0] - 2 * self.hidden
         x, mask = np.zeros((longest, len(pages), size)), np.zeros((longest, len(pages)))
         for i, p in enumerate(pages):
-            x[: len(p), i] = np.hstack([_mean_rows(self.weights["path"], p.path, p.path_n), _mean_rows(self.weights["word"], p.word, p.word_n), p.number])
+            x[: len(p), i] = np.hstack([_mean_paths(self.weights["path"], p), _mean_rows(self.weights["word"], p.word, p.word_n), p.number])
             mask[: len(p), i] = 1
         return x, mask
 
@@ -229,12 +325,12 @@ class Labeller:
                 d_state = z @ w[size:-1].T + d_state * (1 - m)
                 d_cell = d_new * f + d_cell * (1 - m)
             grad[name] = g_w
-        for name, lo in (("path", 0), ("word", self.weights["path"].shape[1])):
-            width = self.weights[name].shape[1]
-            grad[name] = np.zeros_like(self.weights[name])
-            for i, s in enumerate(pages):
-                at, n = getattr(s, name), getattr(s, f"{name}_n")
-                np.add.at(grad[name], at, np.repeat(d_x[: len(s), i, lo : lo + width] / np.maximum(n, 1)[:, None], n, axis=0))
+        lo = self.weights["path"].shape[1]
+        hi = lo + self.weights["word"].shape[1]
+        grad["path"], grad["word"] = np.zeros_like(self.weights["path"]), np.zeros_like(self.weights["word"])
+        for i, s in enumerate(pages):
+            _path_gradient(grad["path"], s, d_x[: len(s), i, :lo])
+            np.add.at(grad["word"], s.word, np.repeat(d_x[: len(s), i, lo:hi] / np.maximum(s.word_n, 1)[:, None], s.word_n, axis=0))
         return grad
 
     def fit(self, pages: list[Sequence], *, rounds: int = 6, batch: int = 24, rate: float = 0.02, seed: int = 3) -> Labeller:

@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -450,6 +451,24 @@ def test_labeller_on_other_markup(labeller):
     assert right >= 0.9 * total, right / total
 
 
+@pytest.mark.parametrize("page, n", [("<a " * 300_000, 1), ("<a<b" * 200_000, 1), ('<a "' * 200_001, 1), ("<svg/>" * 100_000, 0), ("<div class='a b'>x" * 50_000, 50_000), ("<div>" * 30_000 + "</p>" * 30_000 + "x", 1)])
+def test_broken_and_deep_pages_cost_what_they_are_long(page, n):
+    began = time.process_time()
+    found = htmltext.sequence(htmltext.blocks(page))
+    assert len(found) == n and time.process_time() - began < 10
+    assert sum(map(len, found.added)) <= 4  # the path's distinct words, once
+
+
+def test_blocks_of_odd_markup():
+    texts = lambda p: [(b.text, b.linked) for b in htmltext.blocks(p)]
+    assert texts("a < b <p>c<a href='x>y'>d</a></p>e") == [("a < b", 0), ("cd", 1), ("e", 0)]
+    assert texts('<p title="never closed>a</p><p>b') == [('<p title="never closed>a', 0), ("b", 0)]
+    assert texts("<!-- a -->b<!-- c") == [("b", 0)] and texts("<!a>b<!c") == [("b", 0)]
+    assert texts("<div>a<p>b<p>c</div></p>d") == [("a", 0), ("b", 0), ("c", 0), ("d", 0)]
+    inner = htmltext.blocks("<div class='a'><p class='a b'>x")[0].path
+    assert (inner.fresh, inner.last, inner.words, inner.around.fresh) == (["<p>", "b"], "b", 5, ["<div>", "a"])
+
+
 def test_gradients_of_the_network():
     pages = htmltext.training_sequences(["<p>one two three</p><p>four five</p>"], rounds=2)
     model = htmltext.Labeller.new(hidden=3, path_size=3, word_size=2)
