@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from millrace.operators import marts as m
+from millrace.operators.profile import column_profile
 from millrace.plans.registry import query
 from millrace.sources.adapters import view
 
@@ -141,6 +144,19 @@ def a22(spark, d):
     return m.profile_columns(view(spark, d, "raw_sales"), ["recid", "custaccount", "deliverydate", "dataareaid"])
 
 
+_RAW_SALES = ("recid", "salesid", "custaccount", "deliverydate", "amount", "currencycode", "salesstatus", "modifieddatetime", "dataareaid")
+
+
+@query("a22_column_samples", "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", (SELECT count(*) FROM {{raw_sales}}) AS total, count(v) AS non_blank, CASE WHEN count(DISTINCT v) < 1024 THEN count(DISTINCT v) END AS few_values,
+    (SELECT string_agg(v, '|' ORDER BY md5(v)) FROM (SELECT DISTINCT nullif(trim({c}), '') AS v FROM {{raw_sales}} WHERE nullif(trim({c}), '') IS NOT NULL ORDER BY md5(v) LIMIT 5)) AS samples,
+    CASE WHEN count(v) < 0.05 * (SELECT count(*) FROM {{raw_sales}}) OR count(DISTINCT v) <= 1 THEN 'empty' ELSE 'keep' END AS decision
+    FROM (SELECT nullif(trim({c}), '') AS v FROM {{raw_sales}})""" for c in _RAW_SALES))
+def a22_samples(spark, d):
+    found = column_profile(view(spark, d, "raw_sales"), list(_RAW_SALES))
+    return found.select("column", "total", "non_blank", F.when(F.col("exact"), F.col("distinct_values")).alias("few_values"), F.array_join("samples", "|").alias("samples"), "decision")
+
+
 @query("a23_value_counts", "SELECT event_type AS operation_type, count(*) AS n FROM events GROUP BY event_type")
 def a23(spark, d):
     return m.value_counts(view(spark, d, "warehouse_operation"), "operation_type")
