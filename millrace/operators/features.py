@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import days_between, r6, safe_div
+from millrace.operators.selection import quantile
 
 
 def employee_features(daily: DataFrame, ref_date: str, hours: int = 8, formula: str = "hours") -> DataFrame:
@@ -103,8 +104,7 @@ def zero_pick_routes(picking: DataFrame) -> DataFrame:
 
 def low_pick_high_waste(items: DataFrame, rate: float) -> DataFrame:
     """Items below the first quartile of picks (linear between ranks) with a waste rate above `rate`."""
-    q = items.agg(F.expr("percentile(picked, 0.25)").alias("_q"))
-    return items.crossJoin(F.broadcast(q)).where((F.col("picked") < F.col("_q")) & (F.col("waste_rate") > rate)).drop("_q")
+    return items.where((F.col("picked") < quantile(items, "picked", 0.25)) & (F.col("waste_rate") > rate))
 
 
 def mark_usage(marking: DataFrame) -> DataFrame:

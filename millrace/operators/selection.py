@@ -9,6 +9,7 @@ from millrace.session import stored
 
 BINS = 1024
 FEW = 10_000  # values of a bin that one task may sort
+ALONE = 200_000  # the same where there is one group only
 
 
 def value_at(df: DataFrame, col: str, share: float, keys: list[str], *, bins: int = BINS, few: int = FEW) -> DataFrame:
@@ -44,6 +45,21 @@ def value_at(df: DataFrame, col: str, share: float, keys: list[str], *, bins: in
     return out.select(*[F.col(n).alias(k) for n, k in zip(names, keys)], F.col("_value").alias("value"))
 
 
+def quantile(df: DataFrame, col: str, share: float) -> float:
+    """The quantile of a column, linear between the two values around it; nulls and NaN are left out, no value: 0."""
+    n = df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double"))).count()
+    if not n:
+        return 0.0
+    at = (n - 1) * share
+    low = int(at)
+    value = value_at(df, col, (low + 0.5) / n, [], few=ALONE).first()["value"]  # the middle of a rank's share is safe from rounding
+    if at == low:
+        return value
+    x = F.col(col).cast("double")
+    around = df.where(x.isNotNull() & ~F.isnan(x)).agg(F.count_if(x <= value).alias("upto"), F.min(F.when(x > value, x)).alias("above")).first()
+    return value + (at - low) * ((value if around["upto"] > low + 1 else around["above"]) - value)
+
+
 def _within(rows: DataFrame, bounds: DataFrame, names: list[str]) -> DataFrame:
     """The rows that lie between their key's bounds, with these; bounds have a row per key, so a hot key is no hot join."""
     ends = bounds.select(*[F.col(n).alias(f"{n}_b") for n in names], "_rank", "_lo", "_hi")

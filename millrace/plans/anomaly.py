@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from millrace.operators import anomaly as a
 from millrace.operators.marts import binary_metrics
 from millrace.plans import features
 from millrace.plans.registry import query
+from millrace.session import shared_dir
 
 EMPLOYEE = ["scan_interval", "scans_per_hour", "time_since_last_scan"]
 ROUTE = ["error_rate", "picked_per_operation", "avg_waste_rate"]
@@ -52,6 +55,28 @@ def ml5(spark, d):
     return binary_metrics(ml4(spark, d).join(labels, "entity_id", "left").na.fill({"is_anomaly": 0}), "is_anomaly", "is_anomaly_predicted")
 
 
+def _all(spark, d):
+    pred = [f(spark, d).drop("feature_1", "feature_2", "feature_3") for f in (ml4, ml4r, ml4i)]
+    return pred[0].unionByName(pred[1]).unionByName(pred[2])
+
+
+@query("ml5_all_models")
+def ml5_all(spark, d):
+    labels = features.x04(spark, d).select(F.col("employee_id").alias("entity_id"), F.lit("employee").alias("entity_type"), "is_anomaly")
+    return a.model_metrics(_all(spark, d), labels)
+
+
+@query("ml4_predictions_table")
+def ml4_table(spark, d):
+    """Employees and routes scored by forests that were saved and loaded, appended to one table under one time."""
+    folder = f"{shared_dir(spark)}/model-{uuid.uuid4().hex}"
+    for df, key, cols, entity in ((features.x01(spark, d), "employee_id", EMPLOYEE, "employee"), (features.x02(spark, d), "picking_route_id", ROUTE, "route")):
+        matrix = a.feature_matrix(df, key, cols)
+        a.save_forest(spark, a.fit_forest(matrix, cols), f"{folder}/forest-{entity}")
+        table = a.append_predictions(a.score_forest(matrix, a.load_forest(spark, f"{folder}/forest-{entity}"), entity), f"{folder}/predictions", "2024-01-01 00:00:00")
+    return table
+
+
 @query("ml6_anomaly_rates")
 def ml6(spark, d):
-    return a.anomaly_rates(ml4(spark, d).drop("feature_1", "feature_2", "feature_3").unionByName(ml4r(spark, d).drop("feature_1", "feature_2", "feature_3")))
+    return a.anomaly_rates(_all(spark, d))
