@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.sources.adapters import oracle
 
-MODULES = ("marts", "features", "cleaning", "merging", "quality", "monitoring", "items", "anomaly", "loading", "stages", "extras", "search", "refresh", "lines")
+MODULES = ("marts", "features", "cleaning", "merging", "quality", "monitoring", "items", "anomaly", "loading", "stages", "extras", "search", "refresh", "lines", "history")
 _queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _oracles: dict[str, str] = {}
 
