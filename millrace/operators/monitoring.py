@@ -226,6 +226,17 @@ def resumable(chunks: DataFrame, max_attempts: int) -> DataFrame:
     return chunks.where(F.col("status").isin("pending", "failed", "retry") & (F.col("attempt_count") < max_attempts)).select("run_id", "chunk_id", "status", "attempt_count")
 
 
+def stale_chunks(chunks: DataFrame, as_of: Column, minutes: float) -> DataFrame:
+    """Chunks at work whose last heartbeat (without one: their start) is more than so many minutes old, with that age.
+
+    A chunk with neither has an unknown age and is not stale.
+    """
+    seen = F.coalesce("heartbeat_at", "started_at").cast("timestamp")
+    age = (F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(seen)) / 6e7
+    rows = chunks.where(F.col("status").isin("running", "writing", "ready_to_commit")).withColumn("age_minutes", age)
+    return rows.where(F.col("age_minutes") > minutes).select("run_id", "chunk_id", "status", "worker_id", "age_minutes")
+
+
 def load_metrics(totals: DataFrame) -> DataFrame:
     """Totals as (run_id, metric, value) rows."""
     names = [c for c in totals.columns if c != "run_id"]

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import r6
 from millrace.operators import monitoring as m
 from millrace.plans.registry import query
+from millrace.session import shared_dir
 from millrace.sources.adapters import view
+from millrace.streaming import stale
 
 AS_OF = "2024-01-30 12:00:00"
 _AGE = f"(epoch_us(TIMESTAMP '{AS_OF}') - epoch_us({{0}})) / 1e6"
@@ -208,3 +213,35 @@ def m24(spark, d):
 @query("i06_resumable_chunks", "SELECT run_id, chunk_id, status, attempt_count FROM {load_chunk} WHERE status IN ('pending', 'failed', 'retry') AND attempt_count < 3")
 def i06(spark, d):
     return m.resumable(_chunks(spark, d), 3)
+
+
+@query("i06_stale_chunks", """
+SELECT run_id, chunk_id, status, worker_id, round((epoch_us(TIMESTAMP '2024-01-30') - epoch_us(coalesce(heartbeat_at, started_at))) / 6e7, 6) AS age_minutes
+FROM {load_chunk} WHERE status IN ('running', 'writing', 'ready_to_commit') AND epoch_us(TIMESTAMP '2024-01-30') - epoch_us(coalesce(heartbeat_at, started_at)) > 600 * 6e7""")
+def i06_stale(spark, d):
+    return m.stale_chunks(_chunks(spark, d), F.lit("2024-01-30"), 600).withColumn("age_minutes", r6("age_minutes"))
+
+
+# A run's events as its heartbeats: six hours without one are a stale spell, a purchase ends the run.
+_SPELLS = """
+SELECT chunk_id, beat AS last_heartbeat, beat + INTERVAL 6 HOUR AS stale_at
+FROM (SELECT *, lead(beat) OVER (PARTITION BY chunk_id ORDER BY beat) AS following, max(beat) OVER () AS latest
+      FROM (SELECT user_id AS chunk_id, ts AS beat, bool_or(event_type = 'purchase') AS ended FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL GROUP BY 1, 2))
+WHERE NOT ended AND (following IS NULL OR following > beat + INTERVAL 6 HOUR) AND beat + INTERVAL 6 HOUR <= date_trunc('milliseconds', latest) - INTERVAL {late} DAY"""
+
+
+def _plain(df):
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("last_heartbeat", "stale_at")})
+
+
+@query("i06_stale_spells", _SPELLS.replace("{late}", "0"))
+def i06_spells(spark, d):
+    return _plain(stale.stale_spells(view(spark, d, "events"), "user_id", "ts", F.col("event_type") == "purchase", 6 * 3600))
+
+
+@query("i06_stale_stream", _SPELLS.replace("{late}", "1"))
+def i06_stream(spark, d):
+    # the path as a glob, since a stream takes no path of a single file
+    root, rows = f"{shared_dir(spark)}/stale-{uuid.uuid4().hex}", view(spark, d, "events")
+    out = stale.stale_stream(spark, f"{d}/events.parque[t]", rows.schema, "user_id", "ts", F.col("event_type") == "purchase", 6 * 3600, 86400, f"{root}/spells", f"{root}/state")
+    return _plain(out)
