@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -49,7 +49,9 @@ def read_tsv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_tsv(df: DataFrame, path: str, sep: str = "\t") -> None:
-    df.write.mode("overwrite").csv(path, sep=sep, header=True, encoding="UTF-8", emptyValue="")
+    """Text with a header; times keep their microseconds."""
+    times = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    df.write.mode("overwrite").options(**times).csv(path, sep=sep, header=True, encoding="UTF-8", emptyValue="")
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
@@ -60,6 +62,30 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.col("c")[0].alias("mode"), F.col("c")[1].alias("description"), F.col("c")[2].alias("category"), F.filter(F.transform(F.split(F.col("c")[3], ","), lambda x: F.trim(x)), lambda x: x != "").alias("keywords"))
 
 
+MEMBER_COLUMNS = ("account_id", "name", "key", "display_name", "email")
+# Texts that mean an active member.
+TRUE_TEXTS = ("1", "true", "yes", "y", "on", "да")
+
+
+def members(rows: DataFrame, exclude_inactive: bool = True, exclude: tuple[str, ...] = ()) -> DataFrame:
+    """The five identity columns, trimmed (null: empty), and `active` of a member list; a missing column is a ValueError.
+
+    Without a column `active` all are active; with one, null and other texts than TRUE_TEXTS are not. Members stay if they
+    have an identity and none of their identities contains one of the excluded texts, both in lower case. Repeats stay.
+    """
+    missing = [c for c in MEMBER_COLUMNS if c not in rows.columns]
+    if missing:
+        raise ValueError(f"the member list has no columns {', '.join(missing)}")
+    cell = lambda c: F.coalesce(F.btrim(F.col(c).cast("string")), F.lit(""))
+    active = F.lower(cell("active")).isin(*TRUE_TEXTS) if "active" in rows.columns else F.lit(True)
+    found = rows.select(*[cell(c).alias(c) for c in MEMBER_COLUMNS], active.alias("active"))
+    if exclude_inactive:
+        found = found.where("active")
+    for text in filter(None, (x.strip().lower() for x in exclude)):
+        found = found.where(~reduce(Column.__or__, [F.contains(F.lower(c), F.lit(text)) for c in MEMBER_COLUMNS]))
+    return found.where(reduce(Column.__or__, [F.col(c) != "" for c in MEMBER_COLUMNS]))
+
+
 def load(spark: SparkSession, batch: DataFrame, path: str, mode: str, keys: list[str]) -> str:
     """full and reload overwrite; resume appends rows with new keys; incremental upserts. Returns the path written.
 

@@ -237,6 +237,13 @@ def stale_chunks(chunks: DataFrame, as_of: Column, minutes: float) -> DataFrame:
     return rows.where(F.col("age_minutes") > minutes).select("run_id", "chunk_id", "status", "worker_id", "age_minutes")
 
 
+def completed_chunks(chunks: DataFrame) -> DataFrame:
+    """Completed chunks as they are exported: duration in seconds (null unless it ended after its start) and whole rows a second."""
+    took = F.when(F.col("completed_at") > F.col("started_at"), seconds_between(F.col("started_at"), F.col("completed_at")))
+    done = chunks.where("status = 'completed'").withColumn("duration_seconds", took)
+    return done.select("run_id", "chunk_no", "status", "attempt_count", "rows_read", "rows_inserted", "rows_conflicted", "started_at", "completed_at", "duration_seconds", F.round(F.col("rows_read") / F.col("duration_seconds")).cast("long").alias("rows_per_second"))
+
+
 def load_metrics(totals: DataFrame) -> DataFrame:
     """Totals as (run_id, metric, value) rows."""
     names = [c for c in totals.columns if c != "run_id"]

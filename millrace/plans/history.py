@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from millrace.operators import audit, loading
+from millrace.operators import monitoring as m
 from millrace.operators import schema_history as sh
 from millrace.operators import staging as st
 from millrace.plans.registry import query
@@ -93,3 +95,44 @@ def d03(spark, d):
             rows = rows.withColumn("recid", F.when(F.expr(_CLEAN_KEY), F.col("recid")))
         sh.append_version(spark, path, sh.inferred_types(rows.select(*columns), table))
     return sh.schema_history(sh.read_history(spark, path)).drop("fingerprint")
+
+
+@query("l02_recent_audit", """
+SELECT run_id, table_name, action, details, actor, created_at FROM (
+  SELECT run_id, pipeline_name AS table_name, 'LOAD_COMPLETE' AS action, '{"rows_inserted":' || declared_rows || '}' AS details, 'pipeline' AS actor, finished_at AS created_at FROM {load_run}
+  UNION ALL SELECT run_id, pipeline_name, 'LOAD_START', NULL, 'pipeline', started_at FROM {load_run}
+  UNION ALL SELECT run_id, worker_id, 'ERROR', '{"error_type":"' || error_type || '","chunk":' || chunk_no || '}', 'pipeline', updated_at FROM {load_chunk} WHERE status = 'failed' AND error_type IS NOT NULL)
+ORDER BY created_at DESC, action, run_id, details LIMIT 500""")
+def l02(spark, d):
+    path = f"{shared_dir(spark)}/audit-{uuid.uuid4().hex}"
+    runs, failed = view(spark, d, "load_run"), view(spark, d, "load_chunk").where("status = 'failed' and error_type is not null")
+    name, run = F.col("pipeline_name"), F.col("run_id")
+    audit.append(audit.entries(runs, "LOAD_START", name, run, F.col("started_at")), path)
+    audit.append(audit.entries(runs, "LOAD_COMPLETE", name, run, F.col("finished_at"), {"rows_inserted": F.col("declared_rows")}), path)
+    audit.append(audit.entries(failed, "ERROR", F.col("worker_id"), run, F.col("updated_at"), {"error_type": F.col("error_type"), "chunk": F.col("chunk_no")}), path)
+    return audit.recent(spark.read.parquet(path), limit=500).withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+
+
+@query("s09_completed_chunks", """
+SELECT run_id, chunk_no, status, attempt_count, rows_read, rows_inserted, rows_conflicted, started_at, started_at + to_seconds(CAST(floor(seconds) AS BIGINT)) AS completed_at,
+       CASE WHEN floor(seconds) > 0 THEN CAST(floor(seconds) AS DOUBLE) END AS duration_seconds, CASE WHEN floor(seconds) > 0 THEN CAST(round(rows_read / floor(seconds)) AS BIGINT) END AS rows_per_second
+FROM {load_chunk} WHERE status = 'completed'""")
+def s09(spark, d):
+    """All runs' completed chunks, written as CSV and read again."""
+    chunks = view(spark, d, "load_chunk").withColumn("completed_at", F.expr("started_at + make_dt_interval(0, 0, 0, cast(floor(seconds) as decimal(18, 6)))"))
+    rows = m.completed_chunks(chunks).withColumn("duration_seconds", F.col("duration_seconds").cast("double"))
+    path = f"{shared_dir(spark)}/completed-{uuid.uuid4().hex}"
+    loading.write_tsv(rows, path, ",")
+    return spark.read.schema(rows.schema).csv(path, header=True, nullValue="", encoding="UTF-8")
+
+
+@query("s11_members", """
+SELECT concat('', c_custkey) AS account_id, c_name AS name, '' AS key, concat('Member ', c_custkey) AS display_name, concat(lower(c_mktsegment), '@example.org') AS email, TRUE AS active
+FROM customer WHERE c_custkey % 3 <> 0 AND NOT contains(lower(c_mktsegment), 'machin')""")
+def s11(spark, d):
+    """Customers as a member list, written as TSV and read again: every third is inactive, one segment is left out."""
+    path = f"{shared_dir(spark)}/members-{uuid.uuid4().hex}"
+    active = F.when(F.col("c_custkey") % 3 == 0, "no").when(F.col("c_custkey") % 3 == 1, " Yes ").otherwise("да")
+    rows = view(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("account_id"), F.concat(F.lit(" "), "c_name").alias("name"), F.lit(None).cast("string").alias("key"), F.concat(F.lit("Member "), "c_custkey").alias("display_name"), F.concat(F.lower("c_mktsegment"), F.lit("@example.org")).alias("email"), active.alias("active"))
+    loading.write_tsv(rows, path)
+    return loading.members(loading.read_tsv(spark, path), exclude=(" MACHIN ", ""))
