@@ -59,8 +59,9 @@ def map_code(c: Column, mapping: dict[str, str], default: str) -> Column:
 
 
 def days_between(ts: Column, as_of: Column) -> Column:
-    """Whole days from ts to as_of, rounded down also before zero."""
-    return F.floor((F.unix_seconds(as_of.cast("timestamp")) - F.unix_seconds(ts.cast("timestamp"))) / 86400)
+    """Whole days from ts to as_of, rounded down also before zero; fractions of a second count."""
+    micros, day = F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(ts.cast("timestamp")), F.lit(86_400_000_000)
+    return ((micros - F.pmod(micros, day)) / day).cast("long")
 
 
 def seconds_between(a: Column, b: Column) -> Column:

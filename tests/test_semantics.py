@@ -31,6 +31,13 @@ def test_days_round_down_before_zero(spark):
     assert got == -1
 
 
+def test_days_count_fractions_of_a_second(spark):
+    noon = F.lit("2024-01-15 12:00:00").cast("timestamp_ntz")
+    days = lambda t: one(spark, t, lambda v: c.days_between(v, noon), "timestamp_ntz")
+    assert [days(dt.datetime(2024, 1, 2, 12, 0, 0, us)) for us in (0, 1, 500_000)] == [13, 12, 12]
+    assert [days(dt.datetime(2024, 1, 15, 12, 0, 0, us)) for us in (0, 1)] == [0, -1] and days(None) is None
+
+
 def test_bytes_and_rejects(spark):
     df = spark.createDataFrame([(bytearray("Привет".encode("cp1251")),), (bytearray("ü".encode()),), (None,)], "x binary")
     assert [r["x"] for r in cleaning.decode_bytes(df, "x", ["utf-8", "cp1251", "cp1252"]).collect()] == ["Привет", "ü", None]
