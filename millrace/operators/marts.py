@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import r6, safe_div, seconds_between
+from millrace.operators.sweep import running_total
+from millrace.session import stored
+
+QUARTILES = (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
 
 
 def _ones(c: str):
@@ -90,12 +94,26 @@ def pivot_sum(df: DataFrame, row: str, col: str, val: str, values: list) -> Data
 
 
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:
-    """count, mean, std, min, quartiles and max per column, in one pass."""
-    rows = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        rows.append(F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), r6(F.avg(x)).alias("mean"), r6(F.stddev_samp(x)).alias("std"), r6(F.min(x)).alias("min"), r6(F.expr(f"percentile({c}, 0.25)")).alias("q25"), r6(F.expr(f"percentile({c}, 0.5)")).alias("q50"), r6(F.expr(f"percentile({c}, 0.75)")).alias("q75"), r6(F.max(x)).alias("max")))
-    return df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
+    """count, mean, std, min, quartiles and max per column; quartiles are exact, linear between ranks.
+
+    Values are counted, and the counts added up in the order of the values over range partitions: no task gets a whole column.
+    """
+    each = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])))
+    stats = each.groupBy("column").agg(F.count("value").alias("count"), r6(F.avg("value")).alias("mean"), r6(F.stddev_samp("value")).alias("std"), r6(F.min("value")).alias("min"), r6(F.max("value")).alias("max"))
+    counts = each.where("value is not null").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    order = F.array_position(F.array(*map(F.lit, cols)), F.col("column"))
+    upto = running_total(counts.withColumn("_at", order), ["_at", "value"], "n")  # ranks run through all columns
+    ends = stored(upto.groupBy("column").agg(F.min(F.col("running") - F.col("n")).alias("_before"), F.sum("n").alias("_n")), "ends")
+    spots = F.array(*[F.struct(F.lit(name).alias("name"), ((F.col("_n") - 1) * share).alias("at")) for name, share in QUARTILES])
+    ranks = ends.select("column", "_before", F.inline(spots)).withColumns({"_low": F.floor("at"), "_high": F.ceil("at")})
+    held = upto.join(F.broadcast(ranks), "column")  # three rows a column
+    place = lambda rank: (F.col("running") - F.col("n") <= F.col("_before") + F.col(rank)) & (F.col("_before") + F.col(rank) < F.col("running"))
+    ends_of = held.groupBy("column", "name", "at", "_low", "_high").agg(F.max(F.when(place("_low"), F.col("value"))).alias("_a"), F.max(F.when(place("_high"), F.col("value"))).alias("_b"))
+    value = F.when(F.col("_a") == F.col("_b"), F.col("_a")).otherwise((F.col("_high") - F.col("at")) * F.col("_a") + (F.col("at") - F.col("_low")) * F.col("_b"))
+    quartiles = ends_of.groupBy("column").agg(*[r6(F.max(F.when(F.col("name") == name, value))).alias(name) for name, _ in QUARTILES])
+    every = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    out = every.join(stats, "column", "left").join(quartiles, "column", "left").fillna(0, ["count"])
+    return out.select("column", "count", "mean", "std", "min", *[name for name, _ in QUARTILES], "max")
 
 
 def profile_columns(df: DataFrame, cols: list[str]) -> DataFrame:
