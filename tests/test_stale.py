@@ -6,6 +6,7 @@ import random
 from datetime import datetime, timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -86,3 +87,44 @@ def test_stale_chunks_by_age(spark):
     df = spark.createDataFrame(rows, "run_id int, chunk_id int, status string, worker_id string, heartbeat_at string, started_at string")
     got = m.stale_chunks(df, F.lit("2024-01-01 01:00:00"), 30).collect()
     assert [(r["chunk_id"], r["age_minutes"]) for r in got] == [(1, 60.0)]
+
+
+def test_a_group_has_one_timer_for_all_its_gaps():
+    class Kept:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+        def clear(self):
+            self.value = None
+
+    class Handle:
+        def __init__(self):
+            self.timers = set()
+
+        def getValueState(self, name, schema):
+            return Kept()
+
+        def registerTimer(self, at):
+            self.timers.add(at)
+
+    class At:
+        def getCurrentWatermarkInMs(self):
+            return 120
+
+        def getExpiryTimeInMs(self):
+            return 11
+
+    handle, p = Handle(), stale.StaleChunks(10_000)
+    p.init(handle)
+    part = pd.DataFrame({"chunk_id": np.repeat([1, 2, 3], 10), "at_us": np.tile(np.arange(10) * 20_000, 3) + 1000, "ended": [False] * 30})
+    assert list(p.handleInputRows((0,), iter([part]), At())) == [] and handle.timers == {11}
+    out = pd.concat(p.handleExpiredTimer((0,), At(), At()))
+    assert len(out) == 18 and handle.timers == {11, 131}  # six of ten gaps a chunk, in one call
