@@ -109,6 +109,12 @@ VIEWS = {
 }
 
 
+# Views with about as many groups as rows: adding up before the shuffle saves nothing, and what a task holds grows with the rows
+# it gets. Their source is dealt by the groups' keys first, to partitions of ROWS rows.
+DEALT = {"picking": ("picking_operation", ["picking_route_id", "item_id"])}
+ROWS = 250_000
+
+
 def uses(text: str) -> list[str]:
     return re.findall(r"\{(\w+)\}", text)
 
@@ -118,7 +124,17 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in VIEWS:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     text = VIEWS[name]
-    return spark.sql(text, **{n: view(spark, sf_dir, n) for n in set(uses(text))})
+    sources = {n: view(spark, sf_dir, n) for n in set(uses(text))}
+    if name in DEALT:
+        source, keys = DEALT[name]
+        sources[source] = dealt(sources[source], keys)
+    return spark.sql(text, **sources)
+
+
+def dealt(df: DataFrame, keys: list[str], rows: int = ROWS) -> DataFrame:
+    """df partitioned by keys, about `rows` rows a partition; the number is given, so that nothing merges partitions later."""
+    parts = max(-(-df.count() // rows), df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(parts, *keys)
 
 
 def oracle(sql: str) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 from millrace.operators import marts
+from millrace.sources import adapters
 
 
 def test_describe_gathers_no_column_in_one_task(spark):
@@ -18,3 +19,9 @@ def test_describe_gathers_no_column_in_one_task(spark):
     assert none["count"] == 0 and none["q50"] is None and none["mean"] is None
     odd = marts.describe(spark.createDataFrame([(float("inf"),), (float("nan"),), (1.0,)], "a double"), ["a"]).first()
     assert odd["q50"] == float("inf") and math.isnan(odd["max"])
+
+
+def test_rows_of_a_view_with_a_group_per_row_are_dealt_by_number(spark, sf):
+    rows = spark.range(1000)
+    assert adapters.dealt(rows, ["id"], rows=50).rdd.getNumPartitions() == 20
+    assert "REPARTITION_BY_NUM" in adapters.view(spark, sf, "picking")._jdf.queryExecution().toString()
