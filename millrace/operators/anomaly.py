@@ -24,7 +24,7 @@ class Forest:
 
 
 def feature_matrix(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    """key and the columns as doubles; null, NaN and infinite become 0."""
+    """key and the columns as doubles; null, NaN and infinite become 0. Fitting and scoring read it several times: store it first."""
     fine = lambda c: F.when(F.isnan(c) | (F.abs(c) == float("inf")), 0.0).otherwise(c)
     return df.select(F.col(key).cast("string").alias("entity_id"), *[F.coalesce(fine(F.col(c).cast("double")), F.lit(0.0)).alias(c) for c in cols])
 

@@ -10,15 +10,20 @@ from millrace.operators import anomaly as a
 from millrace.operators.marts import binary_metrics
 from millrace.plans import features
 from millrace.plans.registry import query
-from millrace.session import shared_dir
+from millrace.session import shared_dir, stored
 
 EMPLOYEE = ["scan_interval", "scans_per_hour", "time_since_last_scan"]
 ROUTE = ["error_rate", "picked_per_operation", "avg_waste_rate"]
 ITEM = ["error_rate", "competitor_ratio", "route_count"]
 
 
+def _matrix(df, key, cols):
+    """The feature matrix in the shared folder: features are computed once, not anew for each pass of the model."""
+    return stored(a.feature_matrix(df, key, cols), "matrix")
+
+
 def _scored(df, key, cols, entity):
-    matrix = a.feature_matrix(df, key, cols)
+    matrix = _matrix(df, key, cols)
     return a.score_forest(matrix, a.fit_forest(matrix, cols), entity)
 
 
@@ -71,7 +76,7 @@ def ml4_table(spark, d):
     """Employees and routes scored by forests that were saved and loaded, appended to one table under one time."""
     folder = f"{shared_dir(spark)}/model-{uuid.uuid4().hex}"
     for df, key, cols, entity in ((features.x01(spark, d), "employee_id", EMPLOYEE, "employee"), (features.x02(spark, d), "picking_route_id", ROUTE, "route")):
-        matrix = a.feature_matrix(df, key, cols)
+        matrix = _matrix(df, key, cols)
         a.save_forest(spark, a.fit_forest(matrix, cols), f"{folder}/forest-{entity}")
         table = a.append_predictions(a.score_forest(matrix, a.load_forest(spark, f"{folder}/forest-{entity}"), entity), f"{folder}/predictions", "2024-01-01 00:00:00")
     return table

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 
 from millrace.operators import marts
+from millrace.plans import anomaly
 from millrace.sources import adapters
 
 
@@ -25,3 +26,9 @@ def test_rows_of_a_view_with_a_group_per_row_are_dealt_by_number(spark, sf):
     rows = spark.range(1000)
     assert adapters.dealt(rows, ["id"], rows=50).rdd.getNumPartitions() == 20
     assert "REPARTITION_BY_NUM" in adapters.view(spark, sf, "picking")._jdf.queryExecution().toString()
+
+
+def test_features_are_computed_once_for_a_model(spark):
+    matrix = anomaly._matrix(spark.createDataFrame([(1, 2.0), (2, None)], "k int, a double"), "k", ["a"])
+    assert matrix.inputFiles() and all("/matrix-" in f for f in matrix.inputFiles())
+    assert sorted(tuple(r) for r in matrix.collect()) == [("1", 2.0), ("2", 0.0)]
