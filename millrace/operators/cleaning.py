@@ -51,7 +51,10 @@ def with_row_id(df: DataFrame, order: list[str], name: str = "row_id") -> DataFr
 
 
 def decode_bytes(df: DataFrame, col: str, encodings: list[str]) -> DataFrame:
-    """Text from bytes by the first encoding that fits; bytes that fit none are null."""
+    """Text from bytes by the first encoding that fits; bytes that fit none are null.
+
+    If UTF-8 is the first, Spark itself decodes what is valid, and Python gets the other rows' bytes alone.
+    """
 
     @F.pandas_udf("string")
     def decode(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -66,7 +69,10 @@ def decode_bytes(df: DataFrame, col: str, encodings: list[str]) -> DataFrame:
         for part in values:
             yield part.map(one)
 
-    return df.withColumn(col, decode(F.col(col)))
+    if not encodings or encodings[0].lower().replace("_", "-") not in ("utf-8", "utf8"):
+        return df.withColumn(col, decode(F.col(col)))
+    text = F.try_validate_utf8(F.col(col).cast("string"))
+    return df.withColumn(col, F.coalesce(text, decode(F.when(text.isNull(), F.col(col)))))
 
 
 def split_rejects(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, DataFrame]:

@@ -38,6 +38,22 @@ def test_days_count_fractions_of_a_second(spark):
     assert [days(dt.datetime(2024, 1, 15, 12, 0, 0, us)) for us in (0, 1)] == [0, -1] and days(None) is None
 
 
+def test_python_gets_only_bytes_that_are_not_utf_8(spark):
+    odd = [b"\xed\xa0\x80", b"\xc0\x80", b"a\x00\xf0\x9f\x98\x80", b"", b"\xff", "ü".encode() * 3, b"\xf4\x90\x80\x80", b"\xe2\x82", b"\xef\xbb\xbfa"]
+    df = spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate(odd)], "i int, x binary")
+    got = cleaning.decode_bytes(df, "x", ["utf-8"])
+    want = []
+    for b in odd:
+        try:
+            want.append(b.decode())
+        except UnicodeDecodeError:
+            want.append(None)
+    assert [r["x"] for r in got.orderBy("i").collect()] == want
+    assert "try_validate_utf8" in got._jdf.queryExecution().toString()
+    first = cleaning.decode_bytes(df, "x", ["utf-8", "latin-1"])
+    assert [r["x"] for r in first.orderBy("i").collect()] == [b.decode("latin-1") if w is None else w for b, w in zip(odd, want)]
+
+
 def test_bytes_and_rejects(spark):
     df = spark.createDataFrame([(bytearray("Привет".encode("cp1251")),), (bytearray("ü".encode()),), (None,)], "x binary")
     assert [r["x"] for r in cleaning.decode_bytes(df, "x", ["utf-8", "cp1251", "cp1252"]).collect()] == ["Привет", "ü", None]
