@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import r6
 from millrace.operators.items import attachment_class, confidence
-from millrace.session import stored
+from millrace.session import parts_for, stored
 
 ENTRIES = 20_000  # of one automaton; a larger registry is searched for in several passes over the texts
+HITS = 5_000  # that a task gathers before it hands them on: a batch of texts may have hundreds of times its rows
 AROUND = 60  # characters of a fragment on both sides of the first hit
 PLACES = ("summary", "description", "comment", "attachment", "linked", "linked_description", "linked_comment", "linked_attachment", "linked_subtask", "subtask")
 
@@ -107,8 +108,13 @@ def _searched(rows: DataFrame, registry: DataFrame, schema: str, entries: int, f
         def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             searcher = Searcher(sent.value)
             for batch in batches:
-                values = zip(*[batch[c].tolist() for c in keep + read])
-                yield pd.DataFrame([(*row[: len(keep)], *hit) for row in values for hit in found(searcher, row)], columns=names, dtype=object)
+                rows = []
+                for row in zip(*[batch[c].tolist() for c in keep + read]):
+                    rows.extend((*row[: len(keep)], *hit) for hit in found(searcher, row))
+                    if len(rows) >= HITS:
+                        yield pd.DataFrame(rows, columns=names, dtype=object)
+                        rows = []
+                yield pd.DataFrame(rows, columns=names, dtype=object)
 
         hits = rows.select(*keep, *read).mapInPandas(run, schema)
         out = hits if out is None else out.unionAll(hits)
@@ -213,17 +219,20 @@ def dedupe_matches(matches: DataFrame) -> DataFrame:
     """One row per issue and mode: places and categories, each once in the order of entries and places, the first three
     different fragments, the best confidence, and the number of matches.
 
-    Only the first row of each place, category and fragment is gathered per issue and mode.
+    Only the first row of each place, category and fragment is gathered per issue and mode. Matches are found once and
+    written; the number of partitions follows from theirs, so that what a task holds does not grow with them.
     """
     rank = F.when(F.col("confidence") == "high", 3).when(F.col("confidence") == "medium", 2).otherwise(1)
     place = F.array_position(F.array(*map(F.lit, PLACES)), F.col("place"))
     label = F.when(F.col("via").isNull(), F.col("place")).otherwise(F.concat_ws(" ", "place", F.col("via").cast("string")))
     at = F.struct("entry", place.alias("rank"), F.coalesce(F.col("via").cast("string"), F.lit("")).alias("via"), "pos")
-    rows = matches.withColumns({"_at": at, "_label": label})
+    rows = stored(matches.select("issue_key", "mode", "category", "fragment", "confidence", at.alias("_at"), label.alias("_label")), "matches")
+    parts = parts_for(rows)
     one = rows.groupBy("issue_key", "mode").agg(F.max_by("confidence", rank).alias("confidence"), F.count(F.lit(1)).alias("matches"))
 
     def ordered(value: str, name: str, sep: str, most: int | None = None) -> DataFrame:
-        firsts = rows.where(F.coalesce(value, F.lit("")) != "").groupBy("issue_key", "mode", value).agg(F.min("_at").alias("_at"))
+        filled = rows.where(F.coalesce(value, F.lit("")) != "").select("issue_key", "mode", value, "_at").repartition(parts, "issue_key", "mode", value)
+        firsts = filled.groupBy("issue_key", "mode", value).agg(F.min("_at").alias("_at")).repartition(parts, "issue_key", "mode")
         if most:
             firsts = firsts.withColumn("_n", F.row_number().over(Window.partitionBy("issue_key", "mode").orderBy("_at", value))).where(F.col("_n") <= most)
         listed = F.array_sort(F.collect_list(F.struct("_at", value)))

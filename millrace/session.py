@@ -62,6 +62,19 @@ def stored(df: DataFrame, name: str = "stored") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ROWS = 250_000  # of a partition that dealt makes
+
+
+def parts_for(df: DataFrame, rows: int = ROWS) -> int:
+    """How many partitions of about `rows` rows df fills; small tables get one per core."""
+    return max(-(-df.count() // rows), df.sparkSession.sparkContext.defaultParallelism)
+
+
+def dealt(df: DataFrame, keys: list[str], rows: int = ROWS) -> DataFrame:
+    """df partitioned by keys, about `rows` rows a partition; the number is given, so that nothing merges partitions later."""
+    return df.repartition(parts_for(df, rows), *keys)
+
+
 _shipped: set[str] = set()
 
 

@@ -9,6 +9,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.session import dealt
+
 VIEWS = {
     "warehouse_operation": """
         SELECT event_id AS operation_id, concat('', user_id) AS employee_id, concat('Employee ', user_id) AS employee_name,
@@ -110,9 +112,8 @@ VIEWS = {
 
 
 # Views with about as many groups as rows: adding up before the shuffle saves nothing, and what a task holds grows with the rows
-# it gets. Their source is dealt by the groups' keys first, to partitions of ROWS rows.
+# it gets. Their source is dealt by the groups' keys first.
 DEALT = {"picking": ("picking_operation", ["picking_route_id", "item_id"])}
-ROWS = 250_000
 
 
 def uses(text: str) -> list[str]:
@@ -131,12 +132,6 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **sources)
 
 
-def dealt(df: DataFrame, keys: list[str], rows: int = ROWS) -> DataFrame:
-    """df partitioned by keys, about `rows` rows a partition; the number is given, so that nothing merges partitions later."""
-    parts = max(-(-df.count() // rows), df.sparkSession.sparkContext.defaultParallelism)
-    return df.repartition(parts, *keys)
-
-
 def oracle(sql: str) -> str:
     """The SQL with the views it names in front, as common table expressions."""
     needed: list[str] = []

@@ -1,5 +1,6 @@
 """Search by registry entry: several passes, odd rows, and fragments against plain Python."""
 
+import pandas as pd
 from millrace.operators import registry_search as r
 from pyspark.sql import functions as F
 
@@ -48,3 +49,33 @@ def test_empty_tables(spark):
 def test_dedupe_keeps_order_and_three_fragments(spark):
     got = {(x["issue_key"], x["mode"]): x for x in r.dedupe_matches(r.find_matches(*tables(spark))).collect()}[1, "m"]
     assert got["places"].startswith("summary; description") and got["confidence"] == "high" and got["fragments"].count(" | ") == 2
+
+
+def test_hits_are_handed_on_in_small_pieces(monkeypatch):
+    monkeypatch.setattr(r, "HITS", 10)
+    sizes = []
+
+    class Rows:
+        class sparkSession:  # noqa: N801
+            class sparkContext:  # noqa: N801
+                @staticmethod
+                def broadcast(value):
+                    return type("Sent", (), {"value": value})
+
+        def select(self, *cols):
+            return self
+
+        def mapInPandas(self, run, schema):
+            sizes.extend(len(part) for part in run(iter([pd.DataFrame({"k": range(100), "text": ["x"] * 100})])))
+            return self
+
+    monkeypatch.setattr(r, "_passes", lambda registry, entries: iter([[(1, ["x"])]]))
+    r._searched(Rows(), None, "k long, entry long", 5, lambda s, row: [(1,), (2,)], ["k"], ["text"])
+    assert sum(sizes) == 200 and max(sizes) <= 11
+
+
+def test_matches_are_found_once_for_all_lists(spark):
+    df = spark.createDataFrame([("A", 1, "m", "c", "summary", None, 0, "f", "low"), ("A", 2, "m", "d", "linked", "B", 0, "g", "high")], "issue_key string, entry long, mode string, category string, place string, via string, pos long, fragment string, confidence string")
+    got = r.dedupe_matches(df)
+    assert all("/matches-" in f for f in got.inputFiles()) and got.inputFiles()
+    assert [tuple(r) for r in got.collect()] == [("A", "m", "summary; linked B", "c, d", "f | g", "high", 2)]
