@@ -62,6 +62,14 @@ def stored(df: DataFrame, name: str = "stored") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str, buckets: int, name: str = "bucketed") -> tuple[DataFrame, str]:
+    """df written into the shared folder in buckets by key, and the path: joins and groups by key read it without a shuffle."""
+    table = f"{name}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(df.sparkSession)}/{table}"
+    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    return df.sparkSession.table(table), path
+
+
 ROWS = 250_000  # of a partition that dealt makes
 
 

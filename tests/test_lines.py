@@ -33,6 +33,23 @@ def test_closure(spark, edges):
     assert {(r["src"], r["dst"]): r["depth"] for r in got} == plain_paths(edges) and len(got) == len(plain_paths(edges))
 
 
+def shuffled_rows(spark):
+    """Rows that all stages of the session have written for shuffles."""
+    jvm, none = spark.sparkContext._jvm, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0)
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(jvm.java.util.ArrayList(), False, False, none, jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def test_closure_shuffles_no_known_pair_again(spark, monkeypatch):
+    edges = [(i, i // 3) for i in range(3000)] + [(i, i + 1) for i in range(1, 3000, 3)] + [(i, i - 1) for i in range(2, 3000, 3)]
+    rows, want = spark.createDataFrame(edges, "src long, dst long"), plain_paths(edges)
+    before = shuffled_rows(spark)
+    got = {(r["src"], r["dst"]): r["depth"] for r in lineage.closure(rows).collect()}
+    assert got == want and shuffled_rows(spark) - before < len(want)  # before, every round shuffled all pairs twice
+    monkeypatch.setattr(lineage, "FEW", 0)  # no frontier is small
+    assert {(r["src"], r["dst"]): r["depth"] for r in lineage.closure(rows).collect()} == want
+
+
 def test_history_names_every_table_once_a_record(spark):
     rows = spark.createDataFrame([("a", "b", 1), ("b", "b", 2), (None, "a", 3)], "source string, target string, run long")
     got = {(r["node"], r["role"], r["run"]) for r in lineage.table_history(rows).collect()}
