@@ -55,9 +55,9 @@ def _through(front: DataFrame, found: list[DataFrame], mids: int, parts: int) ->
 
 def line_summary(paths: DataFrame) -> DataFrame:
     """Per node the number of nodes upstream and downstream and the longest of the shortest paths either way, from closure()."""
-    ends = paths.select(F.col("src").alias("node"), F.lit(1).alias("down"), "depth").unionByName(paths.select(F.col("dst").alias("node"), F.lit(0).alias("down"), "depth"))
-    side = lambda f, v, x: F.coalesce(f(F.when(F.col("down") == v, F.col(x))), F.lit(0))
-    return ends.groupBy("node").agg(side(F.count, 0, "depth").alias("upstream"), side(F.count, 1, "depth").alias("downstream"), side(F.max, 0, "depth").alias("farthest_up"), side(F.max, 1, "depth").alias("farthest_down"))
+    side = lambda end, n, far: paths.groupBy(F.col(end).alias("node")).agg(F.count("*").alias(n), F.max("depth").alias(far))
+    both = side("dst", "upstream", "farthest_up").join(side("src", "downstream", "farthest_down"), "node", "full")
+    return both.select("node", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("upstream", "downstream", "farthest_up", "farthest_down")])
 
 
 def table_history(records: DataFrame) -> DataFrame:
