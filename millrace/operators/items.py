@@ -250,19 +250,27 @@ def load_members(df: DataFrame, exclude: list[str], exclude_inactive: bool = Tru
 # --- search ---------------------------------------------------------------------------------------------------------
 
 
-def matched_keywords(text: Column, keywords: list[str]) -> Column:
-    """The keywords that the text holds, in their order, whatever the case."""
-    low = F.lower(F.coalesce(text, F.lit("")))
+def _held(low: Column, keywords: list[str]) -> Column:
     return F.filter(F.array(*[F.when(low.contains(k.lower()), F.lit(k)) for k in keywords]), lambda x: x.isNotNull())
 
 
+def matched_keywords(text: Column, keywords: list[str]) -> Column:
+    """The keywords that the text holds, in their order, whatever the case; the text is lower-cased once."""
+    return F.element_at(F.transform(F.array(F.lower(F.coalesce(text, F.lit("")))), lambda low: _held(low, keywords)), 1)
+
+
 def fragment(text: Column, keyword: Column, width: int = 120) -> Column:
-    """About width/2 characters on both sides of the first hit, with dots where text is left out."""
-    at = F.instr(F.lower(text), F.lower(keyword))
-    start, half = F.greatest(F.lit(1), at - width // 2), width // 2
-    end = F.least(F.length(text), at + F.length(keyword) - 1 + half)
-    cut = F.trim(F.translate(F.substr(text, start, end - start + 1), "\n", " "))
-    return F.when(at > 0, F.concat(F.when(start > 1, "...").otherwise(""), cut, F.when(end < F.length(text), "...").otherwise(""))).otherwise(F.substring(text, 1, width))
+    """About width/2 characters on both sides of the first hit, with dots where text is left out; the text is searched once."""
+    half = width // 2
+
+    def cut(x: Column) -> Column:
+        whole, at, size = x["whole"], x["at"], x["size"]
+        start, end = F.greatest(F.lit(1), at - half), F.least(size, at + x["wide"] - 1 + half)
+        part = F.trim(F.translate(F.substr(whole, start, end - start + 1), "\n", " "))
+        return F.when(at > 0, F.concat(F.when(start > 1, "...").otherwise(""), part, F.when(end < size, "...").otherwise(""))).otherwise(F.substring(whole, 1, width))
+
+    once = F.struct(text.alias("whole"), F.instr(F.lower(text), F.lower(keyword)).alias("at"), F.length(text).alias("size"), F.length(keyword).alias("wide"))
+    return F.element_at(F.transform(F.array(once), cut), 1)
 
 
 def confidence(ratio: Column, place: Column, with_attachment: Column) -> Column:
@@ -283,16 +291,24 @@ def find_matches(issues: DataFrame, keywords: list[str], others: DataFrame | Non
     """
     low = lambda c: F.coalesce(c, F.lit(""))
     whole = F.concat(low(F.col("summary")), F.lit("\n"), low(F.col("description")))
-    found = issues.withColumns({"whole": whole, "in_whole": matched_keywords(whole, keywords), "in_summary": matched_keywords(F.col("summary"), keywords), "in_text": matched_keywords(F.col("description"), keywords)}).where(F.size("in_whole") > 0)
+    # generated columns are not computed again where a filter or a later column reads them; each text is searched once
+    hits = F.struct(matched_keywords(F.col("summary"), keywords).alias("in_summary"), matched_keywords(F.col("description"), keywords).alias("in_text"))
+    across = [k for k in keywords if "\n" in k]  # may lie on both sides of the line break
+    spanning = matched_keywords(whole, across) if across else F.array().cast("array<string>")
+    searched = issues.select("*", F.inline_outer(F.array(hits if not across else hits.withField("across", spanning))))
+    at = lambda w: F.array_contains("in_summary", w) | F.array_contains("in_text", w) | (F.array_contains("across", w) if across else F.lit(False))
+    found = searched.withColumn("in_whole", F.filter(F.array(*map(F.lit, keywords)), at)).where(F.size("in_whole") > 0)
     more = (F.size("in_summary") == 0) | (F.size(F.array_except("in_text", "in_summary")) > 0)
-    titled = F.concat(F.when(low(F.col("summary")) != "", F.concat(F.lit("["), "summary", F.lit("] "))).otherwise(""), fragment(F.col("whole"), F.element_at("in_whole", 1)))
     spots = F.array(
-        F.when(F.size("in_summary") > 0, F.struct(F.lit("summary").alias("place"), F.lit(0).cast("long").alias("pos"), F.col("in_summary").alias("hits"), fragment(F.col("summary"), F.try_element_at("in_summary", F.lit(1))).alias("fragment"))),
-        F.when(more, F.struct(F.lit("description").alias("place"), F.lit(1).cast("long").alias("pos"), F.col("in_whole").alias("hits"), titled.alias("fragment"))),
+        F.when(F.size("in_summary") > 0, F.struct(F.lit("summary").alias("place"), F.lit(0).cast("long").alias("pos"), F.col("in_summary").alias("hits"))),
+        F.when(more, F.struct(F.lit("description").alias("place"), F.lit(1).cast("long").alias("pos"), F.col("in_whole").alias("hits"))),
     )
-    own = found.select("issue_key", "mode", "category", "has_attachment", F.inline(F.filter(spots, lambda x: x.isNotNull())))
+    titled = F.concat(F.when(low(F.col("summary")) != "", F.concat(F.lit("["), "summary", F.lit("] "))).otherwise(""), fragment(whole, F.element_at("hits", 1)))
+    said = F.when(F.col("place") == "summary", fragment(F.col("summary"), F.element_at("hits", 1))).otherwise(titled)
+    own = found.select("issue_key", "mode", "category", "has_attachment", "summary", "description", F.inline(F.filter(spots, lambda x: x.isNotNull())))
+    own = own.select("issue_key", "mode", "category", "has_attachment", "place", "pos", "hits", said.alias("fragment"))
     if others is not None:
-        rest = others.withColumn("hits", matched_keywords(F.col("text"), keywords)).where(F.size("hits") > 0)
+        rest = others.select("issue_key", "place", "pos", "text", F.explode_outer(F.array(matched_keywords(F.col("text"), keywords))).alias("hits")).where(F.size("hits") > 0)
         rest = rest.join(found.select("issue_key", "mode", "category", "has_attachment"), "issue_key")
         own = own.unionByName(rest.select("issue_key", "mode", "category", "has_attachment", "place", (F.col("pos") + 2).cast("long").alias("pos"), "hits", fragment(F.col("text"), F.element_at("hits", 1)).alias("fragment")))
     ratio = F.size("hits") / len(keywords)

@@ -79,3 +79,19 @@ def test_matches_are_found_once_for_all_lists(spark):
     got = r.dedupe_matches(df)
     assert all("/matches-" in f for f in got.inputFiles()) and got.inputFiles()
     assert [tuple(r) for r in got.collect()] == [("A", "m", "summary; linked B", "c, d", "f | g", "high", 2)]
+
+
+def test_texts_are_searched_once(spark):
+    """Each text is lower-cased once where it is searched, however many keywords there are; before, once for each and again in filters."""
+    from millrace.operators import items
+    from pyspark.sql import functions as F
+
+    cols = "issue_key string, mode string, category string, summary string, description string, has_attachment boolean"
+    issues = spark.createDataFrame([("a", "m", "c", None, "x The\ny", True), ("b", "m", "c", "the", None, False), ("c", "m", "c", None, None, None), ("d", "m", "c", "Public", "license", True)], cols)
+    others = spark.createDataFrame([("a", "comment", 0, "the end"), ("c", "comment", 0, "the"), ("d", "linked", 5, None)], "issue_key string, place string, pos long, text string")
+    got = items.find_matches(issues, ["the", "y", "public\nlicense"], others)
+    assert sorted((r["issue_key"], r["place"], r["pos"], r["matched"], r["fragment"]) for r in got.collect()) == [
+        ("a", "comment", 2, "the", "the end"), ("a", "description", 1, "the, y", "x The y"), ("b", "summary", 0, "the", "the"), ("d", "description", 1, "public\nlicense", "[Public] Public license"),
+    ]
+    plan = items.find_matches(issues, [f"word {i}" for i in range(20)], others).groupBy("place").agg(F.count("*"))._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count("lower(") <= 5  # summary and description twice (also for the join), the other texts once
