@@ -14,7 +14,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BUCKETS = 16  # a task writes a bucket: choose so many that one holds a partition's worth of groups
+from millrace.session import ROWS
+
+BUCKETS = 16  # at least; a task writes a bucket, so a view gets one for every ROWS rows of its first change set
 
 
 @dataclass(frozen=True)
@@ -51,10 +53,10 @@ class MaterializedView:
     """A summary kept in a folder that driver and executors share.
 
     Counts may not become negative: a change set that takes back more rows of a group than there are ends with an error
-    before anything is committed.
+    before anything is committed. Without a number of buckets, the size of the first change set decides it.
     """
 
-    def __init__(self, spark: SparkSession, path: str, summary: Summary, buckets: int = BUCKETS):
+    def __init__(self, spark: SparkSession, path: str, summary: Summary, buckets: int | None = None):
         self.spark, self.path, self.summary, self.buckets = spark, path.rstrip("/"), summary, buckets
         self.folder = spark._jvm.org.apache.hadoop.fs.Path(self.path)
         self.files = self.folder.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -69,10 +71,10 @@ class MaterializedView:
         names = [s.getPath().getName() for s in self.files.listStatus(self._at("manifests"))] if self.files.exists(self._at("manifests")) else []
         current = max((n for n in names if n.startswith("v-")), default=None)
         if current is None:
-            return {"version": 0, "batches": [], "buckets": {}}
+            return {"version": 0, "batches": [], "buckets": {}, "n": self.buckets}
         stream = self.files.open(self._at("manifests", current))
         try:
-            return json.loads(bytes(stream.readAllBytes()).decode())
+            return {"n": self.buckets or BUCKETS, **json.loads(bytes(stream.readAllBytes()).decode())}  # older manifests lack it
         finally:
             stream.close()
 
@@ -123,6 +125,9 @@ class MaterializedView:
         manifest, s = self._manifest(), self.summary
         if batch in manifest["batches"]:
             return False
+        if manifest["n"] is None:
+            manifest["n"] = max(BUCKETS, -(-signed.count() // ROWS))
+        self.buckets = manifest["n"]  # for good: a group stays in its bucket
         version, keys = f"{manifest['version'] + 1:09d}-{uuid.uuid4().hex[:8]}", list(s.keys)
         groups_schema, value_schemas = self._schemas(signed)
         delta_cols = [F.sum("_sign").cast("long").alias("row_count")] + [x for c in s.sums for x in (F.sum(F.col("_sign") * F.col(c)).alias(f"{c}_sum"), F.sum(F.when(F.col(c).isNotNull(), F.col("_sign"))).cast("long").alias(f"{c}_n"))]
@@ -155,7 +160,7 @@ class MaterializedView:
         wrong = self._state({"buckets": {str(b): version for b in touched}}, "groups", None, groups_schema + ", _least long").where("row_count < 0 or _least < 0").limit(1).count()
         if wrong:
             raise ValueError(f"batch {batch} takes back rows that are not there")
-        self._commit({"version": manifest["version"] + 1, "batches": [*manifest["batches"], batch], "buckets": {**manifest["buckets"], **{str(b): version for b in touched}}})
+        self._commit({"n": manifest["n"], "version": manifest["version"] + 1, "batches": [*manifest["batches"], batch], "buckets": {**manifest["buckets"], **{str(b): version for b in touched}}})
         return True
 
     def read(self, like: DataFrame, version: int | None = None) -> DataFrame:

@@ -69,3 +69,16 @@ def test_second_writer_fails_and_untouched_buckets_stay(spark):
         view._commit({**before, "version": 2})
     after = view._manifest()["buckets"]
     assert all(after[b] == v for b, v in before["buckets"].items()) and len(after) == 2
+
+
+def test_buckets_grow_with_the_first_load(spark, monkeypatch):
+    from millrace.operators import refresh
+
+    monkeypatch.setattr(refresh, "ROWS", 10, raising=False)
+    rows = [(f"k{i % 100}", 1, 1.0, i % 7, "d") for i in range(400)]
+    load = spark.createDataFrame(rows, COLS)
+    view = view_of(spark, None)
+    view.refresh("load", changes(None, load))
+    again = MaterializedView(spark, view.path, view.summary)  # reads the number from the manifest
+    again.refresh("less", changes(load.limit(0), spark.createDataFrame(rows[:3], COLS)))
+    assert len(again._manifest()["buckets"]) > refresh.BUCKETS and groups(again, load) == plain(rows + rows[:3])
