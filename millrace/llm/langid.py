@@ -21,7 +21,8 @@ from millrace.llm.common import give_back, hash_cut, mixed, slices, small_batche
 
 ORDERS = (3, 4)
 UNKNOWN = "und"
-PIECE = 1 << 19  # characters worked on at a time
+PIECE = 1 << 19  # characters of one text worked on at a time
+GROUP = 1 << 17  # and of several texts: what is held at once is about a hundred times that, in bytes
 
 
 @dataclass
@@ -76,9 +77,9 @@ def grams(texts: list[str], orders: tuple[int, ...]) -> tuple[np.ndarray, np.nda
 
 
 def _pieces(texts: list[str | None]) -> Iterator[tuple[list[int], list[str]]]:
-    """Groups of texts of PIECE characters; a longer text comes in pieces that overlap by what an n-gram needs."""
+    """Groups of texts of GROUP characters; a text longer than PIECE comes in pieces that overlap by what an n-gram needs."""
     whole = [t or "" for t in texts]
-    for a, b in slices([len(t) for t in whole], PIECE):
+    for a, b in slices([len(t) for t in whole], GROUP):
         if b - a > 1 or len(whole[a]) <= PIECE:
             yield list(range(a, b)), whole[a:b]
         else:
