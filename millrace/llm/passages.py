@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import dropped, give_back, slices, written
-from millrace.llm.verify import SIMILAR, maybe_sent
+from millrace.llm.verify import SIMILAR, matched
 
 SHINGLE = 5
 CONTEXT = 32  # words known on either side of a stretch: two gaps between cuts
@@ -92,7 +92,7 @@ def surroundings(rows: DataFrame, stretches: DataFrame) -> DataFrame:
     firsts = stretches.select(F.col("first_doc").alias("doc_id"), F.col("first_row").alias("row"), F.struct(F.col("first_start").alias("start"), F.col("first_words").alias("words"), *zeros, F.lit(False).alias("own")).alias("end"))
     wanted = written(ends.unionAll(firsts).groupBy("doc_id", "row").agg(F.collect_set("end").alias("wanted")), "wanted")
     held = wanted.agg(F.count(F.lit(1)) + F.coalesce(F.sum(F.size("wanted")), F.lit(0))).first()[0]
-    asked = rows.join(maybe_sent(wanted, held), ["doc_id", "row"]).select("doc_id", "row", "text", "wanted")
+    asked = matched(rows, wanted, held, ["doc_id", "row"], F.xxhash64("doc_id", "row")).select("doc_id", "row", "text", "wanted")
 
     def around(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import xxhash
